@@ -14,6 +14,7 @@ from fathomkit.plans.inputs import (
 )
 from fathomkit.plans.joining import weekly
 from fathomkit.plans.registry import query, rsql
+from fathomkit.session import hold
 
 CLEAN_STOPS = STOPS + "," + """
 nulled AS (SELECT stop_id, """ + ", ".join(
@@ -149,7 +150,7 @@ def b13(spark, sf_dir):
 SELECT "Row", {rsql('coalesce("CPI", (SELECT quantile_cont("CPI", 0.5) FROM weekly))', 4)} AS cpi
 FROM weekly""")
 def b14(spark, sf_dir):
-    joined = weekly(spark, sf_dir).select("Row", "CPI")
+    joined = hold(weekly(spark, sf_dir).select("Row", "CPI"))
     return clean.fill_median(joined, ["CPI"]).select("Row", rd("CPI", 4).alias("cpi"))
 
 
