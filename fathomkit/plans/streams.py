@@ -1 +1,196 @@
+"""Streaming jobs, each checked against the batch answer.
 
+The messages are written from the tables by Spark, then streamed to a file sink and read
+back, the way a broker-fed job would run.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from fathomkit.functions.scoring import alerts, score_transactions
+from fathomkit.plans.inputs import SCORED, SENSORS, TRANSACTIONS, sensors, transactions
+from fathomkit.plans.registry import query, rsql
+from fathomkit.session import fresh_path
+from fathomkit.streaming import jobs as st
+
+TX_COLUMNS = ["transaction_id", "timestamp", "Time", "Amount", "Class", "V3", "V12", "V14"]
+CSV_COLUMNS = ["event_id", "temperature", "humidity", "eco2", "pm2_5", "fire_alarm"]
+AT = "yyyy-MM-dd HH:mm:ss"
+
+
+def _json_messages(spark, sf_dir):
+    path = fresh_path(spark, "messages")
+    transactions(spark, sf_dir).select(st.json_message(TX_COLUMNS)).write.text(path)
+    return st.parse_json(st.read_lines(spark, path=path))
+
+
+def _sensor_lines(spark, sf_dir):
+    line = F.concat_ws(
+        ",", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        *[F.col(c).cast("string") for c in CSV_COLUMNS],
+    )
+    return sensors(spark, sf_dir).select(line.alias("value"))
+
+
+def _sensor_stream(spark, sf_dir):
+    path = fresh_path(spark, "readings")
+    _sensor_lines(spark, sf_dir).write.text(path)
+    return st.parse_csv(st.read_lines(spark, path=path))
+
+
+def _bounds(df):
+    return df.withColumns({c: F.date_format(c, AT) for c in ("window_start", "window_end")})
+
+
+_TX = ", ".join(f'"{c}"' for c in TX_COLUMNS)
+
+
+@query("n01_json_stream", f"WITH {TRANSACTIONS} SELECT {_TX} FROM tx")
+def n01(spark, sf_dir):
+    return st.drained(_json_messages(spark, sf_dir), "parsed")
+
+
+@query("n02_csv_stream", f"""WITH {SENSORS}
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp", event_id, temperature, humidity, eco2, pm2_5, fire_alarm FROM sensors""")
+def n02(spark, sf_dir):
+    return st.drained(_sensor_stream(spark, sf_dir), "readings-out").withColumn(
+        "timestamp", F.date_format("timestamp", AT)
+    )
+
+
+@query("n03_scored_stream", f"""WITH {SCORED} SELECT transaction_id, "Amount", "RuleFlag", "AlertLevel", "Class" FROM scored""")
+def n03(spark, sf_dir):
+    return st.drained(score_transactions(_json_messages(spark, sf_dir)), "scored").select(
+        "transaction_id", "Amount", "RuleFlag", "AlertLevel", "Class"
+    )
+
+
+@query("n04_alert_stream", f"""WITH {SCORED}
+SELECT transaction_id, "timestamp", "Amount", "RuleFlag", "AlertLevel", "Class" FROM scored WHERE "RuleFlag" <> 'NORMAL'""")
+def n04(spark, sf_dir):
+    return st.drained(alerts(score_transactions(_json_messages(spark, sf_dir))), "alerts")
+
+
+@query("n05_audit_stream", f"""WITH {SCORED} SELECT {_TX}, "RuleFlag", "AlertLevel" FROM scored""")
+def n05(spark, sf_dir):
+    return st.drained(score_transactions(_json_messages(spark, sf_dir)), "audit", "csv")
+
+
+@query("n06_watermark_drops_late", f"""WITH {SENSORS}, m AS (SELECT max(ts) AS t FROM sensors WHERE event_id % 10 <> 3),
+k AS (SELECT s.*, event_id % 10 = 3 AND ts < t - INTERVAL 1 DAY AS late FROM sensors s, m)
+SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS total_records,
+       CAST(sum(fire_alarm) AS BIGINT) AS fire_alarms FROM k, m WHERE NOT late
+GROUP BY 1, time_bucket(INTERVAL 1 HOUR, ts)
+HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM sensors) - INTERVAL 5 MINUTE""")
+def n06(spark, sf_dir):
+    """Two deliveries to one checkpointed job; what comes a day late in the second is dropped."""
+    inbox, out = fresh_path(spark, "inbox"), fresh_path(spark, "hourly")
+    checkpoint = fresh_path(spark, "hourly-checkpoint")
+    newest = sensors(spark, sf_dir).filter("event_id % 10 <> 3").agg(F.max("ts")).scalar()
+    tagged = sensors(spark, sf_dir).withColumn(
+        "late", (F.col("event_id") % 10 == 3) & (F.col("ts") < newest - F.expr("interval 1 day"))
+    )
+    line = F.concat_ws(
+        ",", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        *[F.col(c).cast("string") for c in CSV_COLUMNS],
+    ).alias("value")
+    for late in (False, True):
+        tagged.filter(F.col("late") == late).select(line).write.mode("append").text(inbox)
+        rows = st.watermarked(st.parse_csv(st.read_lines(spark, path=inbox)))
+        st.drain(st.to_files(
+            st.flat_window(st.alarm_rate(rows, width="1 hour")), out, checkpoint
+        ))
+    return spark.read.parquet(out).select(
+        F.date_format("window_start", AT).alias("window_start"), "total_records", "fire_alarms"
+    )
+
+
+_SUMMARY = f"""{SENSORS}, w AS (
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE * i AS a, sensors.* FROM sensors, (SELECT unnest([0, 1]) AS i)),
+win AS (SELECT strftime(a, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(a + INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
+  count(*) AS record_count, {rsql("avg(temperature)", 2)} AS avg_temperature, {rsql("avg(humidity)", 2)} AS avg_humidity,
+  {rsql("avg(pm2_5)", 2)} AS avg_pm2_5, {rsql("avg(eco2)", 2)} AS avg_eco2, {rsql("max(temperature)", 2)} AS max_temperature,
+  {rsql("min(temperature)", 2)} AS min_temperature, CAST(sum(fire_alarm) AS BIGINT) AS fire_alarm_count,
+  a + INTERVAL 10 MINUTE AS closes FROM w GROUP BY a)"""
+_CLOSED = "closes <= (SELECT max(ts) FROM sensors) - INTERVAL 5 MINUTE"
+
+
+def _summary(spark, sf_dir):
+    rows = st.watermarked(_sensor_stream(spark, sf_dir))
+    return st.flat_window(st.summary_windows(rows))
+
+
+@query("n07_sliding_windows", f"WITH {_SUMMARY} SELECT * EXCLUDE (closes) FROM win WHERE {_CLOSED}")
+def n07(spark, sf_dir):
+    return _bounds(st.drained(_summary(spark, sf_dir), "summary"))
+
+
+_RATE = f"""{SENSORS}, win AS (SELECT strftime(time_bucket(INTERVAL 1 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+  strftime(time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
+  count(*) AS total_records, CAST(sum(fire_alarm) AS BIGINT) AS fire_alarms,
+  {rsql("sum(fire_alarm)::DOUBLE / count(*)", 4)} AS alarm_rate, {rsql("avg(temperature)", 2)} AS avg_temp,
+  {rsql("avg(pm2_5)", 2)} AS avg_pm2_5, time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE AS closes
+  FROM sensors GROUP BY time_bucket(INTERVAL 1 MINUTE, ts))"""
+
+
+@query("n08_tumbling_windows", f"WITH {_RATE} SELECT * EXCLUDE (closes) FROM win WHERE {_CLOSED}")
+def n08(spark, sf_dir):
+    rows = st.watermarked(_sensor_stream(spark, sf_dir))
+    return _bounds(st.drained(st.flat_window(st.alarm_rate(rows)), "rate"))
+
+
+@query("n09_fire_event_stream", f"""WITH {SENSORS} SELECT event_id, temperature, humidity, fire_alarm FROM sensors WHERE fire_alarm = 1""")
+def n09(spark, sf_dir):
+    wanted = st.fire_events(_sensor_stream(spark, sf_dir)).select(
+        "event_id", "temperature", "humidity", "fire_alarm"
+    )
+    return st.drained(wanted, "fire", "csv")
+
+
+@query("n10_high_risk_stream", f"""WITH {SENSORS} SELECT event_id, temperature, eco2, pm2_5, 'HIGH' AS risk_level
+FROM sensors WHERE temperature > 50 AND eco2 > 50 AND pm2_5 > 50""")
+def n10(spark, sf_dir):
+    wanted = st.high_risk(_sensor_stream(spark, sf_dir), eco2=50).select(
+        "event_id", "temperature", "eco2", "pm2_5", "risk_level"
+    )
+    return st.drained(wanted, "risk", "csv")
+
+
+@query("n11_append_windows_csv", f"WITH {_SUMMARY} SELECT window_start, window_end, record_count, fire_alarm_count FROM win WHERE {_CLOSED}")
+def n11(spark, sf_dir):
+    return _bounds(st.drained(_summary(spark, sf_dir), "summary-csv", "csv")).select(
+        "window_start", "window_end", "record_count", "fire_alarm_count"
+    )
+
+
+@query("n12_complete_windows", f"WITH {_SUMMARY} SELECT * EXCLUDE (closes) FROM win")
+def n12(spark, sf_dir):
+    name = f"summary_{uuid.uuid4().hex}"
+    st.drain(st.to_memory(_summary(spark, sf_dir), name))
+    return _bounds(spark.table(name))
+
+
+@query("n13_concurrent_queries", f"""WITH {SENSORS}, w AS (SELECT DISTINCT time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE AS closes FROM sensors)
+SELECT 'fire' AS sink, count(*) AS n FROM sensors WHERE fire_alarm = 1
+UNION ALL SELECT 'risk', count(*) FROM sensors WHERE temperature > 50 AND eco2 > 50 AND pm2_5 > 50
+UNION ALL SELECT 'rate', count(*) FROM w WHERE {_CLOSED}""")
+def n13(spark, sf_dir):
+    rows = _sensor_stream(spark, sf_dir)
+    made = {
+        "fire": st.fire_events(rows),
+        "risk": st.high_risk(rows, eco2=50),
+        "rate": st.flat_window(st.alarm_rate(st.watermarked(rows))),
+    }
+    paths = {k: fresh_path(spark, k) for k in made}
+    st.drain(*[
+        st.to_files(df, paths[k], fresh_path(spark, f"{k}-checkpoint")) for k, df in made.items()
+    ])
+    counts = [
+        spark.read.schema(df.schema).parquet(paths[k]).agg(F.count("*").alias("n")).select(
+            F.lit(k).alias("sink"), "n"
+        ) for k, df in made.items()
+    ]
+    return counts[0].union(counts[1]).union(counts[2])
