@@ -369,9 +369,9 @@ def draw_matrix(draws: DataFrame, columns: Sequence[str]) -> np.ndarray:
 
 def theta_matrix(draws: DataFrame, limit: int) -> np.ndarray:
     """Matrix of ``limit`` evenly spaced draws of an array column ``theta``."""
-    n = draws.count()
-    step = max(1, n // limit)
-    at = F.col("chain") * (F.max("iter").over(Window.partitionBy()) + 1) + F.col("iter")
+    size = draws.agg(F.count("*").alias("n"), (F.max("iter") + 1).alias("per_chain")).first()
+    step = max(1, size["n"] // limit)
+    at = F.col("chain") * size["per_chain"] + F.col("iter")
     thin = draws.withColumn("_at", at).filter(F.col("_at") % step == 0)
     got = np.stack([np.array(r["theta"]) for r in thin.orderBy("_at").limit(limit).collect()])
     if got.size > MAX_DRAW_CELLS:

@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomkit.session import hold, sized_broadcast
+from fathomkit.session import BROADCAST_ROWS, hold, sized_broadcast
 
 SKETCH = 100_000  # percentile sketch accuracy: rank error is at most rows / SKETCH
 MAX_RANGES = 1_000
@@ -202,11 +202,12 @@ def tile_of(rank: Column, total: Column, tiles: int) -> Column:
 
 def dense_index(df: DataFrame, code: str, out: str) -> DataFrame:
     """1-based position of each distinct code in sorted order, attached to every row."""
-    codes = running_totals(
-        df.filter(F.col(code).isNotNull()).groupBy(code).agg(F.lit(1).alias("_one")),
-        [code], ["_one"],
-    ).select(code, F.col("cum__one").cast("smallint").alias(out))
-    return df.join(sized_broadcast(codes), code)
+    codes = hold(df.filter(F.col(code).isNotNull()).groupBy(code).agg(F.lit(1).alias("_one")))
+    if codes.count() <= BROADCAST_ROWS:
+        place = F.row_number().over(Window.partitionBy().orderBy(code))
+        return df.join(F.broadcast(codes.select(code, place.cast("int").alias(out))), code)
+    codes = running_totals(codes, [code], ["_one"])
+    return df.join(codes.select(code, F.col("cum__one").cast("int").alias(out)), code)
 
 
 def fill_along(

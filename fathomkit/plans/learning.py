@@ -1 +1,281 @@
+"""Feature, oversampling, training and evaluation jobs."""
 
+from __future__ import annotations
+
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.sql import functions as F
+
+from fathomkit.functions.scalars import rd
+from fathomkit.operators import evaluate as ev
+from fathomkit.operators import learn
+from fathomkit.operators.sampling import stratified_split
+from fathomkit.plans.inputs import table
+from fathomkit.plans.ordering import SCORES, scores
+from fathomkit.plans.registry import query, rsql
+from fathomkit.session import fresh_path, hold
+from fathomkit.sources.files import read_csv, read_parquet, write_csv, write_parquet
+
+FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+FLAT = [f"f{i}" for i in range(len(FEATURES))]
+KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+def rare_lines(spark, sf_dir):
+    """Order lines with a rare class: large quantity at a deep discount."""
+    return table(spark, sf_dir, "lineitem").select(
+        *KEYS, *FEATURES,
+        ((F.col("l_quantity") >= 48) & (F.col("l_discount") >= 0.09)).cast("int").alias("label"),
+    )
+
+
+def splits(spark, sf_dir):
+    """Scaled features f0..f3 with a stratified split, kept as a table."""
+    scaled = learn.standardise(rare_lines(spark, sf_dir), FEATURES)
+    flat = scaled.select(
+        F.xxhash64(*KEYS).alias("line_id"), "label",
+        *[F.col(f"{c}_scaled").alias(f) for c, f in zip(FEATURES, FLAT)],
+    )
+    return hold(stratified_split(flat, "label", ["line_id"]))
+
+
+def training_sets(spark, sf_dir):
+    """Oversampled training rows and untouched test rows, both assembled."""
+    both = splits(spark, sf_dir)
+    train = hold(learn.smote(both.filter("split = 'train'"), FLAT, "label"))
+    return learn.ensure_features(train), learn.ensure_features(both.filter("split = 'test'"))
+
+
+@query("k01_standardise", f"""
+SELECT l_orderkey, l_linenumber, """ + ", ".join(
+    f"""{rsql(f"(@ - (SELECT avg(@) FROM lineitem)) / (SELECT stddev(@) FROM lineitem)".replace("@", c), 5)} AS {c}_scaled"""
+    for c in FEATURES) + " FROM lineitem")
+def k01(spark, sf_dir):
+    return learn.standardise(rare_lines(spark, sf_dir), FEATURES).select(
+        "l_orderkey", "l_linenumber", *[rd(f"{c}_scaled", 5).alias(f"{c}_scaled") for c in FEATURES]
+    )
+
+
+@query("k02_standardise_population", f"""
+SELECT o_orderkey, {rsql("(o_totalprice - (SELECT avg(o_totalprice) FROM orders)) / (SELECT stddev_pop(o_totalprice) FROM orders)", 5)} AS o_totalprice_std
+FROM orders""")
+def k02(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return learn.standardise(rows, ["o_totalprice"], population=True, suffix="_std").select(
+        "o_orderkey", rd("o_totalprice_std", 5).alias("o_totalprice_std")
+    )
+
+
+@query("k03_min_max", f"""
+SELECT o_orderkey, {rsql("(o_totalprice - (SELECT min(o_totalprice) FROM orders)) / (SELECT max(o_totalprice) - min(o_totalprice) FROM orders)", 6)} AS o_totalprice_norm,
+       0.0::DOUBLE AS flat_norm FROM orders""")
+def k03(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.lit(3.0).alias("flat"))
+    return learn.min_max(rows, ["o_totalprice", "flat"]).select(
+        "o_orderkey", rd("o_totalprice_norm", 6).alias("o_totalprice_norm"), "flat_norm"
+    )
+
+
+@query("k04_assemble", """
+SELECT l_orderkey, l_linenumber, l_quantity AS f0, l_extendedprice AS f1, l_discount AS f2, l_tax AS f3
+FROM lineitem WHERE l_orderkey % 13 <> 0""")
+def k04(spark, sf_dir):
+    """Rows whose discount is missing (every 13th order) are skipped by the assembler."""
+    holed = rare_lines(spark, sf_dir).withColumn(
+        "l_discount", F.when(F.col("l_orderkey") % 13 != 0, F.col("l_discount"))
+    )
+    packed = learn.assemble(holed, FEATURES).select("l_orderkey", "l_linenumber", "features")
+    return learn.flatten(packed, "features", len(FEATURES))
+
+
+@query("k05_smote")
+def k05(spark, sf_dir):
+    both = splits(spark, sf_dir)
+    return learn.smote(both.filter("split = 'train'"), FLAT, "label")
+
+
+@query("k05_smote_balance", """WITH c AS (
+SELECT count(*) FILTER (l_quantity >= 48 AND l_discount >= 0.09) AS rare,
+       count(*) FILTER (NOT (l_quantity >= 48 AND l_discount >= 0.09)) AS common FROM lineitem)
+SELECT 0 AS label, 0 AS synthetic, common AS n FROM c UNION ALL SELECT 1, 0, rare FROM c
+UNION ALL SELECT 1, 1, CAST(floor(0.5 * common) AS BIGINT) - rare FROM c""")
+def k05_balance(spark, sf_dir):
+    """Oversampling of all rows: originals kept, minority at exactly half the majority."""
+    rows = learn.standardise(rare_lines(spark, sf_dir), FEATURES)
+    return learn.smote(hold(rows), [f"{c}_scaled" for c in FEATURES], "label").groupBy(
+        "label", "synthetic"
+    ).agg(F.count("*").alias("n"))
+
+
+@query("k06_logistic_regression")
+def k06(spark, sf_dir):
+    train, _ = training_sets(spark, sf_dir)
+    model = learn.train_logistic(train, FLAT).bestModel
+    return learn.ranked_weights(spark, FEATURES, model.coefficients.toArray(), "coefficient")
+
+
+@query("k07_random_forest")
+def k07(spark, sf_dir):
+    train, _ = training_sets(spark, sf_dir)
+    model = learn.train_forest(train, FLAT).bestModel
+    return learn.ranked_weights(spark, FEATURES, model.featureImportances.toArray(), "importance")
+
+
+@query("k08_boosted_trees")
+def k08(spark, sf_dir):
+    train, _ = training_sets(spark, sf_dir)
+    model = learn.train_boosted(train, FLAT).bestModel
+    return learn.ranked_weights(spark, FEATURES, model.featureImportances.toArray(), "importance")
+
+
+_CONF = f"""{SCORES}, c AS (SELECT model, count(*) FILTER (score >= 0.5 AND label = 1) AS tp,
+  count(*) FILTER (score >= 0.5 AND label = 0) AS fp, count(*) FILTER (score < 0.5 AND label = 0) AS tn,
+  count(*) FILTER (score < 0.5 AND label = 1) AS fn FROM scores GROUP BY 1)"""
+_WEIGHTED = f"""{_CONF}, r AS (SELECT model, CAST(tp + fp + tn + fn AS DOUBLE) AS n, tp, fp, tn, fn,
+  coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tn / nullif(tn + fn, 0), 0) AS p0,
+  coalesce(tp / nullif(tp + fn, 0), 0) AS r1, coalesce(tn / nullif(tn + fp, 0), 0) AS r0 FROM c),
+w AS (SELECT *, (tp + fn) / n AS w1, (tn + fp) / n AS w0, coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1,
+  coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) AS f0 FROM r),
+m AS (SELECT model, (tp + tn) / n AS acc, w1 * p1 + w0 * p0 AS wp, w1 * r1 + w0 * r0 AS wr, w1 * f1 + w0 * f0 AS wf,
+  tp / (tp + fp + 1e-10) AS p, tp / (tp + fn + 1e-10) AS r FROM w)"""
+
+
+@query("k09_confusion", f"WITH {_CONF} SELECT * FROM c")
+def k09(spark, sf_dir):
+    return ev.confusion(scores(spark, sf_dir))
+
+
+@query("k10_weighted_metrics", f"""WITH {_WEIGHTED}
+SELECT model, {rsql("acc", 6)} AS accuracy, {rsql("wp", 6)} AS weighted_precision, {rsql("wr", 6)} AS weighted_recall,
+       {rsql("wf", 6)} AS weighted_f1 FROM m""")
+def k10(spark, sf_dir):
+    return ev.weighted_metrics(ev.confusion(scores(spark, sf_dir))).select(
+        "model", *[rd(c, 6).alias(c) for c in ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")]
+    )
+
+
+@query("k11_class_metrics", f"""WITH {_WEIGHTED}
+SELECT model, {rsql("p", 6)} AS precision, {rsql("r", 6)} AS recall, {rsql("2 * p * r / (p + r + 1e-10)", 6)} AS f1,
+       {rsql("5 * p * r / (4 * p + r + 1e-10)", 6)} AS f2, {rsql("5 * wp * wr / (4 * wp + wr + 1e-10)", 6)} AS weighted_f2 FROM m""")
+def k11(spark, sf_dir):
+    return ev.class_metrics(ev.weighted_metrics(ev.confusion(scores(spark, sf_dir)))).select(
+        "model", *[rd(c, 6).alias(c) for c in ("precision", "recall", "f1", "f2", "weighted_f2")]
+    )
+
+
+_CURVE = f"""{SCORES}, g AS (SELECT model, score, sum(label) AS tp, sum(1 - label) AS fp FROM scores GROUP BY 1, 2),
+u AS (SELECT *, sum(tp) OVER w AS ctp, sum(fp) OVER w AS cfp, sum(tp) OVER (PARTITION BY model) AS ttp,
+      sum(fp) OVER (PARTITION BY model) AS tfp FROM g WINDOW w AS (PARTITION BY model ORDER BY score DESC)),
+auc AS (SELECT model, sum(CAST(fp AS DOUBLE) * (2 * ctp - tp) / 2) / (max(CAST(ttp AS DOUBLE)) * max(tfp)) AS auc FROM u GROUP BY 1),
+pr AS (SELECT *, ctp / (ctp + cfp) AS prec, ctp / ttp AS rec FROM u),
+ap AS (SELECT model, sum(tp / ttp * prec) AS ap, max(ttp / (ttp + tfp)) AS prev FROM pr GROUP BY 1)"""
+
+
+@query("k12_roc_curve", f"""WITH {_CURVE} SELECT model, {rsql("score", 6)} AS score, {rsql("cfp / tfp", 6)} AS fpr, {rsql("ctp / ttp", 6)} AS tpr FROM u""")
+def k12(spark, sf_dir):
+    return ev.roc_points(scores(spark, sf_dir)).select(
+        "model", rd("score", 6).alias("score"), rd("fpr", 6).alias("fpr"), rd("tpr", 6).alias("tpr")
+    )
+
+
+@query("k12_roc_auc", f"WITH {_CURVE} SELECT model, {rsql('auc', 6)} AS auc FROM auc")
+def k12_auc(spark, sf_dir):
+    return ev.roc_auc(ev.roc_points(scores(spark, sf_dir))).withColumn("auc", rd("auc", 6))
+
+
+@query("k13_pr_curve", f"""WITH {_CURVE} SELECT model, {rsql("score", 6)} AS score, {rsql("prec", 6)} AS precision, {rsql("rec", 6)} AS recall FROM pr""")
+def k13(spark, sf_dir):
+    return ev.pr_points(scores(spark, sf_dir)).select(
+        "model", rd("score", 6).alias("score"), rd("precision", 6).alias("precision"), rd("recall", 6).alias("recall")
+    )
+
+
+@query("k13_pr_summary", f"""WITH {_CURVE}, n AS (SELECT model, score, prec, rec,
+  row_number() OVER (PARTITION BY model ORDER BY abs(rec - 0.9), score) AS i FROM pr)
+SELECT ap.model, {rsql("ap", 6)} AS average_precision, {rsql("prev", 6)} AS prevalence, {rsql("n.prec", 6)} AS near_precision,
+       {rsql("n.rec", 6)} AS near_recall FROM ap JOIN n ON ap.model = n.model AND n.i = 1""")
+def k13_summary(spark, sf_dir):
+    return ev.pr_summary(ev.pr_points(scores(spark, sf_dir))).select(
+        "model", *[rd(c, 6).alias(c) for c in ("average_precision", "prevalence", "near_precision", "near_recall")]
+    )
+
+
+_THRESHOLDS = "[" + ", ".join(repr(t) for t in ev.default_thresholds()) + "]::DOUBLE[]"
+_SCAN = f"""{SCORES}, t AS (SELECT unnest({_THRESHOLDS}) AS threshold),
+d AS (SELECT model, score, sum(label) AS pos, count(*) AS n FROM scores GROUP BY 1, 2),
+k AS (SELECT model, threshold, sum(CASE WHEN score >= threshold THEN pos ELSE 0 END) AS tp,
+      sum(CASE WHEN score >= threshold THEN n - pos ELSE 0 END) AS fp,
+      sum(CASE WHEN score < threshold THEN pos ELSE 0 END) AS fn FROM d, t GROUP BY 1, 2),
+pr AS (SELECT *, tp / (tp + fp + 1e-10) AS p, tp / (tp + fn + 1e-10) AS r FROM k),
+f AS (SELECT *, 5 * p * r / (4 * p + r + 1e-10) AS f2 FROM pr)"""
+
+
+@query("k14_threshold_scan", f"""WITH {_SCAN} SELECT model, {rsql("threshold", 6)} AS threshold, CAST(tp AS BIGINT) AS tp,
+  CAST(fp AS BIGINT) AS fp, {rsql("p", 6)} AS precision, {rsql("r", 6)} AS recall, {rsql("f2", 6)} AS f2 FROM f""")
+def k14(spark, sf_dir):
+    scan = ev.threshold_scan(scores(spark, sf_dir), ev.default_thresholds())
+    return scan.select(
+        "model", rd("threshold", 6).alias("threshold"), "tp", "fp",
+        *[rd(c, 6).alias(c) for c in ("precision", "recall", "f2")],
+    )
+
+
+@query("k14_best_threshold", f"""WITH {_SCAN}, b AS (
+SELECT *, row_number() OVER (PARTITION BY model ORDER BY f2 DESC, threshold) AS i FROM f)
+SELECT model, {rsql("threshold", 6)} AS threshold, {rsql("f2", 6)} AS f2 FROM b WHERE i = 1""")
+def k14_best(spark, sf_dir):
+    best = ev.best_threshold(ev.threshold_scan(scores(spark, sf_dir), ev.default_thresholds()))
+    return best.select("model", rd("threshold", 6).alias("threshold"), rd("f2", 6).alias("f2"))
+
+
+def _one_model(spark, sf_dir):
+    """A plain logistic regression on the oversampled rows, with the untouched test rows."""
+    train, test = training_sets(spark, sf_dir)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.01, standardization=False)
+    return lr.fit(train), test
+
+
+@query("k15_score_export")
+def k15(spark, sf_dir):
+    model, test = _one_model(spark, sf_dir)
+    made = learn.score_table(model, test, "Logistic Regression")
+    path = write_csv(made, fresh_path(spark, "scores-csv"))
+    return read_csv(spark, path, made.schema)
+
+
+@query("k16_best_models", f"""WITH {_WEIGHTED.replace(SCORES, _CURVE, 1)},
+s AS (SELECT m.model, acc AS accuracy, r AS recall, 2 * p * r / (p + r + 1e-10) AS f1,
+  5 * p * r / (4 * p + r + 1e-10) AS f2, auc, ap AS average_precision FROM m JOIN auc ON m.model = auc.model JOIN ap ON m.model = ap.model),
+l AS (SELECT * FROM (UNPIVOT s ON accuracy, recall, f1, f2, auc, average_precision INTO NAME metric VALUE value)),
+b AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY value DESC, model) AS i FROM l)
+SELECT metric, model, {rsql("value", 6)} AS value FROM b WHERE i = 1""")
+def k16(spark, sf_dir):
+    summary = ev.model_summary(scores(spark, sf_dir))
+    return ev.best_models(summary, ["accuracy", "recall", "f1", "f2", "auc", "average_precision"]).withColumn(
+        "value", rd("value", 6)
+    )
+
+
+@query("a09_model_reload")
+def a09(spark, sf_dir):
+    """A saved and reloaded model scores the test rows; 0 rows may differ from the original."""
+    model, test = _one_model(spark, sf_dir)
+    again = LogisticRegressionModel.load(learn.save_model(model, fresh_path(spark, "model")))
+    both = again.transform(model.transform(test).select("line_id", "features", F.col("prediction").alias("first")))
+    return both.agg(
+        F.count("*").alias("rows"), F.count_if(F.col("prediction") != F.col("first")).alias("different")
+    )
+
+
+@query("a10_split_reload", """
+SELECT l_orderkey, l_linenumber, l_quantity AS second, l_tax AS tenth FROM lineitem""")
+def a10(spark, sf_dir):
+    """Eleven columns f0..f10 reloaded: f10 must come last, not after f1."""
+    flat = rare_lines(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("f1"), F.col("l_tax").alias("f10"),
+        *[F.lit(float(i)).alias(f"f{i}") for i in (0, 2, 3, 4, 5, 6, 7, 8, 9)],
+    )
+    loaded = read_parquet(spark, write_parquet(flat, fresh_path(spark, "split")))
+    packed = learn.ensure_features(loaded).select("l_orderkey", "l_linenumber", "features")
+    return learn.flatten(packed, "features", 11).select(
+        "l_orderkey", "l_linenumber", F.col("f1").alias("second"), F.col("f10").alias("tenth")
+    )
