@@ -136,7 +136,7 @@ def _search(estimator, grid, train: DataFrame, keys: Sequence[str], label: str,
 
 def train_logistic(
     train: DataFrame, keys: Sequence[str], label: str = "label", reg: Sequence[float] = (0.01, 0.1),
-    net: Sequence[float] = (0.0, 0.5, 1.0), parallelism: int = 2,
+    net: Sequence[float] = (0.0, 0.5, 1.0), parallelism: int = 6,
 ) -> CrossValidatorModel:
     lr = LogisticRegression(featuresCol="features", labelCol=label, family="binomial", standardization=False, tol=1e-6)
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg)).addGrid(lr.elasticNetParam, list(net)).build()
@@ -145,7 +145,7 @@ def train_logistic(
 
 def train_forest(
     train: DataFrame, keys: Sequence[str], label: str = "label", trees: Sequence[int] = (50, 100),
-    depths: Sequence[int] = (8, 12), leaf: Sequence[int] = (1, 5), parallelism: int = 2,
+    depths: Sequence[int] = (8, 12), leaf: Sequence[int] = (1, 5), parallelism: int = 8,
 ) -> CrossValidatorModel:
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, seed=SEED, featureSubsetStrategy="sqrt")
     grid = (
@@ -157,7 +157,7 @@ def train_forest(
 
 def train_boosted(
     train: DataFrame, keys: Sequence[str], label: str = "label", rounds: Sequence[int] = (50,),
-    depths: Sequence[int] = (4, 6), steps: Sequence[float] = (0.1, 0.2, 0.3), parallelism: int = 1,
+    depths: Sequence[int] = (4, 6), steps: Sequence[float] = (0.1, 0.2, 0.3), parallelism: int = 6,
 ) -> CrossValidatorModel:
     gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=SEED, lossType="logistic")
     grid = (
