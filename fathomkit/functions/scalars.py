@@ -167,3 +167,40 @@ def key_bucket(keys: Sequence[Column], buckets: int, seed: int) -> Column:
 def key_uniform(keys: Sequence[Column], seed: int) -> Column:
     """Repeatable uniform number in [0, 1) of a row, taken from its key."""
     return key_bucket(keys, 1 << 52, seed) / F.lit(float(1 << 52))
+
+
+# Wichura's rational approximations of the normal quantile (AS 241), numerator
+# and denominator per region, highest power first.
+_CENTRE = (
+    (2.5090809287301226727e3, 3.3430575583588128105e4, 6.7265770927008700853e4, 4.5921953931549871457e4,
+     1.3731693765509461125e4, 1.9715909503065514427e3, 1.3314166789178437745e2, 3.3871328727963666080e0),
+    (5.2264952788528545610e3, 2.8729085735721942674e4, 3.9307895800092710610e4, 2.1213794301586595867e4,
+     5.3941960214247511077e3, 6.8718700749205790830e2, 4.2313330701600911252e1, 1.0),
+)
+_TAIL = (
+    (7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258e0,
+     3.64784832476320460504e0, 5.76949722146069140550e0, 4.63033784615654529590e0, 1.42343711074968357734e0),
+    (1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+     6.89767334985100004550e-1, 1.67638483018380384940e0, 2.05319162663775882187e0, 1.0),
+)
+_FAR = (
+    (2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
+     2.96560571828504891230e-1, 1.78482653991729133580e0, 5.46378491116411436990e0, 6.65790464350110377720e0),
+    (2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
+     1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0),
+)
+
+
+def _rational(region, x: Column) -> Column:
+    top, bottom = (F.lit(cs[0]) for cs in region)
+    for a, b in zip(*(cs[1:] for cs in region)):
+        top, bottom = top * x + a, bottom * x + b
+    return top / bottom
+
+
+def normal_quantile(p: Column) -> Column:
+    """Inverse of the standard normal distribution function, for 0 < p < 1."""
+    q = p - 0.5
+    r = F.sqrt(-F.log(F.least(p, 1 - p)))
+    outer = F.when(r <= 5, _rational(_TAIL, r - 1.6)).otherwise(_rational(_FAR, r - 5))
+    return F.when(F.abs(q) <= 0.425, q * _rational(_CENTRE, 0.180625 - q * q)).otherwise(F.sign(q) * outer)

@@ -19,6 +19,7 @@ from fathomkit.operators.describe import histogram, ranked_intervals
 from fathomkit.operators.ordered import quantiles
 from fathomkit.session import hold, sized_broadcast
 
+MAX_PARAMETERS = 3_000  # size of the dense system the driver solves
 MAX_DRAW_CELLS = 20_000_000  # numbers in a draw matrix that is shipped to every task
 
 
@@ -147,8 +148,10 @@ def fit_map(
     covariates = list(covariates)
     k = len(covariates)
     at = covariates.index(slope) if kinds == 2 else None
-    groups = sorted(r[0] for r in patterns.select("_group").distinct().collect())
+    groups = sorted(r[0] for r in patterns.select("_group").distinct().limit(MAX_PARAMETERS + 1).collect())
     j = len(groups)
+    if 1 + k + kinds * j > MAX_PARAMETERS:
+        raise ValueError("too many parameters for a dense Newton step")
     sigma = np.eye(kinds)
     theta, before, before_ll = np.zeros(1 + k + kinds * j), None, None
     moved, norm, step = np.inf, np.inf, 0

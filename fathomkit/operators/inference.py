@@ -9,7 +9,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fathomkit.functions import tails
-from fathomkit.functions.scalars import ratio, threshold_label
+from fathomkit.functions.scalars import normal_quantile, ratio, threshold_label
 from fathomkit.operators.grouping import contingency
 from fathomkit.operators.ordered import global_rank, quantiles, running_totals
 from fathomkit.session import hold, sized_broadcast
@@ -292,14 +291,9 @@ def diagnostics(df: DataFrame, fit: Fit) -> DataFrame:
 def normal_qq(rows: DataFrame, column: str, key: str) -> DataFrame:
     """Add the normal quantile that belongs to each row's global rank."""
     ranked = global_rank(rows, column, key)
-
-    @F.pandas_udf("double")
-    def inverse_normal(p: pd.Series) -> pd.Series:
-        return p.map(NormalDist().inv_cdf)
-
     a = F.when(F.col("total") > 10, 0.5).otherwise(0.375)
     p = (F.col("rank") - a) / (F.col("total") + 1 - 2 * a)
-    return ranked.withColumn("theoretical", inverse_normal(p))
+    return ranked.withColumn("theoretical", normal_quantile(p))
 
 
 # --- one factor --------------------------------------------------------------------------

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import re
-import time
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,42 +134,36 @@ def _search(estimator, grid, train: DataFrame, keys: Sequence[str], label: str,
         folded.unpersist()
 
 
+def _grid(estimator, **values: Sequence) -> list[dict]:
+    """Every combination of the listed parameter values."""
+    params = [estimator.getParam(n) for n in values]
+    return [dict(zip(params, combo)) for combo in product(*values.values())]
+
+
 def train_logistic(
     train: DataFrame, keys: Sequence[str], label: str = "label", reg: Sequence[float] = (0.01, 0.1),
     net: Sequence[float] = (0.0, 0.5, 1.0), parallelism: int = 6,
 ) -> CrossValidatorModel:
-    lr = LogisticRegression(featuresCol="features", labelCol=label, family="binomial", standardization=False, tol=1e-6)
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg)).addGrid(lr.elasticNetParam, list(net)).build()
-    return _search(lr, grid, train, keys, label, parallelism)
+    est = LogisticRegression(labelCol=label, standardization=False, tol=1e-6)
+    return _search(est, _grid(est, regParam=reg, elasticNetParam=net), train, keys, label, parallelism)
 
 
 def train_forest(
     train: DataFrame, keys: Sequence[str], label: str = "label", trees: Sequence[int] = (50, 100),
     depths: Sequence[int] = (8, 12), leaf: Sequence[int] = (1, 5), parallelism: int = 8,
 ) -> CrossValidatorModel:
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, seed=SEED, featureSubsetStrategy="sqrt")
-    grid = (
-        ParamGridBuilder().addGrid(rf.numTrees, list(trees)).addGrid(rf.maxDepth, list(depths))
-        .addGrid(rf.minInstancesPerNode, list(leaf)).build()
-    )
-    return _search(rf, grid, train, keys, label, parallelism)
+    est = RandomForestClassifier(labelCol=label, seed=SEED, featureSubsetStrategy="sqrt")
+    grid = _grid(est, numTrees=trees, maxDepth=depths, minInstancesPerNode=leaf)
+    return _search(est, grid, train, keys, label, parallelism)
 
 
 def train_boosted(
     train: DataFrame, keys: Sequence[str], label: str = "label", rounds: Sequence[int] = (50,),
     depths: Sequence[int] = (4, 6), steps: Sequence[float] = (0.1, 0.2, 0.3), parallelism: int = 6,
 ) -> CrossValidatorModel:
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=SEED, lossType="logistic")
-    grid = (
-        ParamGridBuilder().addGrid(gbt.maxIter, list(rounds)).addGrid(gbt.maxDepth, list(depths))
-        .addGrid(gbt.stepSize, list(steps)).build()
-    )
-    return _search(gbt, grid, train, keys, label, parallelism)
-
-
-def timed(fit) -> tuple[CrossValidatorModel, float]:
-    start = time.time()
-    return fit(), time.time() - start
+    est = GBTClassifier(labelCol=label, seed=SEED)
+    grid = _grid(est, maxIter=rounds, maxDepth=depths, stepSize=steps)
+    return _search(est, grid, train, keys, label, parallelism)
 
 
 def ranked_weights(spark: SparkSession, names: Sequence[str], values, kind: str) -> DataFrame:

@@ -170,7 +170,8 @@ def global_rank(
     """1-based rank over the whole table by ``value``, ties broken by the unique ``tie``.
 
     Ties are cut into ranges of ``tie`` as well, so a value shared by a third of all rows
-    still spreads over many tasks. Also adds ``total``, the number of ranked rows.
+    still spreads over many tasks. Also adds ``total``, the number of ranked rows. A null
+    value has no rank, so ``value`` must not be null.
     """
     ranged = range_index(df, tie, "_tie_range")
     cells = ranged.groupBy(value, "_tie_range").agg(F.count("*").alias("_n"))

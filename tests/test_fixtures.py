@@ -77,3 +77,12 @@ def test_sampling_invariants(spark):
     assert sum(rates.values()) == 20_000
     for k in (0, 1):
         assert abs(rates[k, "train"] / (rates[k, "train"] + rates[k, "test"]) - 0.8) < 0.06
+
+
+def test_normal_quantile(spark):
+    from statistics import NormalDist
+
+    ps = [1e-300, 1e-14, 1e-9, 0.001, 0.0749, 0.076, 0.3, 0.5, 0.8, 0.95, 0.999999, 1 - 1e-12]
+    got = spark.createDataFrame([(p,) for p in ps], "p double").select("p", sc.normal_quantile(F.col("p")).alias("z"))
+    for r in got.collect():
+        assert np.isclose(r["z"], NormalDist().inv_cdf(r["p"]), rtol=1e-12, atol=1e-15)
