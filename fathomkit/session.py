@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the cluster names none (tests, local mode) a folder is made here.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
