@@ -5,7 +5,7 @@ Nothing here is sampled: every view covers all rows of the tables it reads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomkit.functions.scalars import MONTHS
@@ -29,15 +29,20 @@ tx AS (
 """
 
 
+def wall_seconds(c: str) -> Column:
+    """Seconds on the wall clock of a zone-less timestamp, whatever the session's time zone."""
+    return F.unix_date(F.col(c).cast("date")).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    seconds = F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
-    first = li.agg(F.min("l_shipdate").alias("t"))
+    seconds = wall_seconds("l_shipdate")
+    first = li.agg(F.min(seconds).alias("t"))
     return li.select(
         F.col("l_orderkey").alias("transaction_id"),
         "l_partkey", "l_suppkey", "l_linenumber",
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        (seconds - F.unix_timestamp(first.scalar().cast("timestamp"))).cast("double").alias("Time"),
+        (seconds - first.scalar()).cast("double").alias("Time"),
         (F.col("l_extendedprice") / 1000.0).alias("Amount"),
         ((F.col("l_quantity") - 25.5) / 2.25).alias("V14"),
         ((F.col("l_discount") - 0.05) * 220.0).alias("V12"),
