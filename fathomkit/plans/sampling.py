@@ -61,6 +61,25 @@ def f06(spark, sf_dir):
     )
 
 
+@query("f06_split_invariants", f"""WITH {TRANSACTIONS}
+SELECT "Class", count(*) AS n, TRUE AS near_80_20 FROM tx GROUP BY 1""")
+def f06_invariants(spark, sf_dir):
+    """Both parts together hold every row of a class, four fifths of it in the training part."""
+    marked = s.stratified_split(transactions(spark, sf_dir), "Class", KEYS)
+    share = F.avg((F.col("split") == "train").cast("int"))
+    return marked.groupBy("Class").agg(
+        F.count_if(F.col("split").isin("train", "test")).alias("n"), share.between(0.75, 0.85).alias("near_80_20")
+    )
+
+
+@query("f08_sample_invariants", """
+SELECT least(count(*), 500) AS n, least(count(*), 500) AS different FROM events""")
+def f08_invariants(spark, sf_dir):
+    """Exactly 500 rows (all of them if there are fewer), none drawn twice."""
+    drawn = s.sample_exactly(table(spark, sf_dir, "events").select("event_id"), 500, ["event_id"])
+    return drawn.agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("different"))
+
+
 @query("f07_shuffled_rows", "SELECT event_id, user_id FROM events")
 def f07(spark, sf_dir):
     return s.shuffled(table(spark, sf_dir, "events").select("event_id", "user_id"), ["event_id"])
