@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from fathomkit.llm import packing, quality, warc  # noqa: F401
+from fathomkit.llm import mixing, packing, quality, warc  # noqa: F401
 from fathomkit.llm.jobs import ORACLES, QUERIES  # noqa: F401
