@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from fathomkit.llm import mixing, packing, personal, quality, secrets, warc  # noqa: F401
+from fathomkit.llm import language, mixing, packing, personal, quality, secrets, warc  # noqa: F401
 from fathomkit.llm.jobs import ORACLES, QUERIES  # noqa: F401
