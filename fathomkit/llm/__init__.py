@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-from fathomkit.llm import language, mixing, packing, personal, quality, secrets, warc  # noqa: F401
+from fathomkit.llm import (  # noqa: F401
+    hamming, language, mixing, packing, personal, quality, secrets, toxicity, warc,
+)
 from fathomkit.llm.jobs import ORACLES, QUERIES  # noqa: F401
