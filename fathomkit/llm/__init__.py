@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from fathomkit.llm import (  # noqa: F401
-    hamming, language, mixing, packing, personal, quality, secrets, toxicity, warc,
+    hamming, jaccard, language, mixing, packing, personal, quality, secrets, toxicity, warc,
 )
 from fathomkit.llm.jobs import ORACLES, QUERIES  # noqa: F401
