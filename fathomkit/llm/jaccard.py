@@ -331,10 +331,10 @@ c AS (
 l AS (
   SELECT a, b, x.node AS node_a, y.node AS node_b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
   WHERE 5 * m >= 4 * (x.n + y.n - m)),
-r(doc_id, at) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.at),
+r(doc_id, met) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.met),
 k AS (SELECT a AS doc_id, count(*) AS n_links,
   count(DISTINCT CASE WHEN node_a <> node_b THEN node_b END) AS n_class_links FROM l GROUP BY a)
-SELECT r.doc_id, min(r.at) AS class_id, coalesce(any_value(n_links), 0)::BIGINT AS n_links,
+SELECT r.doc_id, min(r.met) AS class_id, coalesce(any_value(n_links), 0)::BIGINT AS n_links,
   coalesce(any_value(n_class_links), 0)::BIGINT AS n_class_links
 FROM r LEFT JOIN k USING (doc_id) GROUP BY r.doc_id""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
