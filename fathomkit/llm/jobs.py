@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +30,45 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bounded_sample(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest hash of doc_id, or all if there are fewer; give it narrow rows.
+
+    Rows are first thinned by the hash to little more than ``n``, so that what meets in one task does not follow the
+    input.
+    """
+    total = rows.count()
+    share = min(1.0, (n + 10 * n ** 0.5) / max(total, 1))
+    few = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(math.ceil(share * (1 << 40))))
+    return few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+
+
+def every(df: DataFrame) -> list:
+    """All columns of ``df``, whatever their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by as many underscores as it takes to be none of the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_scored_text(docs: DataFrame, name: str, kind: T.DataType, make) -> DataFrame:
+    """``docs`` with a further column: ``make()`` is called in each task, its result on the texts of each batch (null
+    as empty), and gives an Arrow array."""
+    place = docs.columns.index("text")
+    plain = [f"c{i}" for i in range(len(docs.columns))]  # Spark's Arrow functions take no names with dots
+    fields = [T.StructField(c, f.dataType) for c, f in zip(plain, docs.schema)]
+
+    def run(batches):
+        score = make()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(place).cast(pa.string()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, score(texts)], names=[*plain, "more"])
+
+    out = docs.toDF(*plain).mapInArrow(run, T.StructType([*fields, T.StructField("more", kind)]))
+    return out.toDF(*docs.columns, name)

@@ -31,16 +31,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomkit.llm.jobs import query, table
+from fathomkit.llm.jobs import bounded_sample, every, free_name, query, table, with_scored_text
+from fathomkit.session import hold
 
 TRAIN_ROWS = 1500
 WINDOW, STRIDE = 32, 16
 WORDS, TRIPLES = 2048, 8192
 WORD_SIZE, TRIPLE_SIZE, HIDDEN, ATTENTION = 8, 12, 8, 8
-EPOCHS, BATCH, STEP = 10, 64, 0.01
+EPOCHS, STEPS, BATCH, RATE = 10, 800, 64, 0.01
+LEAST_DOCS, LEAST_CALIBRATION = 3, 50
 REJECT_AT = 0.7
 CACHE_WORDS = 200_000
 CHUNK_WINDOWS = 1024
+CHUNK_CHARS = 1_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -224,7 +227,7 @@ class _Adam:
 
 
 def _telling(docs: list[list[str]], y: np.ndarray) -> dict[str, float]:
-    """Log ratio of the shares of toxic and clean documents that hold a word."""
+    """Log ratio of the shares of toxic and clean documents that hold a word, for the words of any of them."""
     counts, many = (Counter(), Counter()), np.bincount(y, minlength=2)
     for words, label in zip(docs, y):
         distinct = set(words)
@@ -234,11 +237,31 @@ def _telling(docs: list[list[str]], y: np.ndarray) -> dict[str, float]:
 
 
 def train(texts: list[str], labels: np.ndarray, share: float, seed: int = 11) -> Network:
-    """Network from texts with labels 0 and 1; ``share``: of toxic ones among all labelled rows, for calibration."""
-    net, random, y = Network(seed), np.random.RandomState(seed), np.asarray(labels, int)
-    docs = [words_of(t) for t in texts]
+    """Network from texts with labels 0 and 1; ``share``: of toxic ones among all labelled rows, for calibration.
+
+    Every fifth text of either class is left for the calibration, if there are enough.
+    """
+    labels = np.asarray(labels, int)
+    nth = np.where(labels == 1, np.cumsum(labels), np.cumsum(1 - labels))
+    left = (nth % 5 == 0) & (min(labels.sum(), (1 - labels).sum()) >= 5 * LEAST_CALIBRATION)
+    kept = [t for t, out in zip(texts, left) if not out]
+    net = _fitted([words_of(t) for t in kept], labels[~left], seed)
+    net.share = float(share)
+    if left.any():
+        kept, labels = [t for t, out in zip(texts, left) if out], labels[left]
+    top, some = Scorer(net).tops(kept)
+    y = labels[some]
+    real = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
+    net.slope, net.offset = _calibrated(top[some], y, real)
+    return net
+
+
+def _fitted(docs: list[list[str]], y: np.ndarray, seed: int) -> Network:
+    """Network without calibration, from the words of texts."""
+    net, random = Network(seed), np.random.RandomState(seed)
     telling = _telling(docs, y)
-    ranked = sorted(telling, key=lambda x: (-abs(telling[x]), x))[:WORDS]
+    held = Counter(x for d in docs for x in set(d))
+    ranked = sorted((x for x in telling if held[x] >= LEAST_DOCS), key=lambda x: (-abs(telling[x]), x))[:WORDS]
     net.vocabulary = {x: i for i, x in enumerate(ranked)}
     names = sorted(telling)
     number = {x: i for i, x in enumerate(names)}
@@ -258,8 +281,12 @@ def train(texts: list[str], labels: np.ndarray, share: float, seed: int = 11) ->
                         for b, n in zip(begin, sizes)], np.int64)
     adam = _Adam(net.w)
     clean = np.flatnonzero(y == 0)
-    for epoch in range(EPOCHS):
-        if epoch >= 2:
+    windows = len(y) + len(clean)
+    epochs = max(EPOCHS, -(-STEPS * BATCH // windows))
+    # toxic windows count more where they are few
+    weight = np.where(y == 1, min(8.0, max(1.0, 2 * len(clean) / max(1, windows - 2 * len(clean)))), 1).astype(np.float32)
+    for epoch in range(epochs):
+        if epoch >= epochs // 5 and epoch * 10 // epochs > (epoch - 1) * 10 // epochs:
             start = top_windows()[1]
         extra = random.choice(clean, len(clean))
         doc = np.concatenate([np.arange(len(y)), extra])
@@ -277,46 +304,44 @@ def train(texts: list[str], labels: np.ndarray, share: float, seed: int = 11) ->
             flat = cells[np.repeat(cell_begin[used] - first, many) + np.arange(many.sum())]
             x = net.combined(own_row[used], flat, first)
             shape = x[:, WORD_SIZE:]
-            grad, d_x = _backward(net, x, local, mask, y[d].astype(np.float32), np.ones(len(d), np.float32))
+            grad, d_x = _backward(net, x, local, mask, y[d].astype(np.float32), weight[d])
             grad["words"] = np.zeros_like(net.w["words"])
             np.add.at(grad["words"], own_row[used], d_x[:, :WORD_SIZE])
             grad["words"][WORDS] = 0
             grad["triples"] = np.zeros_like(net.w["triples"])
             d_cells = d_x[:, WORD_SIZE:] * (1 - shape * shape)
             np.add.at(grad["triples"], flat, np.repeat(d_cells, many, axis=0))
-            adam.step(net.w, grad, STEP * (1 - epoch / EPOCHS) + 0.001)
-    top = top_windows()[0].astype(float)
-    weight = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
-    net.slope, net.offset = _calibrated(top[sizes > 0], y[sizes > 0], weight[sizes > 0])
-    net.share = float(share)
+            adam.step(net.w, grad, RATE * (1 - epoch / epochs) + 0.001)
     return net
 
 
 def _calibrated(top: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Logistic curve over the highest logit, labels smoothed a little and weighted to the share of all labels."""
     x = np.column_stack([top, np.ones(len(top))])
-    goal, w = np.clip(y.astype(float), 0.002, 0.998), np.asarray([1.0, 0.0])
+    goal, w = np.clip(y.astype(float), 0.005, 0.995), np.asarray([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 0.1 * np.eye(2)
-        w = w + np.clip(np.linalg.solve(hessian, x.T @ (weight * (goal - p)) - 0.1 * (w - [1.0, 0.0])), -1, 1)
+        hessian = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 0.01 * np.eye(2)
+        w = w + np.clip(np.linalg.solve(hessian, x.T @ (weight * (goal - p)) - 0.01 * (w - [1.0, 0.0])), -1, 1)
     return max(float(w[0]), 0.05), float(w[1])
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Network | float:
-    """Network from the labelled rows of ``docs`` (doc_id, text); the share of toxic rows if one class is missing."""
-    known = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().dropDuplicates(["doc_id"]),
-        "doc_id")
-    counts = {r["toxic"]: r["n"] for r in labels.select(F.col("toxic").cast("int").alias("toxic")).dropna().groupBy(
-        "toxic").agg(F.count("*").alias("n")).collect()}
+    """Network from the labelled rows of ``docs`` (doc_id, text); the share of toxic rows if one class is missing.
+
+    The sample is drawn from the ids; only its texts are then fetched.
+    """
+    marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().dropDuplicates(["doc_id"])
+    known = hold(docs.select("doc_id").distinct().join(marks, "doc_id"))
+    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    sample = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS).toPandas()
-              for k in (0, 1)]
-    if not all(len(s) for s in sample):
+    if not (counts.get(0) and counts.get(1)):
         return float(share)
-    texts = [t or "" for s in sample for t in s["text"]]
-    return train(texts, np.concatenate([s["toxic"].to_numpy(int) for s in sample]), share)
+    ids = [bounded_sample(known.where(F.col("toxic") == k), TRAIN_ROWS) for k in (0, 1)]
+    # at most 2 x TRAIN_ROWS ids of a few bytes
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
+        F.broadcast(hold(ids[0].union(ids[1]))), "doc_id").toPandas().sort_values(["toxic", "doc_id", "text"])
+    return train([t or "" for t in rows["text"]], rows["toxic"].to_numpy(int), share)
 
 
 class Scorer:
@@ -326,6 +351,12 @@ class Scorer:
         self.net, self.row, self.gates = net, {}, np.zeros((0, 6 * HIDDEN), np.float32)
 
     def scores(self, texts: list[str]) -> np.ndarray:
+        top, some = self.tops(texts)
+        chance = 1 / (1 + np.exp(-np.clip(self.net.slope * top + self.net.offset, -30, 30)))
+        return np.where(some, chance, self.net.share)
+
+    def tops(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Highest logit per text, and whether it has a word."""
         if len(self.row) > CACHE_WORDS:
             self.row, self.gates = {}, self.gates[:0]
         docs = [words_of(t) for t in texts]
@@ -338,9 +369,7 @@ class Scorer:
         sizes = np.asarray([len(d) for d in docs], np.int64)
         used, local = np.unique(ids, return_inverse=True)
         gates = np.vstack([self.gates[used], np.zeros((1, 6 * HIDDEN), np.float32)])
-        top = highest(self.net, gates, local, sizes)[0].astype(float)
-        chance = 1 / (1 + np.exp(-np.clip(self.net.slope * top + self.net.offset, -30, 30)))
-        return np.where(sizes > 0, chance, self.net.share)
+        return highest(self.net, gates, local, sizes)[0].astype(float), sizes > 0
 
 
 def scored(docs: DataFrame, net: Network | float) -> DataFrame:
@@ -352,22 +381,22 @@ def scored(docs: DataFrame, net: Network | float) -> DataFrame:
 
 def _with_score(docs: DataFrame, net: Network, name: str) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    place = docs.columns.index("text")
 
-    def score(batches):
+    def make():
         scorer = Scorer(sent.value)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(place).cast(pa.string()).to_pylist()]
-            parts, at, size = [], 0, 0
+
+        def score(texts):
+            parts, at, size = [np.zeros(0)], 0, 0
             for i, t in enumerate(texts):
                 size += len(t)
-                if size > 1_000_000 or i + 1 == len(texts):
+                if size > CHUNK_CHARS or i + 1 == len(texts):
                     parts.append(scorer.scores(texts[at: i + 1]))
                     at, size = i + 1, 0
-            values = pa.array(np.concatenate(parts) if parts else np.zeros(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
+            return pa.array(np.concatenate(parts))
+
+        return score
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return with_scored_text(docs, name, T.DoubleType(), make)
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 3, left: int = 1):
@@ -381,7 +410,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame, at: float = REJECT_AT) ->
     net = learn(docs.where(learning), labels.where(learning))
     if isinstance(net, float):
         return docs.where(F.lit(net < at))
-    return _with_score(docs, net, "toxic_score__").where(F.col("toxic_score__") < at).select(*docs.columns)
+    name = free_name(docs, "toxic_score")
+    return _with_score(docs, net, name).where(F.col(name) < at).select(*every(docs))
 
 
 @query("op9_toxicity")
