@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomkit.llm.jobs import query, table
+from fathomkit.llm.jobs import every, free_name, query, table, with_scored_text
 from fathomkit.llm.shingles import HASHES, band_keys, digest_of, shingles_of, signature_of
 from fathomkit.session import hold
 
@@ -293,29 +293,24 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     leaves = rows.where(~stays).select("doc_id").union(unique)
     kept = docs.join(hold(leaves.where("doc_id IS NOT NULL").distinct()), "doc_id", "left_anti").where(
         "doc_id IS NOT NULL")
-    return kept.select(*docs.columns).unionByName(_by_text(docs, rows.where(stays), unique))
+    return kept.select(*every(docs)).unionByName(_by_text(docs, rows.where(stays), unique))
 
 
 def _by_text(docs: DataFrame, stays: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows to keep among those whose id does not name one row, found by their shingle set."""
-    named = F.struct(*docs.columns).alias("row")
-    some = docs.join(ids.withColumnRenamed("doc_id", "some_id"), F.col("doc_id").eqNullSafe(F.col("some_id")), "left_semi")
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("node__", T.BinaryType())])
-    place = docs.columns.index("text")
-
-    def digests(batches):
-        for batch in batches:
-            sets = [shingles_of(t or "") for t in batch.column(place).cast(pa.string()).to_pylist()]
-            node = pa.array([digest_of(s) if len(s) else None for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, node], names=schema.fieldNames())
-
-    marked = some.mapInArrow(digests, schema)
-    wordless = marked.where("node__ IS NULL")
-    worded = marked.join(stays.where("node IS NOT NULL").select(F.col("node").alias("node__")).distinct(), "node__",
-                         "left_semi").groupBy("node__").agg(F.min_by(named, F.struct(
-                             F.col("doc_id").isNull(), "doc_id")).alias("row")).select("row.*")
-    return wordless.select(*docs.columns).unionByName(worded)
+    some, node = free_name(docs, "some_id"), free_name(docs, "node")
+    rows = docs.join(ids.withColumnRenamed("doc_id", some), F.col("doc_id").eqNullSafe(F.col(some)), "left_semi")
+
+    def digests(texts):
+        sets = [shingles_of(t) for t in texts]
+        return pa.array([digest_of(s) if len(s) else None for s in sets], pa.binary())
+
+    marked = with_scored_text(rows, node, T.BinaryType(), lambda: digests)
+    wordless = marked.where(F.col(node).isNull()).select(*every(docs))
+    wanted = stays.where("node IS NOT NULL").select(F.col("node").alias(node)).distinct()
+    first = F.min_by(F.struct(*every(docs)), F.struct(F.col("doc_id").isNull(), "doc_id")).alias(node + "_row")
+    worded = marked.join(wanted, node, "left_semi").groupBy(node).agg(first).select(node + "_row.*")
+    return wordless.unionByName(worded)
 
 
 @query("op6_jaccard_join", """

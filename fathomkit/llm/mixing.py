@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fathomkit.llm.jobs import query, table
+from fathomkit.llm.jobs import every, free_name, query, table
 from fathomkit.session import hold
 
 BLOCKS = 4096
@@ -39,11 +39,10 @@ def _hash12(text) -> F.Column:
     return F.conv(F.substring(F.md5(text), 1, 3), 16, 10).cast("int")
 
 
-def with_blocks(docs: DataFrame) -> DataFrame:
-    """Adds block and source_key to ``docs``; neither name may be taken before."""
-    block = _hash12(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+def with_blocks(docs: DataFrame, block: str = "mix_block", source: str = "mix_source") -> DataFrame:
+    """Adds the block and the source of each row, under names that must be free."""
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    return docs.withColumn("mix_block", block).withColumn("mix_source", key)
+    return docs.withColumn(block, _hash12(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn(source, key)
 
 
 def block_table(docs: DataFrame) -> DataFrame:
@@ -131,9 +130,11 @@ def mixture(
 
 def apply_mixture(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """``docs`` as the mixture holds them: each row as often as its block is taken."""
-    taken = plan.select("mix_source", "mix_block", F.sequence(F.lit(1), "copies").alias("mix_pass"))
-    return with_blocks(docs).join(taken, ["mix_source", "mix_block"]).select(
-        *docs.columns, F.explode("mix_pass").alias("mix_pass")).drop("mix_pass")
+    block, source, turn = (free_name(docs, name) for name in ("mix_block", "mix_source", "mix_pass"))
+    taken = plan.select(F.col("mix_source").alias(source), F.col("mix_block").alias(block),
+                        F.sequence(F.lit(1), "copies").alias(turn)).where("copies > 0")
+    return with_blocks(docs, block, source).join(taken, [source, block]).select(
+        *every(docs), F.explode(turn).alias(turn)).drop(turn)
 
 
 SQL = f"""

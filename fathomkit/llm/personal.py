@@ -90,10 +90,9 @@ def loose_spans(text: Column) -> list[tuple[str, Column]]:
 
 
 def _vote(name: str, yes: Column, no: Column | None = None) -> Column:
-    """name=+, name=- or name=0."""
+    """name=+, name=-, or null where the labeler abstains, which is no evidence."""
     against = F.lit(False) if no is None else no
-    sign = F.when(F.coalesce(yes, F.lit(False)), "+").when(F.coalesce(against, F.lit(False)), "-").otherwise("0")
-    return F.concat(F.lit(f"{name}="), sign)
+    return F.when(F.coalesce(yes, F.lit(False)), f"{name}=+").when(F.coalesce(against, F.lit(False)), f"{name}=-")
 
 
 def _judged(text: Column, span: Column, kind: str, base: bool) -> Column:
@@ -107,15 +106,15 @@ def _judged(text: Column, span: Column, kind: str, base: bool) -> Column:
         digits = F.length(_digits(hit))
         last = F.lower(F.regexp_extract(hit, r"\.([A-Za-z]+)$", 1))
         shape = F.lit(True) if base else hit.rlike(r"^(Mr|Mrs|Ms|Dr|Prof)\b") if kind == "name" else F.lit(False)
-        votes = F.array(
-            F.lit(f"kind={kind}"), _vote("pattern", shape),
+        votes = F.array_compact(F.array(
+            _vote("pattern", shape),
             _vote("even", F.lit(False), hit.rlike(r"^\D*(\d)(\D|\1)*$")),
             _vote("domains", last.isin(*DOMAINS), (F.lit(kind in ("email", "address"))) & (F.length(last) > 6)),
             _vote("names", F.regexp_extract(hit, r"([A-Z][a-z]+)$", 1).isin(*GIVEN_NAMES)
                   | F.regexp_extract(hit, r"\x20([A-Z][a-z]+)", 1).isin(*GIVEN_NAMES)),
             _vote("context", x["before"].rlike(SUPPORT), x["before"].rlike(AGAINST)),
             _vote("embedded", F.lit(False), x["before"].rlike(r"[A-Za-z0-9]$") | x["after"].rlike(r"[A-Za-z0-9]")),
-        )
+        ))
         size = F.length(hit)
         features = F.array(
             F.lit(f"kind={kind}"),

@@ -181,7 +181,7 @@ def without_secrets(docs: DataFrame) -> DataFrame:
     base, tokens = scanned(text)
     clean = let(F.struct(base.alias("base"), tokens.alias("tokens")),
                 lambda s: redacted(text, all_spans(s["base"], s["tokens"], limits)))
-    kept = [F.when(F.col("text").isNull(), None).otherwise(clean).alias(c) if c == "text" else F.col(c)
+    kept = [F.when(F.col("text").isNull(), None).otherwise(clean).alias(c) if c == "text" else F.col(f"`{c}`")
             for c in docs.columns]
     return docs.select(*kept)
 
