@@ -87,13 +87,14 @@ def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def month_end_totals(df: DataFrame, day: str, amount: str) -> DataFrame:
-    """Sum per calendar month from the first to the last month; empty months are 0."""
+def month_end_totals(df: DataFrame, day: str, amount: str, margin: int = 0) -> DataFrame:
+    """Sum per calendar month from the first to the last month, and ``margin`` months on either side; empty ones are 0."""
     sums = df.filter(F.col(day).isNotNull()).groupBy(
         F.last_day(F.col(day).cast("date")).alias("month_end")
     ).agg(money(amount).alias("total"))
     months = sums.agg(F.min("month_end").alias("a"), F.max("month_end").alias("b")).select(
-        F.explode(F.sequence(F.trunc("a", "month"), F.trunc("b", "month"), F.expr("interval 1 month")))
+        F.explode(F.sequence(F.add_months(F.trunc("a", "month"), -margin), F.add_months(F.trunc("b", "month"), margin),
+                             F.expr("interval 1 month")))
         .alias("m")
     ).select(F.last_day("m").alias("month_end"))
     return months.join(sums, "month_end", "left").fillna(0.0, ["total"])

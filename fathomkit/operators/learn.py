@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from itertools import product
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,53 +117,28 @@ def smote(
 
 
 # --- models ------------------------------------------------------------------------------
-def _search(estimator, grid, train: DataFrame, keys: Sequence[str], label: str, parallelism: int) -> CrossValidatorModel:
-    """Grid search on folds taken from a hash of the row, so a rerun sees the same folds."""
-    folded = train.withColumn("_fold", key_bucket([F.col(c) for c in keys], FOLDS, SEED).cast("int"))
-    judge = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+def grid_search(
+    estimator: Estimator, grid: Mapping[str, Sequence], train: DataFrame, keys: Sequence[str], label: str = "label",
+    parallelism: int = 6,
+) -> CrossValidatorModel:
+    """Search over every combination of the listed parameter values, by area under the ROC curve.
+
+    Folds come from a hash of the row, so a rerun sees the same folds.
+    """
+    points = ParamGridBuilder()
+    for name, values in grid.items():
+        points = points.addGrid(estimator.getParam(name), list(values))
     search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=judge, numFolds=FOLDS, foldCol="_fold",
-        parallelism=parallelism,
+        estimator=estimator, estimatorParamMaps=points.build(), numFolds=FOLDS, foldCol="_fold",
+        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"), parallelism=parallelism,
     )
-    folded = folded.persist()
+    folded = train.withColumn("_fold", key_bucket([F.col(c) for c in keys], FOLDS, SEED).cast("int")).persist()
     try:
         return search.fit(folded)
     finally:
         folded.unpersist()
 
 
-def _grid(estimator, **values: Sequence) -> list[dict]:
-    """Every combination of the listed parameter values."""
-    params = [estimator.getParam(n) for n in values]
-    return [dict(zip(params, combo)) for combo in product(*values.values())]
-
-
-def train_logistic(
-    train: DataFrame, keys: Sequence[str], label: str = "label", reg: Sequence[float] = (0.01, 0.1),
-    net: Sequence[float] = (0.0, 0.5, 1.0), parallelism: int = 6,
-) -> CrossValidatorModel:
-    est = LogisticRegression(labelCol=label, standardization=False, tol=1e-6)
-    return _search(est, _grid(est, regParam=reg, elasticNetParam=net), train, keys, label, parallelism)
-
-
-def train_forest(
-    train: DataFrame, keys: Sequence[str], label: str = "label", trees: Sequence[int] = (50, 100),
-    depths: Sequence[int] = (8, 12), leaf: Sequence[int] = (1, 5), parallelism: int = 8,
-) -> CrossValidatorModel:
-    est = RandomForestClassifier(labelCol=label, seed=SEED, featureSubsetStrategy="sqrt")
-    grid = _grid(est, numTrees=trees, maxDepth=depths, minInstancesPerNode=leaf)
-    return _search(est, grid, train, keys, label, parallelism)
-
-
-def train_boosted(
-    train: DataFrame, keys: Sequence[str], label: str = "label", rounds: Sequence[int] = (50,),
-    depths: Sequence[int] = (4, 6), steps: Sequence[float] = (0.1, 0.2, 0.3), parallelism: int = 6,
-) -> CrossValidatorModel:
-    est = GBTClassifier(labelCol=label, seed=SEED)
-    grid = _grid(est, maxIter=rounds, maxDepth=depths, stepSize=steps)
-    return _search(est, grid, train, keys, label, parallelism)
-
-
 def ranked_weights(spark: SparkSession, names: Sequence[str], values, kind: str) -> DataFrame:
     """Coefficients or importances, the largest magnitude first; one row per feature."""
     rows = [(n, float(v), abs(float(v))) for n, v in zip(names, values)]

@@ -52,10 +52,10 @@ def b03(spark, sf_dir):
 SELECT event_id, temperature, eco2, pm2_5, 'HIGH' AS risk_level FROM sensors
 WHERE temperature > 50 AND eco2 > 50 AND pm2_5 > 50""")
 def b04(spark, sf_dir):
-    from fathomkit.streaming.jobs import high_risk
+    from fathomkit.streaming.jobs import above
 
-    return high_risk(sensors(spark, sf_dir), temperature=50, eco2=50, pm2_5=50).select(
-        "event_id", "temperature", "eco2", "pm2_5", "risk_level"
+    return above(sensors(spark, sf_dir), {"temperature": 50, "eco2": 50, "pm2_5": 50}).select(
+        "event_id", "temperature", "eco2", "pm2_5", F.lit("HIGH").alias("risk_level")
     )
 
 

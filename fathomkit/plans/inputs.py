@@ -125,7 +125,7 @@ sales AS (
   FROM orders),
 stores AS (
   SELECT c_custkey AS "Store", c_mktsegment AS "Type", c_acctbal AS "Size"
-  FROM customer WHERE c_custkey % 40 <> 7),
+  FROM customer),
 features AS (
   SELECT "Store", "Date", "IsHoliday",
          CAST(sum(CAST("Weekly_Sales" AS DECIMAL(18,2))) AS DOUBLE) / 10000.0 AS "Temperature",
@@ -153,7 +153,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 40 != 7).select(
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("Store"),
         F.col("c_mktsegment").alias("Type"),
         F.col("c_acctbal").alias("Size"),
@@ -265,13 +265,21 @@ def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- sensor readings ---------------------------------------------------------------------
-SENSORS = """
+# Readings that the events do not have follow from their keys: name -> (key, modulus, divisor).
+DERIVED_READINGS = {
+    "tvoc": ("event_id", 600, 1), "raw_h2": ("user_id", 140, 1), "raw_ethanol": ("event_id", 190, 1),
+    "pressure": ("user_id", 90, 10), "pm1_0": ("event_id", 40, 4), "nc0_5": ("event_id", 130, 8),
+    "nc1_0": ("event_id", 110, 8), "nc2_5": ("event_id", 70, 8), "cnt": ("event_id", 24994, 1),
+}
+
+SENSORS = f"""
 sensors AS (
   SELECT event_id, ts, value AS temperature,
          CAST(user_id % 100 AS DOUBLE) / 2 AS humidity,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS eco2,
          CAST(event_id % 80 AS DOUBLE) AS pm2_5,
-         CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS fire_alarm
+         CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS fire_alarm,
+         {", ".join(f"CAST({k} % {m} AS DOUBLE) / {d} AS {c}" for c, (k, m, d) in DERIVED_READINGS.items())}
   FROM events)
 """
 
@@ -284,4 +292,5 @@ def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("eco2"),
         (F.col("event_id") % 80).cast("double").alias("pm2_5"),
         (F.col("event_type") == "error").cast("int").alias("fire_alarm"),
+        *[((F.col(k) % m).cast("double") / d).alias(c) for c, (k, m, d) in DERIVED_READINGS.items()],
     )

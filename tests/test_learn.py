@@ -1,7 +1,9 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import (
+    GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -106,15 +108,15 @@ def test_search_save_and_scores(spark):
     y = (x[:, 0] + 0.3 * rng.normal(size=300) > 0).astype(int)
     df = spark.createDataFrame(pd.DataFrame({"f0": x[:, 0], "f1": x[:, 1], "label": y}))
     train = learn.ensure_features(df)
-    for fit, kw in (
-        (learn.train_logistic, {"reg": (0.01,), "net": (0.0,)}),
-        (learn.train_forest, {"trees": (5,), "depths": (3,), "leaf": (1,)}),
-        (learn.train_boosted, {"rounds": (3,), "depths": (2,), "steps": (0.2,)}),
+    for estimator, grid in (
+        (LogisticRegression(), {"regParam": [0.01], "elasticNetParam": [0.0, 0.5]}),
+        (RandomForestClassifier(seed=1), {"numTrees": [5], "maxDepth": [2, 3]}),
+        (GBTClassifier(seed=1), {"maxIter": [3], "stepSize": [0.2, 0.3]}),
     ):
-        cv = fit(train, ["f0", "f1"], **kw)
+        cv = learn.grid_search(estimator, grid, train, ["f0", "f1"])
         scores = learn.score_table(cv.bestModel, train, "m")
         assert ev.roc_auc(ev.roc_points(scores)).first()["auc"] > 0.9
-        assert learn.grid_table(spark, cv, "m").count() == 1
+        assert learn.grid_table(spark, cv, "m").count() == 2
     model = LogisticRegression().fit(train)
     again = LogisticRegressionModel.load(learn.save_model(model, fresh_path(spark, "m")))
     assert np.allclose(again.coefficients.toArray(), model.coefficients.toArray())
