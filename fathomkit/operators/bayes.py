@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fathomkit.functions.scalars import expit, key_uniform, ratio
 from fathomkit.operators.describe import histogram, ranked_intervals
 from fathomkit.operators.ordered import quantiles
-from fathomkit.session import hold, sized_broadcast
+from fathomkit.session import hold
 
 MAX_PARAMETERS = 3_000  # size of the dense system the driver solves
 MAX_DRAW_CELLS = 20_000_000  # numbers in a draw matrix that is shipped to every task
@@ -332,7 +332,7 @@ def effective_size(draws: DataFrame, block: int = 16, segment: int = 4096, limit
     stats = draws.groupBy(*keys).agg(
         F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v")
     )
-    held = hold(draws.join(sized_broadcast(stats), keys).select(
+    held = hold(draws.join(hold(stats), keys).select(
         *keys, F.col("iter").cast("long").alias("iter"), (F.col("value") - F.col("m")).alias("x")
     ))
     chains = {(r["param"], r["chain"]): r for r in stats.collect()}

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fathomkit.functions.scalars import SENTINELS, key_bucket, sentinel_to_null
 from fathomkit.operators.ordered import quantiles
-from fathomkit.session import sized_broadcast
+from fathomkit.session import hold
 
 
 def clean_sentinels(df: DataFrame, sentinels: Sequence[str] = SENTINELS) -> DataFrame:
@@ -72,7 +72,7 @@ def null_exactly(df: DataFrame, column: str, keys: Sequence[str], k: int, seed:
     """Null ``column`` in exactly ``k`` rows, picked by a repeatable hash of the unique key."""
     draw = key_bucket([F.col(c) for c in keys], 1 << 62, seed)
     picked = df.select(*keys).orderBy(draw, *keys).limit(k).withColumn("_hit", F.lit(True))
-    marked = df.join(sized_broadcast(picked), list(keys), "left")
+    marked = df.join(hold(picked), list(keys), "left")
     return marked.withColumn(column, F.when(F.col("_hit").isNull(), F.col(column))).select(*df.columns)
 
 

@@ -13,7 +13,7 @@ from fathomkit.functions.scalars import ratio
 from fathomkit.operators.grouping import money
 from fathomkit.operators.learn import assemble, standardise
 from fathomkit.operators.ordered import global_rank, quantiles, running_totals, tile_of
-from fathomkit.session import hold, sized_broadcast
+from fathomkit.session import hold
 
 RFM = ["recency", "frequency", "monetary"]
 
@@ -87,7 +87,7 @@ def outlier_flags(df: DataFrame, group: str, value: str, width: float = 1.5) ->
     q = quantiles(df, [value], [0.25, 0.75], by=[group], names=["q1", "q3"]).select(group, "q1", "q3")
     spread = F.col("q3") - F.col("q1")
     odd = (F.col(value) < F.col("q1") - width * spread) | (F.col(value) > F.col("q3") + width * spread)
-    return df.join(sized_broadcast(q), group).withColumn("anomaly", odd).drop("q1", "q3")
+    return df.join(hold(q), group).withColumn("anomaly", odd).drop("q1", "q3")
 
 
 def dimension(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fathomkit.functions.scalars import ratio, skew_label
 from fathomkit.operators.ordered import quantiles
-from fathomkit.session import sized_broadcast
+from fathomkit.session import hold
 
 
 def per_column(df: DataFrame, columns: Sequence[str], stats: dict, by: Sequence[str] = ()) -> DataFrame:
@@ -122,7 +122,7 @@ def kde(df: DataFrame, column: str, points: int = 1000) -> DataFrame:
 def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles, whiskers at the last point within 1.5 IQR, and outliers, per group."""
     q = quantiles(df, [column], [0.25, 0.5, 0.75], by=[by], names=["q1", "median", "q3"])
-    q = sized_broadcast(q.select(by, "q1", "median", "q3"))
+    q = hold(q.select(by, "q1", "median", "q3"))
     v = F.col(column)
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))

@@ -19,7 +19,7 @@ from fathomkit.functions import tails
 from fathomkit.functions.scalars import normal_quantile, ratio, threshold_label
 from fathomkit.operators.grouping import contingency
 from fathomkit.operators.ordered import global_rank, quantiles, running_totals
-from fathomkit.session import hold, sized_broadcast
+from fathomkit.session import hold
 
 MAX_CELLS = 100_000
 
@@ -196,7 +196,7 @@ def with_fitted(df: DataFrame, fit: Fit) -> DataFrame:
     schema = ", ".join([*(f"`{n}` string" for n in names), "_b0 double", "_h0 double", "_hl array<double>"])
     z = [F.col(c).cast("double") for c in fit.numeric]
     if names:
-        cells = sized_broadcast(spark.createDataFrame(rows, schema))
+        cells = hold(spark.createDataFrame(rows, schema))
         joined = df.join(cells, names)
         b0, h0 = F.col("_b0"), F.col("_h0")
         hl = [F.col("_hl")[i] for i in range(k)]
@@ -335,7 +335,7 @@ def anova(df: DataFrame, group: str, value: str) -> DataFrame:
 def levene(df: DataFrame, group: str, value: str) -> DataFrame:
     """Median-centred Levene test: analysis of variance of the absolute deviations."""
     med = quantiles(df, [value], [0.5], by=[group], names=["_med"]).select(group, "_med")
-    dev = df.join(sized_broadcast(med), group).select(
+    dev = df.join(hold(med), group).select(
         group, F.abs(F.col(value) - F.col("_med")).alias("_dev")
     )
     return anova(dev, group, "_dev").select("df_between", "df_within", "f")

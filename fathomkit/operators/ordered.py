@@ -1,28 +1,22 @@
 """Order-dependent operators that never put a whole table in one task.
 
-Spark's unpartitioned window moves every row to one task, and its exact ``percentile``
-keeps every distinct value in one buffer. The functions here cut the ordered axis into
-ranges first, work inside each range and carry only per-range totals across.
+Spark's unpartitioned window moves every row to one task, and its exact ``percentile`` keeps every distinct value in one
+buffer. The functions here cut the ordered axis into ranges first, work inside each range and carry only per-range
+totals across. The number of ranges follows the number of rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomkit.session import BROADCAST_ROWS, hold, sized_broadcast
+from fathomkit.session import hold
 
-SKETCH = 100_000  # percentile sketch accuracy: rank error is at most rows / SKETCH
-MAX_RANGES = 1_000
-
-
-def _ranges(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_RANGES, partitions))
+CELLS = 1_024  # counts per group and pass of the quantile search
+RANGE_ROWS = 1_000_000  # rows that one task of a ranged window should hold
+MOST_FINITE = 1.7976931348623157e308
 
 
 def quantiles(
@@ -32,98 +26,74 @@ def quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles per group and column.
+    """Exact linear-interpolated quantiles per group and column; nulls and NaN are left out.
 
-    One pass sketches a bracket around every wanted rank (a few SKETCH-ths of the rows, or
-    the whole group when it is small), a second pass counts the values inside the brackets
-    and only a total between them. Nothing else is shuffled. A rank outside its bracket
-    cannot happen within the sketch guarantee, and raises if it ever did.
+    A search by counting: every pass cuts the interval that holds a wanted rank into ``CELLS`` equal parts, counts the
+    values of each with a map-side aggregate, and goes on in the part where the rank lies, between the smallest and the
+    largest value that it holds. It ends when these are equal. Only counts are shuffled, whatever the size of a group;
+    prices and whole numbers need two or three passes. The value after the wanted one is known from the same counts.
 
     Result: ``by``, ``metric``, ``n`` and one column per entry of ``probs``.
     """
     names = list(names or [f"p{p * 100:g}".replace(".", "_") for p in probs])
     by, keys = list(by), [*by, "metric"]
-    stack = F.explode(
-        F.array(*[
-            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v"))
-            for c in columns
-        ])
-    )
-    long = df.select(*by, stack.alias("_s")).select(*by, "_s.metric", "_s.v").filter("v IS NOT NULL")
-
-    slack = 4.0 / SKETCH
-    wanted = [min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)]
-    edges = long.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min("v").alias("_min"),
-        F.max("v").alias("_max"),
-        F.percentile_approx("v", F.array(*map(F.lit, wanted)), F.lit(SKETCH)).alias("_q"),
-    )
-    small = F.col("n") <= SKETCH
-    edges = edges.select(
-        *keys,
-        "n",
-        *[F.when(small, F.col("_min")).otherwise(F.col("_q")[2 * i]).alias(f"_lo{i}")
-          for i in range(len(probs))],
-        *[F.when(small, F.col("_max")).otherwise(F.col("_q")[2 * i + 1]).alias(f"_hi{i}")
-          for i in range(len(probs))],
-    )
-    edges = sized_broadcast(edges)
-
-    v, idx = F.col("v"), range(len(probs))
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(f"l.{k}").eqNullSafe(F.col(f"e.{k}"))
-    marked = long.alias("l").join(edges.alias("e"), on).select(
-        *[F.col(f"l.{k}").alias(k) for k in keys], "v", "n",
-        sum(((v >= F.col(f"_lo{i}")).cast("int") for i in idx), F.lit(0)).alias("_a"),
-        sum(((v > F.col(f"_hi{i}")).cast("int") for i in idx), F.lit(0)).alias("_b"),
-    )
-    # _a opened minus _b closed brackets: the value lies in a bracket when they differ.
-    cells = marked.groupBy(
-        *keys, "n", (F.col("_a") + F.col("_b")).alias("_slot"),
-        F.when(F.col("_a") > F.col("_b"), v).alias("v"),
-    ).agg(F.count("*").alias("_c"))
-    along = Window.partitionBy(*keys).orderBy("_slot", "v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    cells = cells.withColumn("_cum", F.sum("_c").over(along))
-
-    def at(rank: Column, name: str) -> Column:
-        return F.min(F.when(F.col("_cum") > rank, F.struct("_slot", "v", F.lit(0)))).alias(name)
-
-    picks = []
-    for i, p in enumerate(probs):
-        pos = (F.col("n") - 1) * F.lit(float(p))
-        picks += [at(F.floor(pos), f"_f{i}"), at(F.ceil(pos), f"_c{i}")]
-    picked = cells.groupBy(*keys, "n").agg(*picks)
-
-    def value(i: int, p: float) -> Column:
-        pos = (F.col("n") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_f{i}.v"), F.col(f"_c{i}.v")
-        missed = F.raise_error(F.lit("quantile rank fell outside its bracket")).cast("double")
-        return F.when(lo.isNull() | hi.isNull(), missed).otherwise(
-            lo + (hi - lo) * (pos - F.floor(pos))
-        )
-
-    return picked.select(*keys, "n", *[value(i, p).alias(names[i]) for i, p in enumerate(probs)])
-
-
-def range_index(df: DataFrame, order: str, out: str, ranges: int | None = None) -> DataFrame:
-    """Add the index of the value range (about equally many rows each) a row falls in.
-
-    Only the range bounds (at most MAX_RANGES numbers) pass through the driver.
+    base = hold(df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]))
+    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("v")) for c in columns]))
+    long = base.select(*by, stack.alias("_s")).select(*by, "_s.metric", "_s.v").filter("v IS NOT NULL AND NOT isnan(v)")
+
+    whole = long.groupBy(*keys).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    at = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
+    left = hold(whole.select("*", at.alias("_t")).select(
+        *keys, "n", "_t.i", ((F.col("n") - 1) * F.col("_t.p")).alias("pos"), "lo", "hi", F.col("n").alias("same"),
+        F.lit(None).cast("double").alias("after"),
+    ).withColumn("rank", F.floor("pos")))
+    found = [left.filter("lo = hi")]
+    while not (left := left.filter("lo < hi")).isEmpty():
+        left = hold(_narrowed(long, left, keys))
+        found.append(left.filter("lo = hi"))
+    values = found[0]
+    for part in found[1:]:
+        values = values.unionByName(part)
+    upper = F.when(F.col("rank") + 1 < F.col("same"), F.col("lo")).otherwise(F.coalesce("after", "lo"))
+    share = F.col("pos") - F.floor("pos")
+    value = F.when((share == 0) | (upper == F.col("lo")), F.col("lo")).otherwise(
+        F.col("lo") + (upper - F.col("lo")) * share)
+    return values.withColumn("value", value).groupBy(*keys, "n").agg(
+        *[F.max(F.when(F.col("i") == i, F.col("value"))).alias(name) for i, name in enumerate(names)])
+
+
+def _narrowed(long: DataFrame, left: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One pass of the search: each wanted rank with the part of its interval in which it lies."""
+    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+    on.append(F.col("l.v").between(F.col("t.lo"), F.col("t.hi")))
+
+    def half(c: str) -> Column:  # halves of finite values, so that no difference overflows
+        return F.greatest(F.least(F.col(c), F.lit(MOST_FINITE)), F.lit(-MOST_FINITE)) / 2
+
+    width = half("hi") - half("lo")
+    cell = F.when(width > 0, F.least(F.floor((half("v") - half("lo")) / width * CELLS), F.lit(CELLS - 1))).otherwise(
+        (F.col("v") > F.col("lo")).cast("long"))
+    inside = long.alias("l").join(left.alias("t"), on).select(
+        *[F.col(f"t.{k}").alias(k) for k in keys], "n", "i", "pos", "rank", "after", "lo", "hi", "v")
+    counts = inside.withColumn("cell", cell).groupBy(*keys, "n", "i", "pos", "rank", "after", "cell").agg(
+        F.count("*").alias("same"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    along = Window.partitionBy(*keys, "i").orderBy("cell")
+    before = F.coalesce(F.sum("same").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = counts.withColumn("before", before).withColumn("next", F.lead("lo").over(along))
+    return marked.filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("same"))).select(
+        *keys, "n", "i", "pos", "lo", "hi", "same", F.coalesce("next", "after").alias("after"),
+        (F.col("rank") - F.col("before")).alias("rank"))
+
+
+def range_index(df: DataFrame, order: str, out: str) -> DataFrame:
+    """Add the index of the value range a row falls in, and keep the table.
+
+    Spark's range partitioner deals the rows out; a task gets about ``RANGE_ROWS`` of them, at least as many tasks as a
+    shuffle has work. Equal values share a range.
     """
-    ranges = ranges or _ranges(df)
-    steps = [i / ranges for i in range(1, ranges)]
-    found = df.agg(
-        F.percentile_approx(order, F.array(*map(F.lit, steps)), F.lit(10 * ranges)).alias("q")
-    ).first()["q"]
-    inner = sorted({float(x) for x in (found or [])})
-    bounds = [-math.inf, *(inner or [0.0]), math.inf]
-    return Bucketizer(splits=bounds, inputCol=order, outputCol=out).transform(df).withColumn(
-        out, F.col(out).cast("int")
-    )
+    held = hold(df)
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held.count() // RANGE_ROWS))
+    return hold(held.repartitionByRange(ranges, order).withColumn(out, F.spark_partition_id()))
 
 
 def running_totals(
@@ -140,7 +110,7 @@ def running_totals(
     added. Every task sees one range, whatever the size of a group.
     """
     by = list(by)
-    ranged = range_index(hold(df), order[0], "_range")
+    ranged = range_index(df, order[0], "_range")
     # exact decimals for whole numbers keep the sums free of order effects
     parts = ranged.groupBy(*by, "_range").agg(*[F.sum(m).alias(f"_part_{m}") for m in measures])
     toward = F.col("_range").desc() if descending else F.col("_range")
@@ -202,13 +172,17 @@ def tile_of(rank: Column, total: Column, tiles: int) -> Column:
 
 
 def dense_index(df: DataFrame, code: str, out: str) -> DataFrame:
-    """1-based position of each distinct code in sorted order, attached to every row."""
-    codes = hold(df.filter(F.col(code).isNotNull()).groupBy(code).agg(F.lit(1).alias("_one")))
-    if codes.count() <= BROADCAST_ROWS:
-        place = F.row_number().over(Window.partitionBy().orderBy(code))
-        return df.join(F.broadcast(codes.select(code, place.cast("int").alias(out))), code)
-    codes = running_totals(codes, [code], ["_one"])
-    return df.join(codes.select(code, F.col("cum__one").cast("int").alias(out)), code)
+    """1-based position of each distinct code in sorted order, attached to every row; codes of any ordered type.
+
+    The distinct codes are numbered range by range; only the size of each range passes through one task.
+    """
+    codes = range_index(df.filter(F.col(code).isNotNull()).select(code).distinct(), code, "_range")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = codes.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(code))
+    numbered = codes.join(sizes, "_range").select(code, (F.col("_base") + inside).cast("int").alias(out))
+    return df.join(hold(numbered), code)
 
 
 def fill_along(
@@ -220,7 +194,7 @@ def fill_along(
     between chunks only the first and last known value of each chunk travel, so a store
     with a third of all rows is filled by many tasks.
     """
-    ranged = range_index(df, tie, "_chunk", ranges=16)
+    ranged = range_index(df, tie, "_chunk")
     chunk = [store, day, "_chunk"]
 
     def edge(pick, c: str, name: str) -> Column:

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is only ever broadcast after its rows were counted against this bound.
-BROADCAST_ROWS = 200_000
-
 
 def build_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """Local session for tests and benchmarks; a cluster passes its own."""
@@ -38,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         named = tempfile.mkdtemp(prefix="fathomkit-")
         spark.conf.set("spark.checkpoint.dir", named)
@@ -60,9 +56,3 @@ def hold(df: DataFrame) -> DataFrame:
     path = fresh_path(df.sparkSession, "held")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side proven small; a larger one is left to a shuffle join."""
-    held = hold(df)
-    return F.broadcast(held) if held.count() <= max_rows else held

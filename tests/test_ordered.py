@@ -16,9 +16,9 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id long, g string, v double").repartition(6)
 
 
-@pytest.mark.parametrize("sketch", [100_000, 400])
-def test_quantiles_are_exact_also_beyond_the_sketch(skewed, monkeypatch, sketch):
-    monkeypatch.setattr(o, "SKETCH", sketch)
+@pytest.mark.parametrize("cells", [1_024, 3])
+def test_quantiles_are_exact_with_any_number_of_cells(skewed, monkeypatch, cells):
+    monkeypatch.setattr(o, "CELLS", cells)
     probs = [0.0, 0.025, 0.25, 0.5, 0.75, 0.975, 1.0]
     pdf = skewed.toPandas().dropna()
     got = {r["g"]: r for r in o.quantiles(skewed, ["v"], probs, by=["g"]).collect()}
@@ -36,6 +36,23 @@ def test_quartile_fixture(spark):
     assert (r["p25"], r["p50"]) == (1.75, 2.5)
 
 
+def test_quantiles_of_hard_values(spark):
+    hard = [1e308, -1e308, 5e-324, -5e-324, 0.0, 1.0, 1.0 + 2 ** -52, 1e-300, 3.0, 3.0, 3.0, float("nan")]
+    df = spark.createDataFrame([(x, None) for x in hard] + [(None, None)], "v double, w double")
+    probs = [0.0, 0.1, 0.33, 0.5, 0.77, 0.9]
+    got = o.quantiles(df, ["v", "w"], probs).collect()
+    assert len(got) == 1 and got[0]["n"] == 11
+    want = np.quantile(np.asarray(hard[:-1]), probs)
+    assert np.allclose([got[0][f"p{p * 100:g}"] for p in probs], want, rtol=1e-12, atol=0)
+    ends = spark.createDataFrame([(float("-inf"),), (float("inf"),), (2.0,)], "v double")
+    assert o.quantiles(ends, ["v"], [0.0, 0.5, 1.0]).first()[2:] == (float("-inf"), 2.0, float("inf"))
+
+
+def test_many_ranges_give_the_same(skewed, monkeypatch):
+    monkeypatch.setattr(o, "RANGE_ROWS", 50)
+    test_running_totals_and_rank(skewed)
+
+
 def test_running_totals_and_rank(skewed):
     pdf = skewed.toPandas().dropna()
     per = skewed.filter("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
@@ -72,12 +89,13 @@ def test_fill_forward_then_backward(spark):
     assert np.array_equal(got["v"].to_numpy(), want.to_numpy(), equal_nan=True)
 
 
-def test_dense_index_both_ways(spark, monkeypatch):
+def test_dense_index_of_any_type_and_size(spark):
     df = spark.createDataFrame([(x,) for x in (30, 10, 10, 99, 30, None)], "c int")
-    want = {(10, 1), (30, 2), (99, 3)}
-    assert {tuple(r) for r in o.dense_index(df, "c", "i").collect()} == want
-    monkeypatch.setattr(o, "BROADCAST_ROWS", 1)
-    assert {tuple(r) for r in o.dense_index(df, "c", "i").collect()} == want
+    assert {tuple(r) for r in o.dense_index(df, "c", "i").collect()} == {(10, 1), (30, 2), (99, 3)}
+    codes = spark.range(250_000).select(F.concat(F.lit("code-"), F.hex("id")).alias("c"))
+    got = o.dense_index(codes, "c", "i")
+    place = {r["c"]: r["i"] for r in got.collect()}
+    assert [place[c] for c in sorted(place)] == list(range(1, 250_001))
 
 
 def test_imputation_and_capping(skewed):
