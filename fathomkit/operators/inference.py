@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -21,27 +22,45 @@ from fathomkit.operators.grouping import contingency
 from fathomkit.operators.ordered import global_rank, quantiles, running_totals
 from fathomkit.session import hold
 
-MAX_CELLS = 100_000
+MAX_TERMS = 5_000  # a model of p terms needs a p x p system on the driver
 
 
 # --- linear model ------------------------------------------------------------------------
 @dataclass
 class Fit:
-    """Least squares of ``y`` on numeric columns and factors (first level = reference)."""
+    """Least squares of ``y`` on numeric columns and factors (first level = reference).
+
+    ``gram``, ``xy`` and ``yy`` are sums of products of deviations: ``y`` and the numeric columns have their means
+    taken off first, so digits are not lost where values are large against their spread.
+    """
 
     y: str
     numeric: Sequence[str]
     factors: Mapping[str, Sequence[str]]
+    means: np.ndarray
+    y_mean: float
     gram: np.ndarray
     xy: np.ndarray
     yy: float
     n: int
+    centred: np.ndarray = field(init=False)
+    centred_inverse: np.ndarray = field(init=False)
     beta: np.ndarray = field(init=False)
     inverse: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.inverse = np.linalg.inv(self.gram)
-        self.beta = np.linalg.solve(self.gram, self.xy)
+        scale = np.sqrt(np.maximum(np.diag(self.gram), np.finfo(float).tiny))
+        scaled = np.linalg.cholesky(self.gram / np.outer(scale, scale))
+        half = np.linalg.inv(scaled) / scale
+        self.centred_inverse = half.T @ half
+        self.centred = self.centred_inverse @ self.xy
+        # one step of refinement takes off what the inverse leaves
+        self.centred = self.centred + self.centred_inverse @ (self.xy - self.gram @ self.centred)
+        back = np.eye(len(self.xy))
+        back[0, 1: 1 + len(self.numeric)] = -self.means
+        self.beta = back @ self.centred
+        self.beta[0] += self.y_mean
+        self.inverse = back @ self.centred_inverse @ back.T
 
     @property
     def terms(self) -> list[str]:
@@ -53,7 +72,7 @@ class Fit:
 
     @property
     def rss(self) -> float:
-        return float(self.yy - self.beta @ self.xy)
+        return float(self.yy - self.centred @ self.xy)
 
     @property
     def tss(self) -> float:
@@ -63,11 +82,20 @@ class Fit:
     def sigma(self) -> float:
         return math.sqrt(self.rss / (self.n - self.p))
 
+    @property
+    def starts(self) -> dict[str, int]:
+        """Place of the second level of each factor among the terms."""
+        at, out = 1 + len(self.numeric), {}
+        for f, levels in self.factors.items():
+            out[f] = at
+            at += len(levels) - 1
+        return out
+
 
 def factor_levels(df: DataFrame, factor: str, reference: str | None = None) -> list[str]:
     """Sorted levels of a categorical column, the reference moved to the front."""
-    found = [r[0] for r in df.select(factor).distinct().orderBy(factor).limit(MAX_CELLS + 1).collect()]
-    if len(found) > MAX_CELLS:
+    found = [r[0] for r in df.select(factor).distinct().orderBy(factor).limit(MAX_TERMS + 1).collect()]
+    if len(found) > MAX_TERMS:
         raise ValueError(f"{factor} has too many levels for a factor")
     found = [x for x in found if x is not None]
     if reference is not None:
@@ -75,55 +103,52 @@ def factor_levels(df: DataFrame, factor: str, reference: str | None = None) -> l
     return found
 
 
-def _cell_vector(row, numeric_count: int, factors: Mapping[str, Sequence[str]]) -> np.ndarray:
-    """Design row of a factor cell with all numeric entries zero."""
-    x = [1.0, *[0.0] * numeric_count]
-    for f, levels in factors.items():
-        x += [1.0 if row[f] == lv else 0.0 for lv in levels[1:]]
-    return np.array(x)
-
-
 def fit_ols(
     df: DataFrame, y: str, numeric: Sequence[str], factors: Mapping[str, Sequence[str]] | None = None
 ) -> Fit:
-    """Normal equations from one grouped aggregate.
+    """Normal equations from grouped aggregates over deviations from the means.
 
-    Rows are first combined map-side into one line of sums per combination of factor levels,
-    so the shuffle and the driver carry cells, whatever the number of rows.
+    Besides the totals they need one table per factor and one count per pair of factors; the combinations of all
+    factors are never formed. Shuffle and driver carry these tables, whatever the number of rows.
     """
-    factors = dict(factors or {})
-    if math.prod(len(v) for v in factors.values()) > MAX_CELLS:
-        raise ValueError("too many factor cells for one linear model")
-    numeric = list(numeric)
-    vs = [*numeric, y]
-    whole = df.select(*factors, *[F.col(c).cast("double").alias(c) for c in vs]).dropna()
-    sums = [F.sum(c).alias(f"s_{i}") for i, c in enumerate(vs)]
-    prods = [
-        F.sum(F.col(a) * F.col(b)).alias(f"p_{i}_{j}")
-        for i, a in enumerate(vs) for j, b in enumerate(vs) if i <= j
-    ]
-    cells = whole.groupBy(*factors).agg(F.count("*").alias("n"), *sums, *prods).collect()
+    factors, numeric = dict(factors or {}), list(numeric)
     k = len(numeric)
     size = 1 + k + sum(len(v) - 1 for v in factors.values())
-    gram, xy, yy, n = np.zeros((size, size)), np.zeros(size), 0.0, 0
-    for c in cells:
-        if not c["n"]:
-            continue
-        x = _cell_vector(c, k, factors)
-        s = np.array([c[f"s_{i}"] for i in range(k)])
-        gram += c["n"] * np.outer(x, x)
-        gram[1 : k + 1, :] += np.outer(s, x)
-        gram[:, 1 : k + 1] += np.outer(x, s)
-        for i in range(k):
-            for j in range(i, k):
-                gram[1 + i, 1 + j] += c[f"p_{i}_{j}"]
-                if i != j:
-                    gram[1 + j, 1 + i] += c[f"p_{i}_{j}"]
-        xy += c[f"s_{k}"] * x
-        xy[1 : k + 1] += [c[f"p_{i}_{k}"] for i in range(k)]
-        yy += c[f"p_{k}_{k}"]
-        n += c["n"]
-    return Fit(y, numeric, factors, gram, xy, yy, n)
+    if size > MAX_TERMS:
+        raise ValueError("too many terms for one linear model")
+    vs = [*numeric, y]
+    rows = hold(df.select(*factors, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(vs)]).dropna())
+    for f, levels in factors.items():
+        rows = rows.filter(F.col(f).isin(list(levels)))
+    mean = rows.agg(F.count("*").alias("n"), *[F.avg(f"_v{i}").alias(f"m{i}") for i in range(k + 1)]).first()
+    n, means = mean["n"], [float(mean[f"m{i}"] or 0.0) for i in range(k + 1)]
+    rows = rows.select(*factors, *[(F.col(f"_v{i}") - F.lit(means[i])).alias(f"_v{i}") for i in range(k + 1)])
+    sums = [F.sum(f"_v{i}").alias(f"s{i}") for i in range(k + 1)]
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    total = rows.agg(*sums, *[F.sum(F.col(f"_v{i}") * F.col(f"_v{j}")).alias(f"p{i}_{j}") for i, j in pairs]).first()
+
+    gram, xy = np.zeros((size, size)), np.zeros(size)
+    gram[0, 0], xy[0] = n, total[f"s{k}"] or 0.0
+    for i in range(k):
+        gram[0, 1 + i] = gram[1 + i, 0] = total[f"s{i}"] or 0.0
+        xy[1 + i] = total[f"p{i}_{k}"] or 0.0
+        for j in range(i, k):
+            gram[1 + i, 1 + j] = gram[1 + j, 1 + i] = total[f"p{i}_{j}"] or 0.0
+    place, at = {}, 1 + k
+    for f, levels in factors.items():
+        place[f] = {lv: at + i for i, lv in enumerate(levels[1:])}
+        at += len(levels) - 1
+        for r in rows.groupBy(f).agg(F.count("*").alias("n"), *sums).collect():
+            if (row := place[f].get(r[f])) is not None:
+                gram[row, row] = gram[0, row] = gram[row, 0] = r["n"]
+                gram[1: k + 1, row] = gram[row, 1: k + 1] = [r[f"s{i}"] for i in range(k)]
+                xy[row] = r[f"s{k}"]
+    for f, g in combinations(factors, 2):
+        for r in rows.groupBy(f, g).agg(F.count("*").alias("n")).collect():
+            a, b = place[f].get(r[f]), place[g].get(r[g])
+            if a is not None and b is not None:
+                gram[a, b] = gram[b, a] = r["n"]
+    return Fit(y, numeric, factors, np.asarray(means[:k]), means[k], gram, xy, float(total[f"p{k}_{k}"] or 0.0), n)
 
 
 def coefficient_table(spark: SparkSession, fit: Fit, level: float = 0.95) -> DataFrame:
@@ -178,36 +203,35 @@ def inflation_factors(spark: SparkSession, fit: Fit) -> DataFrame:
 
 
 def with_fitted(df: DataFrame, fit: Fit) -> DataFrame:
-    """Add ``fitted``, ``residual`` and ``leverage`` to every row.
+    """Add ``fitted``, ``residual`` and ``leverage`` to every row; null where a level is not in the fit.
 
-    Inside a factor cell both are polynomials of the numeric columns; the coefficients of the
-    at most MAX_CELLS cells are joined, the polynomial is evaluated in generated code.
+    Both are polynomials of the deviations whose factor parts are joined, one small table per factor and one per pair
+    of factors; the rest is evaluated in generated code.
     """
-    spark, k = df.sparkSession, len(fit.numeric)
-    combos = [{}]
-    for f, levels in fit.factors.items():
-        combos = [{**c, f: lv} for c in combos for lv in levels]
-    rows = []
-    for c in combos:
-        x = _cell_vector(c, k, fit.factors)
-        mx = fit.inverse @ x
-        rows.append((*c.values(), float(x @ fit.beta), float(x @ mx), [float(v) for v in mx[1 : k + 1]]))
-    names = list(fit.factors)
-    schema = ", ".join([*(f"`{n}` string" for n in names), "_b0 double", "_h0 double", "_hl array<double>"])
-    z = [F.col(c).cast("double") for c in fit.numeric]
-    if names:
-        cells = hold(spark.createDataFrame(rows, schema))
-        joined = df.join(cells, names)
-        b0, h0 = F.col("_b0"), F.col("_h0")
-        hl = [F.col("_hl")[i] for i in range(k)]
-    else:
-        joined = df
-        b0, h0, hl = F.lit(rows[0][0]), F.lit(rows[0][1]), [F.lit(v) for v in rows[0][2]]
-    fitted = b0 + sum((F.lit(float(fit.beta[1 + i])) * z[i] for i in range(k)), F.lit(0.0))
-    h = h0 + sum((2 * hl[i] * z[i] for i in range(k)), F.lit(0.0))
+    spark, k, m, b = df.sparkSession, len(fit.numeric), fit.centred_inverse, fit.centred
+    z = [F.col(c).cast("double") - F.lit(float(mean)) for c, mean in zip(fit.numeric, fit.means)]
+    joined, starts = df, fit.starts
+    fitted, h = F.lit(float(fit.y_mean + b[0])), F.lit(float(m[0, 0]))
     for i in range(k):
+        fitted = fitted + F.lit(float(b[1 + i])) * z[i]
+        h = h + F.lit(float(2 * m[0, 1 + i])) * z[i]
         for j in range(k):
-            h = h + F.lit(float(fit.inverse[1 + i, 1 + j])) * z[i] * z[j]
+            h = h + F.lit(float(m[1 + i, 1 + j])) * z[i] * z[j]
+    for f, levels in fit.factors.items():
+        rows = [(levels[0], 0.0, 0.0, [0.0] * k)]
+        for at, level in enumerate(levels[1:], starts[f]):
+            rows.append((level, float(b[at]), float(2 * m[0, at] + m[at, at]), [float(2 * x) for x in m[at, 1: k + 1]]))
+        part = spark.createDataFrame(rows, f"`{f}` string, `_b_{f}` double, `_h_{f}` double, `_l_{f}` array<double>")
+        joined = joined.join(part, f, "left")
+        fitted, h = fitted + F.col(f"_b_{f}"), h + F.col(f"_h_{f}")
+        for i in range(k):
+            h = h + F.col(f"_l_{f}")[i] * z[i]
+    for f, g in combinations(fit.factors, 2):
+        rows = [(lf, lg, float(2 * m[a, c])) for a, lf in enumerate(fit.factors[f][1:], starts[f])
+                for c, lg in enumerate(fit.factors[g][1:], starts[g])]
+        name = f"_h_{f}_{g}"
+        joined = joined.join(spark.createDataFrame(rows, f"`{f}` string, `{g}` string, `{name}` double"), [f, g], "left")
+        h = h + F.coalesce(F.col(name), F.lit(0.0))
     return joined.select(
         *df.columns, fitted.alias("fitted"), (F.col(fit.y) - fitted).alias("residual"), h.alias("leverage")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomkit.operators.joins import compatible_left_join
+from fathomkit.operators.components import components
 from fathomkit.session import fresh_path, hold
 from fathomkit.sources.files import read_parquet, write_parquet
 
@@ -154,20 +155,14 @@ def merge(*graphs: DataFrame) -> DataFrame:
 
 
 def link_by_name(g: DataFrame, cls: str, name: str = "hasName") -> DataFrame:
-    """Rewrite instances of ``cls`` that share a name to the smallest of their IRIs.
+    """Rewrite instances of ``cls`` that share a name, directly or through others, to the smallest of their IRIs.
 
     Lets two sources with their own IRIs for the same thing be queried together.
     """
     named = conjoin(instances(g, cls, "s"), facts(g, name, "s", "label")).distinct()
-    first = named.groupBy("label").agg(F.min("s").alias("one"))
-    swap = named.join(first, "label").groupBy(F.col("s").alias("was")).agg(
-        F.min("one").alias("one")
-    ).filter("was <> one")
-    swap = hold(swap)
-    out = g.join(swap, F.col("s") == F.col("was"), "left").withColumn(
-        "s", F.coalesce("one", "s")
-    ).drop("was", "one")
-    out = out.join(swap, F.col("o") == F.col("was"), "left").withColumn(
-        "o", F.coalesce("one", "o")
-    ).drop("was", "one")
-    return out.distinct()
+    first = named.groupBy("label").agg(F.min("s").alias("b"))
+    links = named.join(first, "label").select(F.col("s").alias("a"), "b")
+    swap = hold(components(links).select(F.col("node").alias("was"), F.col("root").alias("one")))
+    out = g.join(swap, F.col("s") == F.col("was"), "left").withColumn("s", F.coalesce("one", "s")).drop("was", "one")
+    out = out.join(swap, F.col("o") == F.col("was"), "left").withColumn("o", F.coalesce("one", "o"))
+    return out.drop("was", "one").distinct()

@@ -146,6 +146,10 @@ ss AS (SELECT sum(n * pow(m - (SELECT avg(v) FROM y), 2)) AS ssb, sum((n - 1) *
        count(*) - 1 AS dfb, CAST(sum(n) - count(*) AS BIGINT) AS dfw FROM gs)"""
 
 
+def _verdict(table, found):
+    return table.withColumn("verdict", F.when(F.col("p_value") < 0.05, found).otherwise("no evidence of a difference"))
+
+
 @query("j07_levene", f"""WITH {SHOP}, y0 AS (
 SELECT "Category" AS g, "TotalAmount" AS v FROM shop WHERE "OrderStatus" = 'F'),
 y AS (SELECT y0.g, abs(v - md) AS v FROM y0 JOIN (SELECT g, median(v) AS md FROM y0 GROUP BY 1) q ON y0.g = q.g),
@@ -157,6 +161,12 @@ def j07(spark, sf_dir):
     return inf.levene(_delivered(spark, sf_dir), "Category", "TotalAmount").withColumn("f", rd("f", 5))
 
 
+@query("j07_levene_p")
+def j07_p(spark, sf_dir):
+    table = inf.levene(_delivered(spark, sf_dir), "Category", "TotalAmount")
+    return _verdict(inf.with_p(table, tails.f_tail, "f", "df_between", "df_within"), "variances differ")
+
+
 @query("j08_anova", f"""WITH {_STATS}
 SELECT dfb AS df_between, dfw AS df_within, {rsql("ssb / 1e6", 3)} AS ss_between_m, {rsql("ssw / 1e9", 3)} AS ss_within_g,
        {rsql("(ssb / dfb) / (ssw / dfw)", 5)} AS f FROM ss""")
@@ -193,6 +203,12 @@ def j10(spark, sf_dir):
     )
 
 
+@query("j10_welch_p")
+def j10_p(spark, sf_dir):
+    table = inf.welch(_delivered(spark, sf_dir), "Category", "TotalAmount")
+    return _verdict(inf.with_p(table, tails.f_tail, "f", "df1", "df2"), "means differ")
+
+
 @query("j11_tukey_pairs", f"""WITH {_STATS}, e AS (SELECT ssw / dfw AS mse FROM ss)
 SELECT b.g || '-' || a.g AS pair, {rsql("b.m - a.m", 3)} AS diff,
        {rsql("abs(b.m - a.m) / sqrt(mse / 2 * (1.0 / a.n + 1.0 / b.n))", 5)} AS q

@@ -87,19 +87,30 @@ def write_rdf_xml(triples: DataFrame, path: str, namespaces: Mapping[str, str])
     return path
 
 
+# What the line format does not allow as it is, in literals and in IRIs.
+LITERAL_ESCAPES = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t"}
+IRI_FORBIDDEN = '\\<>"{}|^` \n\r\t'
+
+
+def _replaced(c: Column, escapes: dict[str, str]) -> Column:
+    for raw, shown in escapes.items():
+        c = F.replace(c, F.lit(raw), F.lit(shown))
+    return c
+
+
+def _iri(c: str) -> Column:
+    escapes = {x: f"\\u{ord(x):04X}" for x in IRI_FORBIDDEN}
+    return F.concat(F.lit("<"), _replaced(F.col(c), escapes), F.lit(">"))
+
+
 def ntriple_line() -> Column:
+    """One line per triple; line breaks, quotes and forbidden characters are escaped."""
     literal = F.concat(
-        F.lit('"'), F.replace(F.replace(F.col("o"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')),
-        F.lit('"'),
+        F.lit('"'), _replaced(F.col("o"), LITERAL_ESCAPES), F.lit('"'),
         F.when(F.col("o_lang").isNotNull(), F.concat(F.lit("@"), F.col("o_lang")))
-        .when(F.col("o_dtype").isNotNull(), F.concat(F.lit("^^<"), F.col("o_dtype"), F.lit(">")))
-        .otherwise(""),
-    )
-    iri = F.concat(F.lit("<"), F.col("o"), F.lit(">"))
-    return F.concat_ws(
-        " ", F.concat(F.lit("<"), F.col("s"), F.lit(">")), F.concat(F.lit("<"), F.col("p"), F.lit(">")),
-        F.when(F.col("o_kind") == "iri", iri).otherwise(literal), F.lit("."),
+        .when(F.col("o_dtype").isNotNull(), F.concat(F.lit("^^"), _iri("o_dtype"))).otherwise(""),
     )
+    return F.concat_ws(" ", _iri("s"), _iri("p"), F.when(F.col("o_kind") == "iri", _iri("o")).otherwise(literal), F.lit("."))
 
 
 def write_ntriples(triples: DataFrame, path: str) -> str:

@@ -113,7 +113,32 @@ def test_chi_square_two_by_two(spark):
 
 
 def test_levels_beyond_the_bound_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(inf, "MAX_CELLS", 3)
+    monkeypatch.setattr(inf, "MAX_TERMS", 3)
     df = spark.range(10).select(F.col("id").cast("string").alias("g"))
     with pytest.raises(ValueError):
         inf.factor_levels(df, "g")
+
+
+def test_large_values_keep_their_digits(spark):
+    rng = np.random.default_rng(8)
+    x, y = 1e6 + rng.normal(size=2000), None
+    y = 1e6 + 2 * (x - 1e6) + rng.normal(size=2000)
+    fit = inf.fit_ols(spark.createDataFrame(pd.DataFrame({"x": x, "y": y})), "y", ["x"])
+    beta, rss, *_ = np.linalg.lstsq(np.column_stack([np.ones(2000), x - 1e6]), y - 1e6, rcond=None)
+    assert np.isclose(fit.rss, rss[0], rtol=1e-6) and np.isclose(fit.beta[1], beta[1], rtol=1e-6)
+
+
+def test_two_wide_factors_and_unknown_levels(spark):
+    rng = np.random.default_rng(9)
+    n, k = 6000, 120
+    a, b = rng.integers(0, k, n), rng.integers(0, k, n)
+    y = a * 0.1 - b * 0.05 + rng.normal(size=n)
+    df = spark.createDataFrame(pd.DataFrame({"a": [f"a{i:03d}" for i in a], "b": [f"b{i:03d}" for i in b], "y": y}))
+    fit = inf.fit_ols(df, "y", [], {c: inf.factor_levels(df, c) for c in ("a", "b")})
+    x = np.column_stack([np.ones(n), *[(a == i) for i in range(1, k)], *[(b == i) for i in range(1, k)]]).astype(float)
+    beta, rss, *_ = np.linalg.lstsq(x, y, rcond=None)
+    assert fit.p == 2 * k - 1 and np.isclose(fit.rss, rss[0]) and np.allclose(fit.beta, beta, atol=1e-6)
+    got = inf.with_fitted(df, fit).agg(F.sum("leverage"), F.sum(F.col("residual") * F.col("residual"))).first()
+    assert np.isclose(got[0], fit.p) and np.isclose(got[1], rss[0])
+    odd = spark.createDataFrame([("a001", "nowhere", 1.0)], "a string, b string, y double")
+    assert inf.with_fitted(odd, fit).first()["fitted"] is None

@@ -95,3 +95,22 @@ def test_patterns_without_shared_variable_are_refused(spark):
     g = graph(spark, [("a", "p", "b")])
     with pytest.raises(ValueError):
         t.conjoin(t.facts(g, "p", "x", "y"), t.facts(g, "p", "u", "v"))
+
+
+def test_names_that_link_through_others(spark):
+    rows = [(x, t.TYPE, "Team") for x in "ABCD"] + [
+        ("A", "hasName", "one", "literal", None, None), ("B", "hasName", "one", "literal", None, None),
+        ("B", "hasName", "two", "literal", None, None), ("C", "hasName", "two", "literal", None, None),
+        ("D", "hasName", "three", "literal", None, None), ("p", "playsFor", "C"), ("q", "playsFor", "D"),
+    ]
+    got = {(r["s"], r["p"], r["o"]) for r in t.link_by_name(graph(spark, rows), "Team").collect()}
+    assert ("p", "playsFor", "A") in got and ("q", "playsFor", "D") in got
+    assert {s for s, p, _ in got if p == t.TYPE} == {"A", "D"}
+    assert {o for s, p, o in got if s == "A" and p == "hasName"} == {"one", "two"}
+
+
+def test_a_triple_is_one_line(spark):
+    rows = [("http://x/a b", "http://x/p", 'two\nlines\t"and"\r\\', "literal", "en", None)]
+    path = rdf.write_ntriples(graph(spark, rows), fresh_path(spark, "nt"))
+    lines = [r[0] for r in spark.read.text(path).collect()]
+    assert lines == ['<http://x/a\\u0020b> <http://x/p> "two\\nlines\\t\\"and\\"\\r\\\\"@en .']
