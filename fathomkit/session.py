@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +45,29 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_scopes: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/fathomkit/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/fathomkit/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is held inside is deleted at the end; results that are to stay must be written out before."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def hold(df: DataFrame) -> DataFrame:

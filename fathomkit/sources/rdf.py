@@ -20,13 +20,17 @@ _ENTRY = T.StructType([
 
 
 def read_rdf_xml(
-    spark: SparkSession, path: str, predicates: Sequence[str], row_tag: str = "rdf:Description",
+    spark: SparkSession, path: str, predicates: Sequence[str] | None = None, row_tag: str = "rdf:Description",
     implied_type: str | None = None,
 ) -> DataFrame:
-    """Triples of an RDF/XML file; each ``row_tag`` element is one split-able record.
+    """Triples of RDF/XML files, a record per ``row_tag`` element; a file is read by one task.
 
+    Without ``predicates`` one more pass over the files finds those that occur; with them only these are read.
     ``implied_type`` adds the type triple that a typed node element stands for.
     """
+    if predicates is None:
+        found = spark.read.format("xml").option("rowTag", row_tag).load(path).schema.fieldNames()
+        predicates = [name for name in found if not name.startswith("_")]
     schema = T.StructType(
         [T.StructField("_rdf:about", T.StringType())]
         + [T.StructField(p, T.ArrayType(_ENTRY)) for p in predicates]

@@ -114,3 +114,12 @@ def test_a_triple_is_one_line(spark):
     path = rdf.write_ntriples(graph(spark, rows), fresh_path(spark, "nt"))
     lines = [r[0] for r in spark.read.text(path).collect()]
     assert lines == ['<http://x/a\\u0020b> <http://x/p> "two\\nlines\\t\\"and\\"\\r\\\\"@en .']
+
+
+def test_predicates_need_not_be_listed(spark):
+    rows = [
+        ("http://x/a", "fb:name", "A", "literal", "en", None), ("http://x/a", "fb:name", "Ah", "literal", None, None),
+        ("http://x/b", "fb:size", "42", "literal", None, "xsd:int"), ("http://x/b", "fb:near", "http://x/a", "iri", None, None),
+    ]
+    path = rdf.write_rdf_xml(graph(spark, rows), fresh_path(spark, "all"), {"fb": "http://x#"})
+    assert {tuple(r) for r in rdf.read_rdf_xml(spark, path).collect()} == set(rows)
