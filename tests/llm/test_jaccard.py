@@ -5,8 +5,9 @@ import numpy as np
 import pytest
 
 from fathomkit.llm import jaccard
-from fathomkit.llm.jaccard import components, least_matches, linked, one_of_each
+from fathomkit.llm.jaccard import least_matches, linked, one_of_each
 from fathomkit.llm.shingles import digest_of, shingles_of
+from fathomkit.operators.components import components
 
 
 def sets_of(rows):
