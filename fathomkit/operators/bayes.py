@@ -181,6 +181,8 @@ def fit_map(
             prior = _precision(sigma, k, j, tau)
             if np.abs(sigma - old).max() < 1e-10:
                 break
+        else:
+            raise RuntimeError("the spread of the group effects did not settle")
         norm = float(np.abs(score - prior @ theta).max())
         moved = float(np.abs(ahead - theta).max())
         if moved < tol:

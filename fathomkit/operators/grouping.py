@@ -22,9 +22,10 @@ def money(c: Column | str) -> Column:
 
 
 def class_share(df: DataFrame, key: str, digits: int = 4) -> DataFrame:
-    """Count and percentage per level; the total comes from the few group rows."""
+    """Count and percentage per level; the total is a scalar subquery, so any number of levels may occur."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    return counts.withColumn("pct", rd(F.col("n") * 100.0 / overall("n"), digits))
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    return counts.withColumn("pct", rd(F.col("n") * 100.0 / total, digits))
 
 
 def value_counts(df: DataFrame, key: str, digits: int = 1) -> DataFrame:
