@@ -23,7 +23,6 @@ columns are ignored by ``scored`` and kept by ``without_toxic``; an empty table
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +43,7 @@ REJECT_AT = 0.7
 CACHE_WORDS = 200_000
 CHUNK_WINDOWS = 1024
 CHUNK_CHARS = 1_000_000
+CHUNK_WORDS = 20_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -226,14 +226,13 @@ class _Adam:
             weights[k] -= rate * (self.m[k] / (1 - 0.9 ** self.t)) / (np.sqrt(self.v[k] / (1 - 0.999 ** self.t)) + 1e-8)
 
 
-def _telling(docs: list[list[str]], y: np.ndarray) -> dict[str, float]:
-    """Log ratio of the shares of toxic and clean documents that hold a word, for the words of any of them."""
-    counts, many = (Counter(), Counter()), np.bincount(y, minlength=2)
-    for words, label in zip(docs, y):
-        distinct = set(words)
-        counts[label].update(distinct)
-    return {x: np.log((counts[1][x] + 0.5) / (many[1] + 1)) - np.log((counts[0][x] + 0.5) / (many[0] + 1))
-            for x in set(counts[0]) | set(counts[1])}
+def _telling(docs: list[np.ndarray], y: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per word the log ratio of the shares of toxic and clean documents that hold it, and how many do."""
+    counts, many = np.zeros((2, words)), np.bincount(y, minlength=2)
+    for ids, label in zip(docs, y):
+        counts[label, np.unique(ids)] += 1
+    share = np.log((counts + 0.5) / (many[:, None] + 1))
+    return share[1] - share[0], counts.sum(0)
 
 
 def train(texts: list[str], labels: np.ndarray, share: float, seed: int = 11) -> Network:
@@ -245,40 +244,47 @@ def train(texts: list[str], labels: np.ndarray, share: float, seed: int = 11) ->
     nth = np.where(labels == 1, np.cumsum(labels), np.cumsum(1 - labels))
     left = (nth % 5 == 0) & (min(labels.sum(), (1 - labels).sum()) >= 5 * LEAST_CALIBRATION)
     kept = [t for t, out in zip(texts, left) if not out]
-    net = _fitted([words_of(t) for t in kept], labels[~left], seed)
+    net = _fitted(kept, labels[~left], seed)
     net.share = float(share)
     if left.any():
         kept, labels = [t for t, out in zip(texts, left) if out], labels[left]
-    top, some = Scorer(net).tops(kept)
+    parts = [Scorer(net).tops(kept[a: a + 100]) for a in range(0, len(kept), 100)]
+    top, some = (np.concatenate(x) for x in zip(*parts))
     y = labels[some]
     real = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     net.slope, net.offset = _calibrated(top[some], y, real)
     return net
 
 
-def _fitted(docs: list[list[str]], y: np.ndarray, seed: int) -> Network:
-    """Network without calibration, from the words of texts."""
+def _fitted(texts: list[str], y: np.ndarray, seed: int) -> Network:
+    """Network without calibration."""
     net, random = Network(seed), np.random.RandomState(seed)
-    telling = _telling(docs, y)
-    held = Counter(x for d in docs for x in set(d))
-    ranked = sorted((x for x in telling if held[x] >= LEAST_DOCS), key=lambda x: (-abs(telling[x]), x))[:WORDS]
-    net.vocabulary = {x: i for i, x in enumerate(ranked)}
-    names = sorted(telling)
-    number = {x: i for i, x in enumerate(names)}
-    ids = np.asarray([number[x] for d in docs for x in d], np.int64)
+    number: dict[str, int] = {}
+    docs = [np.asarray([number.setdefault(w, len(number)) for w in words_of(t)], np.int64) for t in texts]
+    names = list(number)
+    telling, held = _telling(docs, y, len(names))
+    ranked = sorted(np.flatnonzero(held >= LEAST_DOCS), key=lambda i: (-abs(telling[i]), names[i]))[:WORDS]
+    net.vocabulary = {names[i]: row for row, i in enumerate(ranked)}
+    own_row = np.full(len(names), WORDS, np.int64)
+    own_row[ranked] = np.arange(len(ranked))
     sizes = np.asarray([len(d) for d in docs], np.int64)
+    start = np.asarray([max(0, min(int(np.argmax(telling[d])) - STRIDE, len(d) - WINDOW)) if len(d) else 0
+                        for d in docs], np.int64)
+    ids = np.concatenate(docs) if docs else np.zeros(0, np.int64)
     begin = np.cumsum(sizes) - sizes
-    score = np.asarray([telling[x] for x in names]) if names else np.zeros(0)
-    own_row = np.asarray([net.vocabulary.get(x, WORDS) for x in names], np.int64)
     cells, cell_begin = triples_of(names) if names else (np.zeros(0, np.int64),) * 2
     cell_count = np.diff(np.append(cell_begin, len(cells)))
+    del docs, number, names
 
     def top_windows():
-        gates = net.gates_of(net.combined(own_row, cells, cell_begin)) if names else net.gates([])
+        gates = np.zeros((len(own_row) + 1, 6 * HIDDEN), np.float32)
+        for a in range(0, len(own_row), CHUNK_WORDS):
+            b = min(a + CHUNK_WORDS, len(own_row))
+            some = cells[cell_begin[a]: cell_begin[b - 1] + cell_count[b - 1]]
+            x = net.combined(own_row[a:b], some, cell_begin[a:b] - cell_begin[a])
+            gates[a:b] = net.gates_of(x)[:-1]
         return highest(net, gates, ids, sizes)
 
-    start = np.asarray([max(0, min(int(np.argmax(score[ids[b: b + n]])) - STRIDE, n - WINDOW)) if n else 0
-                        for b, n in zip(begin, sizes)], np.int64)
     adam = _Adam(net.w)
     clean = np.flatnonzero(y == 0)
     windows = len(y) + len(clean)
