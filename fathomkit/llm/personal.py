@@ -42,7 +42,7 @@ KINDS = ("email", "ip", "card", "phone")
 
 # The looser patterns, and the word lists of the labelers.
 LOOSE = (
-    ("address", r"(?i:\b[a-z0-9._%+-]{2,40}\x20?[\[(]\x20?at\x20?[\])]\x20?[a-z0-9.-]{2,60})", "("),
+    ("address", r"(?i:\b[a-z0-9._%+-]{2,40}\x20?[\[(]\x20?at\x20?[\])]\x20?[a-z0-9.-]{2,60})", r"[\[(]\x20?(?i:at)"),
     ("local_phone", r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])", None),
     ("national_id", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-"),
     ("name", r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20[A-Z][a-z]{1,30}(?:\x20[A-Z][a-z]{1,30})?", None),
@@ -85,7 +85,7 @@ def base_spans(text: Column) -> list[tuple[str, Column]]:
 
 
 def loose_spans(text: Column) -> list[tuple[str, Column]]:
-    return [(kind, found(text, pattern, F.lit(True) if likely is None else text.contains(likely)))
+    return [(kind, found(text, pattern, F.lit(True) if likely is None else text.rlike(likely)))
             for kind, pattern, likely in LOOSE]
 
 

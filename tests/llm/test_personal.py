@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from fathomkit.llm.personal import personal_spans, reliabilities
+from fathomkit.llm.personal import loose_spans, personal_spans, reliabilities
 from fathomkit.llm.spans import digest
 
 
@@ -60,6 +60,14 @@ def test_votes_accept_what_their_context_supports(spark):
     assert not any("local_phone" in got[80 + i] for i in range(40))
 
 
+def test_spelled_out_addresses_in_any_bracket(spark):
+    texts = ["write john [at] example.com now", "write john (at) example.com now", "write john[ AT ]example.com now", "no [atom]"]
+    address = dict(loose_spans(F.col("text")))["address"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").orderBy("doc_id")
+    got = [[s.hit for s in r.s] for r in rows.select(address.alias("s")).collect()]
+    assert got == [["john [at] example.com"], ["john (at) example.com"], ["john[ AT ]example.com"], []]
+
+
 def test_reliable_labelers_get_weight(spark):
     rows = [(["a=+", "b=+"], 90), (["a=-", "b=-"], 90), (["a=+", "b=-"], 10), (["a=-", "b=+"], 10),
             (["a=+", "b=+", "c=+"], 30), (["a=-", "b=-", "c=+"], 30)]
