@@ -1,7 +1,8 @@
 """Personal data by weak supervision.
 
 Fixed patterns give the base spans, which always stay; looser patterns give further candidates (phones without country
-code, spelled-out addresses, national numbers, titled and listed names). Labelers vote on every span, each for, against
+code, spelled-out addresses, national numbers, names after a title; a listed given name alone makes no candidate, the
+list only votes). Labelers vote on every span, each for, against
 or not at all: regular expressions on the span, gazetteers of names and top-level domains, and words in the context
 before it. Expectation-maximisation over the distinct vote patterns, which Spark counts over all documents, estimates
 how reliable each labeler is on either class; the resulting posteriors are the soft labels of the final classifier,
