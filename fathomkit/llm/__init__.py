@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fathomkit.llm import (  # noqa: F401
-    hamming, jaccard, language, mixing, packing, personal, quality, secrets, toxicity, warc,
+    divergence, hamming, jaccard, language, mixing, packing, personal, quality, secrets, spelling, tokencount, toxicity,
+    warc,
 )
 from fathomkit.llm.jobs import ORACLES, QUERIES  # noqa: F401
