@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomkit.llm.jobs import query, table
-from fathomkit.llm.spans import clear_of, digest, found, let, n_of, of_kind, whole_text
+from fathomkit.llm.spans import clear_of, digest, found, let, n_of, of_kind, substrings, whole_text
 from fathomkit.session import hold
 
 ROUNDS = 12
@@ -96,12 +96,12 @@ def _vote(name: str, yes: Column, no: Column | None = None) -> Column:
     return F.when(F.coalesce(yes, F.lit(False)), f"{name}=+").when(F.coalesce(against, F.lit(False)), f"{name}=-")
 
 
-def _judged(text: Column, span: Column, kind: str, base: bool) -> Column:
-    """A span with the votes of the labelers and the features of the classifier."""
+def _judged(span: Column, around: Column, kind: str, base: bool) -> Column:
+    """A span with the votes of the labelers and the features of the classifier; ``around`` as ``_around`` gives it."""
     hit = span["hit"]
-    before = F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1,
-                         F.least(span["start"], F.lit(CONTEXT)))
-    after = F.substring(text, span["end"] + 1, 1)
+    ahead = F.least(span["start"], F.lit(CONTEXT))
+    before = F.substring(around, F.lit(1), ahead)
+    after = F.substring(around, ahead + F.length(hit) + 1, F.lit(1))
 
     def judge(x):
         digits = F.length(_digits(hit))
@@ -143,8 +143,16 @@ def scanned(text: Column) -> tuple[Column, Column]:
     return spans, judged
 
 
+def _around(text: Column, spans: Column) -> Column:
+    """Per span its text with ``CONTEXT`` characters before it and one after it, as far as there are any."""
+    return substrings(text, F.transform(spans, lambda s: let(
+        F.greatest(s["start"] - CONTEXT, F.lit(0)),
+        lambda at: F.struct(at.alias("at"), (s["end"] + 1 - at).alias("n")))))
+
+
 def _all_judged(text: Column, spans: Column, kind: str, base: bool) -> Column:
-    return F.transform(spans, lambda s: _judged(text, s, kind, base))
+    return let(spans, lambda spans: F.zip_with(
+        spans, _around(text, spans), lambda s, around: _judged(s, around, kind, base)))
 
 
 def _log_ratio(yes: float, no: float, all_yes: float, all_no: float) -> float:
