@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +22,7 @@ from fathomkit.functions.scalars import key_bucket, key_uniform, ratio
 from fathomkit.operators.clean import attach_stats
 from fathomkit.operators.neighbours import nearest
 from fathomkit.operators.ordered import running_totals
-from fathomkit.session import hold
+from fathomkit.session import fresh_path, hold
 
 SEED = 42
 FOLDS = 3
@@ -117,13 +122,23 @@ def smote(
 
 
 # --- models ------------------------------------------------------------------------------
+def folded(train: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """With ``_fold`` from a hash of the row, so a rerun sees the same folds."""
+    return train.withColumn("_fold", key_bucket([F.col(c) for c in keys], FOLDS, SEED).cast("int"))
+
+
+def told(params: Mapping[str, object]) -> str:
+    """Parameter values as one text, by name."""
+    return ", ".join(f"{name}={value}" for name, value in sorted(params.items()))
+
+
 def grid_search(
     estimator: Estimator, grid: Mapping[str, Sequence], train: DataFrame, keys: Sequence[str], label: str = "label",
     parallelism: int = 6,
-) -> CrossValidatorModel:
-    """Search over every combination of the listed parameter values, by area under the ROC curve.
+) -> tuple[Model, list[tuple[str, float]]]:
+    """Search over every combination of the listed parameter values, by area under the ROC curve over three folds.
 
-    Folds come from a hash of the row, so a rerun sees the same folds.
+    The best model, fitted anew on all rows, and the mean area of each combination.
     """
     points = ParamGridBuilder()
     for name, values in grid.items():
@@ -132,11 +147,114 @@ def grid_search(
         estimator=estimator, estimatorParamMaps=points.build(), numFolds=FOLDS, foldCol="_fold",
         evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"), parallelism=parallelism,
     )
-    folded = train.withColumn("_fold", key_bucket([F.col(c) for c in keys], FOLDS, SEED).cast("int")).persist()
+    rows = folded(train, keys).persist()
+    try:
+        found = search.fit(rows)
+    finally:
+        rows.unpersist()
+    areas = [(told({p.name: v for p, v in m.items()}), float(a))
+             for m, a in zip(found.getEstimatorParamMaps(), found.avgMetrics)]
+    return found.bestModel, areas
+
+
+def forest_shares(spark: SparkSession, model: Model, depths: Sequence[int]) -> list[np.ndarray]:
+    """Per tree an array (leaf, depth): the share of class 1 that the tree grown to that depth gives the rows of a leaf.
+
+    Leaves are numbered from left to right, as ``leafCol`` numbers them. A tree grown to a depth has the same nodes down
+    to it; siblings that are leaves and predict one class are merged into their parent, as the learner does. The nodes
+    are read from the saved model; there are at most 2^(maxDepth + 1) a tree.
+    """
+    path = save_model(model, fresh_path(spark, "forest"))
+    nodes = spark.read.parquet(f"{path}/data").select(
+        "treeID", "nodeData.id", "nodeData.leftChild", "nodeData.rightChild", "nodeData.impurityStats",
+    ).orderBy("treeID", "id").toPandas()
+    tree = nodes["treeID"].to_numpy()
+    first = np.flatnonzero(np.r_[True, np.diff(tree) != 0])  # ids count from 0 in each tree
+    base = np.repeat(first, np.diff(np.r_[first, len(tree)]))
+    inner = nodes["leftChild"].to_numpy() >= 0
+    left, right = (np.where(inner, base + nodes[side].to_numpy(), 0) for side in ("leftChild", "rightChild"))
+    stats = np.stack(nodes["impurityStats"].to_numpy())
+    share, rare = stats[:, 1] / stats.sum(1), stats[:, 1] > stats[:, 0]
+    levels = [first]
+    while len(up := levels[-1][inner[levels[-1]]]):
+        levels.append(np.r_[left[up], right[up]])
+    out = []
+    for depth in depths:
+        leaf, at = ~inner, share.copy()
+        for nodes_at in levels[depth:depth + 1]:
+            leaf[nodes_at] = True
+        for nodes_at in reversed(levels[:depth]):
+            up = nodes_at[inner[nodes_at]]
+            leaf[up] = leaf[left[up]] & leaf[right[up]] & (rare[left[up]] == rare[right[up]])
+        for nodes_at in levels:
+            up = nodes_at[leaf[nodes_at] & inner[nodes_at]]
+            for child in (left[up], right[up]):
+                at[child], leaf[child] = at[up], True
+        out.append(at[~inner])
+    return np.split(np.stack(out, 1), np.flatnonzero(np.diff(tree[~inner])) + 1)
+
+
+def forest_scores(model: Model, rows: DataFrame, depths: Sequence[int], sizes: Sequence[int]) -> DataFrame:
+    """``rows`` with ``grown``: the mean share of class 1 by the first trees, cut at a depth; depths outer, sizes inner."""
+    tables = rows.sparkSession.sparkContext.broadcast(forest_shares(rows.sparkSession, model, depths))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shares = tables.value
+        for b in batches:
+            if not len(b):
+                continue
+            leaves = np.stack(b["leaves"].to_numpy()).astype(int)
+            total, got = np.zeros((len(b), len(depths))), []
+            for t, table in enumerate(shares):
+                total += table[leaves[:, t]]
+                if t + 1 in sizes:
+                    got.append(total / (t + 1))
+            yield pd.DataFrame({"label": b["label"], "grown": list(np.stack(got, 2).reshape(len(b), -1))})
+
+    leafed = model.setLeafCol("_leaves").transform(rows).select(
+        F.col("label").cast("double").alias("label"), vector_to_array("_leaves").alias("leaves"))
+    return leafed.mapInPandas(score, "label double, grown array<double>")
+
+
+def forest_search(
+    forest: Estimator, grid: Mapping[str, Sequence], train: DataFrame, keys: Sequence[str], parallelism: int = 3,
+) -> tuple[Model, list[tuple[str, float]]]:
+    """``grid_search`` for forests that fits only the largest: a smaller forest is its first trees, and a shallower tree
+    is a deep one cut at that depth, since a node is split on the rows that reach it whatever may lie below.
+
+    Fits: folds times the combinations of the other parameters, and the best once more on all rows.
+    """
+    depths, sizes = sorted(grid["maxDepth"]), sorted(grid["numTrees"])
+    others = [n for n in grid if n not in ("maxDepth", "numTrees")]
+    combos = [dict(zip(others, values)) for values in itertools.product(*(grid[n] for n in others))]
+    rows = folded(train, keys).persist()
+
+    def fit(params: Mapping[str, object], part: DataFrame) -> Model:
+        return forest.copy({forest.getParam(n): v for n, v in params.items()}).fit(part)
+
+    def areas(job) -> list[float]:
+        combo, fold = job
+        model = fit({**combo, "maxDepth": depths[-1], "numTrees": sizes[-1]}, rows.where(F.col("_fold") != fold))
+        held = rows.where(F.col("_fold") == fold)
+        scored = forest_scores(model, held, depths, sizes).persist()
+        rate = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", metricName="areaUnderROC")
+        try:
+            return [rate.evaluate(scored.select("label", F.col("grown")[i].alias("score")))
+                    for i in range(len(depths) * len(sizes))]
+        finally:
+            scored.unpersist()
+
     try:
-        return search.fit(folded)
+        jobs = [(c, f) for c in combos for f in range(FOLDS)]
+        with ThreadPoolExecutor(parallelism) as pool:
+            got = np.array(list(pool.map(inheritable_thread_target(rows.sparkSession)(areas), jobs)))
+        mean = got.reshape(len(combos), FOLDS, -1).mean(1)
+        points = [({**c, "maxDepth": d, "numTrees": n}, a) for c, per in zip(combos, mean)
+                  for (d, n), a in zip(itertools.product(depths, sizes), per)]
+        best = max(points, key=lambda p: p[1])[0]
+        return fit(best, rows), [(told(p), float(a)) for p, a in points]
     finally:
-        folded.unpersist()
+        rows.unpersist()
 
 
 def ranked_weights(spark: SparkSession, names: Sequence[str], values, kind: str) -> DataFrame:
@@ -146,12 +264,9 @@ def ranked_weights(spark: SparkSession, names: Sequence[str], values, kind: str)
     return spark.createDataFrame(rows, f"feature string, {kind} double, magnitude double")
 
 
-def grid_table(spark: SparkSession, cv: CrossValidatorModel, estimator: str) -> DataFrame:
-    """Mean score of every grid point."""
-    rows = [
-        (estimator, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda t: t[0].name)), float(s))
-        for m, s in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)
-    ]
+def grid_table(spark: SparkSession, areas: Mapping[str, Sequence[tuple[str, float]]]) -> DataFrame:
+    """Mean area of every grid point by model."""
+    rows = [(model, params, area) for model, grid in areas.items() for params, area in grid]
     return spark.createDataFrame(rows, "model string, params string, auc double")
 
 

@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-import time
+import itertools
 from functools import reduce
 
 from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
+    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
+    RandomForestClassificationModel, RandomForestClassifier,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomkit.functions.scalars import rd
 from fathomkit.operators import evaluate as ev
-from fathomkit.operators import learn
+from fathomkit.operators import learn, neighbours, sampling
 from fathomkit.operators.sampling import stratified_split
-from fathomkit.plans.inputs import table
+from fathomkit.plans import inputs
+from fathomkit.plans.inputs import WIDE, WIDE_FEATURES, table, wide_orders
 from fathomkit.plans.ordering import SCORES, scores
 from fathomkit.plans.registry import query, rsql
 from fathomkit.session import fresh_path, hold
 from fathomkit.sources.files import read_csv, read_parquet, write_csv, write_parquet
+from fathomkit.store import Store, fingerprint, key_of
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-FLAT = [f"f{i}" for i in range(len(FEATURES))]
 KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 # Large quantities at a deep discount are mostly rare, and a part of what lies near them is too; which part depends on
@@ -32,29 +35,22 @@ RARE = (
     "(l_quantity >= 44 AND l_discount >= 0.07 AND l_orderkey % 12 = 5)"
 )
 
-# The three searches. How an estimator is made, and the grid it is searched over.
+# The three searches. How an estimator is made, the grid it is searched over, and the class of its model.
 SEARCHES = {
     "Logistic Regression": (
         lambda: LogisticRegression(labelCol="label", standardization=False, tol=1e-6),
-        {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0]}, 6,
+        {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0]}, LogisticRegressionModel,
     ),
     "Random Forest": (
         lambda: RandomForestClassifier(labelCol="label", seed=learn.SEED, featureSubsetStrategy="sqrt"),
-        {"numTrees": [50, 100], "maxDepth": [8, 12], "minInstancesPerNode": [1, 5]}, 8,
+        {"numTrees": [50, 100], "maxDepth": [8, 12], "minInstancesPerNode": [1, 5]}, RandomForestClassificationModel,
     ),
     "Gradient-Boosted Trees": (
         lambda: GBTClassifier(labelCol="label", seed=learn.SEED),
-        {"maxIter": [50], "maxDepth": [4, 6], "stepSize": [0.1, 0.2, 0.3]}, 6,
+        {"maxIter": [50], "maxDepth": [4, 6], "stepSize": [0.1, 0.2, 0.3]}, GBTClassificationModel,
     ),
 }
-
-
-def searched(name, train):
-    """The search of that name on the training rows, and the seconds it took."""
-    make, grid, parallelism = SEARCHES[name]
-    start = time.time()
-    found = learn.grid_search(make(), grid, train, FLAT, parallelism=parallelism)
-    return found, time.time() - start
+WIDE_FLAT = [f"f{i}" for i in range(len(WIDE_FEATURES))]
 
 
 def rare_lines(spark, sf_dir):
@@ -64,21 +60,41 @@ def rare_lines(spark, sf_dir):
     )
 
 
-def splits(spark, sf_dir):
-    """Scaled features f0..f3 with a stratified split, kept as a table."""
-    scaled = learn.standardise(rare_lines(spark, sf_dir), FEATURES)
-    flat = scaled.select(
-        F.xxhash64(*KEYS).alias("line_id"), "label",
-        *[F.col(f"{c}_scaled").alias(f) for c, f in zip(FEATURES, FLAT)],
-    )
-    return hold(stratified_split(flat, "label", ["line_id"]))
+class LearningSets:
+    """Orders with 30 scaled features f0..f29, split per class, and the three searches on them.
+
+    The split, the oversampled training rows and every search come from the store where an earlier job left them.
+    """
+
+    def __init__(self, spark, sf_dir):
+        self.store, rows = Store(spark), wide_orders(spark, sf_dir)
+        self.of = key_of(fingerprint(rows), modules=(inputs, learn, neighbours, sampling))
+        self.split = self.store.table(key_of("split", self.of), lambda: self._split(rows))
+        self.test = learn.ensure_features(self.split.filter("split = 'test'"))
 
+    @staticmethod
+    def _split(rows):
+        scaled = learn.standardise(rows, WIDE_FEATURES).select(
+            "o_orderkey", "label", *[F.col(f"{c}_scaled").alias(f) for c, f in zip(WIDE_FEATURES, WIDE_FLAT)])
+        return stratified_split(scaled, "label", ["o_orderkey"])
 
-def training_sets(spark, sf_dir):
-    """Oversampled training rows and untouched test rows, both assembled."""
-    both = splits(spark, sf_dir)
-    train = hold(learn.smote(both.filter("split = 'train'"), FLAT, "label"))
-    return learn.ensure_features(train), learn.ensure_features(both.filter("split = 'test'"))
+    def oversampled(self):
+        return self.store.table(key_of("train", self.of), lambda: learn.smote(
+            self.split.filter("split = 'train'"), WIDE_FLAT, "label"))
+
+    def search(self, name):
+        make, grid, kind = SEARCHES[name]
+        run = learn.forest_search if kind is RandomForestClassificationModel else learn.grid_search
+        estimator = make()
+        set_to = {p.name: str(v) for p, v in estimator.extractParamMap().items()}
+        key = key_of(name, grid, {k: v for k, v in set_to.items() if not k.endswith("Col")}, self.of)
+        return self.store.search(
+            key, lambda: run(estimator, grid, learn.ensure_features(self.oversampled()), WIDE_FLAT), kind)
+
+    def scores(self):
+        """(model, score, label) of the three best models on the untouched test rows."""
+        return reduce(DataFrame.unionByName, (
+            learn.score_table(self.search(name).model, self.test, name) for name in SEARCHES))
 
 
 @query("k01_standardise", f"""
@@ -123,43 +139,58 @@ def k04(spark, sf_dir):
     return learn.flatten(packed, "features", len(FEATURES))
 
 
+@query("k04_wide_features", f"""WITH {WIDE}
+SELECT o_orderkey, label, {", ".join(f"{rsql(c, 6)} AS f{i}" for i, c in enumerate(WIDE_FEATURES))} FROM wide""")
+def k04_wide(spark, sf_dir):
+    """Thirty features an order, packed and unpacked again."""
+    packed = learn.assemble(wide_orders(spark, sf_dir), WIDE_FEATURES).select("o_orderkey", "label", "features")
+    flat = learn.flatten(packed, "features", len(WIDE_FEATURES))
+    return flat.select("o_orderkey", "label", *[rd(c, 6).alias(c) for c in WIDE_FLAT])
+
+
 @query("k05_smote")
 def k05(spark, sf_dir):
-    both = splits(spark, sf_dir)
-    return learn.smote(both.filter("split = 'train'"), FLAT, "label")
+    return LearningSets(spark, sf_dir).oversampled()
 
 
-@query("k05_smote_balance", f"""WITH c AS (
-SELECT count(*) FILTER ({RARE}) AS rare, count(*) FILTER (NOT ({RARE})) AS common FROM lineitem)
+@query("k05_smote_balance", f"""WITH {WIDE}, c AS (
+SELECT count(*) FILTER (label = 1) AS rare, count(*) FILTER (label = 0) AS common FROM wide)
 SELECT 0 AS label, 0 AS synthetic, common AS n FROM c UNION ALL SELECT 1, 0, rare FROM c
 UNION ALL SELECT 1, 1, CAST(floor(0.5 * common) AS BIGINT) - rare FROM c""")
 def k05_balance(spark, sf_dir):
-    """Oversampling of all rows: originals kept, minority at exactly half the majority."""
-    rows = learn.standardise(rare_lines(spark, sf_dir), FEATURES)
-    return learn.smote(hold(rows), [f"{c}_scaled" for c in FEATURES], "label").groupBy(
+    """Oversampling of all rows in 30 dimensions: originals kept, minority at exactly half the majority."""
+    rows = hold(learn.standardise(wide_orders(spark, sf_dir), WIDE_FEATURES))
+    return learn.smote(rows, [f"{c}_scaled" for c in WIDE_FEATURES], "label").groupBy(
         "label", "synthetic"
     ).agg(F.count("*").alias("n"))
 
 
 @query("k06_logistic_regression")
 def k06(spark, sf_dir):
-    train, _ = training_sets(spark, sf_dir)
-    model = searched("Logistic Regression", train)[0].bestModel
-    return learn.ranked_weights(spark, FEATURES, model.coefficients.toArray(), "coefficient")
+    model = LearningSets(spark, sf_dir).search("Logistic Regression").model
+    return learn.ranked_weights(spark, WIDE_FEATURES, model.coefficients.toArray(), "coefficient")
 
 
 @query("k07_random_forest")
 def k07(spark, sf_dir):
-    train, _ = training_sets(spark, sf_dir)
-    model = searched("Random Forest", train)[0].bestModel
-    return learn.ranked_weights(spark, FEATURES, model.featureImportances.toArray(), "importance")
+    model = LearningSets(spark, sf_dir).search("Random Forest").model
+    return learn.ranked_weights(spark, WIDE_FEATURES, model.featureImportances.toArray(), "importance")
 
 
 @query("k08_boosted_trees")
 def k08(spark, sf_dir):
-    train, _ = training_sets(spark, sf_dir)
-    model = searched("Gradient-Boosted Trees", train)[0].bestModel
-    return learn.ranked_weights(spark, FEATURES, model.featureImportances.toArray(), "importance")
+    model = LearningSets(spark, sf_dir).search("Gradient-Boosted Trees").model
+    return learn.ranked_weights(spark, WIDE_FEATURES, model.featureImportances.toArray(), "importance")
+
+
+@query("model_grids", f"""SELECT * FROM (VALUES {", ".join(
+    f"('{name}', {len(list(itertools.product(*grid.values())))}, TRUE)" for name, (_, grid, _) in SEARCHES.items())}
+) t(model, points, better_than_chance)""")
+def model_grids(spark, sf_dir):
+    """Grid points of each search; the mean area under the curve of every one is better than chance."""
+    sets = LearningSets(spark, sf_dir)
+    return learn.grid_table(spark, {name: sets.search(name).grid for name in SEARCHES}).groupBy("model").agg(
+        F.count_distinct("params").cast("int").alias("points"), F.bool_and("auc > 0.5 AND auc <= 1").alias("better_than_chance"))
 
 
 _CONF = f"""{SCORES}, c AS (SELECT model, count(*) FILTER (score >= 0.5 AND label = 1) AS tp,
@@ -262,36 +293,36 @@ def k14_best(spark, sf_dir):
     return best.select("model", rd("threshold", 6).alias("threshold"), rd("f2", 6).alias("f2"))
 
 
-def _one_model(spark, sf_dir):
-    """A plain logistic regression on the oversampled rows, with the untouched test rows."""
-    train, test = training_sets(spark, sf_dir)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.01, standardization=False)
-    return lr.fit(train), test
-
-
-def test_scores(spark, sf_dir):
-    """(model, score, label) of the three searched models on the untouched test rows, and their training seconds."""
-    train, test = training_sets(spark, sf_dir)
-    made, seconds = [], {}
-    for name in SEARCHES:
-        found, seconds[name] = searched(name, train)
-        made.append(learn.score_table(found.bestModel, test, name))
-    return hold(reduce(DataFrame.unionByName, made)), seconds
-
-
 @query("k15_score_export")
 def k15(spark, sf_dir):
-    made, _ = test_scores(spark, sf_dir)
+    made = LearningSets(spark, sf_dir).scores()
     path = write_csv(made, fresh_path(spark, "scores-csv"))
     return read_csv(spark, path, made.schema)
 
 
+@query("k15_score_counts", f"""WITH {WIDE}
+SELECT m.model, (SELECT count(*) FROM wide) AS n, (SELECT sum(label) FROM wide)::BIGINT AS positives, TRUE AS consistent
+FROM (VALUES {", ".join(f"('{name}')" for name in SEARCHES)}) m(model)""")
+def k15_counts(spark, sf_dir):
+    """Scored test rows and training rows make up all orders, and what is found or missed all positives."""
+    sets = LearningSets(spark, sf_dir)
+    scored, train = sets.scores(), sets.split.filter("split = 'train'").agg(
+        F.count("*").alias("n"), F.sum("label").alias("p"))
+    counts, rest = ev.confusion(scored), train.select("n").scalar()
+    seen = scored.groupBy("model").agg(F.count("*").alias("rows"), F.sum("label").alias("rare"),
+                                       F.bool_and("score BETWEEN 0 AND 1").alias("shares"))
+    return counts.join(seen, "model").select(
+        "model", (F.col("rows") + rest).alias("n"), (F.col("rare") + train.select("p").scalar()).alias("positives"),
+        (F.col("shares") & (F.expr("tp + fn") == F.col("rare")) & (F.expr("tp + fp + tn + fn") == F.col("rows")))
+        .alias("consistent"))
+
+
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
-    """The three searched models side by side on the test rows."""
-    made, seconds = test_scores(spark, sf_dir)
-    took = F.create_map(*[F.lit(x) for pair in seconds.items() for x in pair])
-    return ev.model_summary(made).withColumn("train_seconds", F.round(took[F.col("model")], 1))
+    """The three searched models side by side on the test rows, with the seconds of their searches."""
+    sets = LearningSets(spark, sf_dir)
+    took = F.create_map(*[F.lit(x) for name in SEARCHES for x in (name, sets.search(name).seconds)])
+    return ev.model_summary(hold(sets.scores())).withColumn("train_seconds", F.round(took[F.col("model")], 1))
 
 
 @query("k16_best_models", f"""WITH {_WEIGHTED.replace(SCORES, _CURVE, 1)},
@@ -307,15 +338,17 @@ def k16(spark, sf_dir):
     )
 
 
-@query("a09_model_reload")
+@query("a09_model_reload", f"""WITH {WIDE} SELECT count(*) AS rows, 0::BIGINT AS different FROM wide""")
 def a09(spark, sf_dir):
-    """A saved and reloaded model scores the test rows; 0 rows may differ from the original."""
-    model, test = _one_model(spark, sf_dir)
+    """A saved and reloaded model scores all rows; 0 may differ from the original."""
+    rows = learn.assemble(learn.standardise(wide_orders(spark, sf_dir), WIDE_FEATURES), [f"{c}_scaled" for c in WIDE_FEATURES])
+    model = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.01, standardization=False).fit(rows)
     again = LogisticRegressionModel.load(learn.save_model(model, fresh_path(spark, "model")))
-    both = again.transform(model.transform(test).select("line_id", "features", F.col("prediction").alias("first")))
-    return both.agg(
-        F.count("*").alias("rows"), F.count_if(F.col("prediction") != F.col("first")).alias("different")
-    )
+    both = again.transform(model.transform(rows).select(
+        "features", F.col("prediction").alias("first"), F.col("probability").alias("share")))
+    return both.agg(F.count("*").alias("rows"), F.count_if(
+        (F.col("prediction") != F.col("first")) | (vector_to_array("probability")[1] != vector_to_array("share")[1])
+    ).alias("different"))
 
 
 @query("a10_split_reload", """

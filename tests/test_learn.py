@@ -113,10 +113,10 @@ def test_search_save_and_scores(spark):
         (RandomForestClassifier(seed=1), {"numTrees": [5], "maxDepth": [2, 3]}),
         (GBTClassifier(seed=1), {"maxIter": [3], "stepSize": [0.2, 0.3]}),
     ):
-        cv = learn.grid_search(estimator, grid, train, ["f0", "f1"])
-        scores = learn.score_table(cv.bestModel, train, "m")
+        best, grid = learn.grid_search(estimator, grid, train, ["f0", "f1"])
+        scores = learn.score_table(best, train, "m")
         assert ev.roc_auc(ev.roc_points(scores)).first()["auc"] > 0.9
-        assert learn.grid_table(spark, cv, "m").count() == 2
+        assert learn.grid_table(spark, {"m": grid}).count() == 2
     model = LogisticRegression().fit(train)
     again = LogisticRegressionModel.load(learn.save_model(model, fresh_path(spark, "m")))
     assert np.allclose(again.coefficients.toArray(), model.coefficients.toArray())
