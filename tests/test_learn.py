@@ -13,35 +13,74 @@ from fathomkit.operators import neighbours as nb
 from fathomkit.session import fresh_path
 
 
-@pytest.mark.parametrize("cell_size, visits", [(10_000, 20_000), (60, 30)])
-def test_neighbours_match_brute_force(spark, monkeypatch, cell_size, visits):
-    monkeypatch.setattr(nb, "VISITS", visits)
-    rng = np.random.default_rng(9)
-    x = rng.normal(size=(600, 3)).round(2)
-    x[:200] = x[0]  # a third of all points are one point
-    df = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>")
+def brute(x, k):
+    """Distances of each distinct point to its k nearest others, with its copies."""
     distinct, weight = np.unique(x, axis=0, return_counts=True)
-    got = nb.nearest(df, 5, cell_size).collect()
-    assert len(got) == len(distinct)
-    for r in got:
-        d = np.sort(np.sqrt(((distinct - np.array(r["x"])) ** 2).sum(axis=1)))[1:6]
-        own = weight[(distinct == np.array(r["x"])).all(axis=1)][0]
+    d = np.sqrt(((distinct[:, None] - distinct[None]) ** 2).sum(axis=2))
+    return {tuple(r): (int(w), np.sort(row)[1:k + 1]) for r, w, row in zip(distinct, weight, d)}
+
+
+def check_neighbours(rows, x, k):
+    want = brute(x, k)
+    assert len(rows) == len(want)
+    for r in rows:
+        own, d = want[tuple(r["x"])]
         assert r["w"] == own
-        if own < 2:
-            have, used = 0, 0
-            while have < 5:
+        if own <= k:  # else its copies are its neighbours
+            have, used = own - 1, 0
+            while have < k:
                 have += r["near"][used]["w"]
                 used += 1
             assert np.allclose([m["d"] for m in r["near"][:used]], d[:used])
 
 
+@pytest.mark.parametrize("part_size, visits", [(10_000, 20_000), (60, 30)])
+def test_neighbours_match_brute_force(spark, monkeypatch, part_size, visits):
+    monkeypatch.setattr(nb, "VISITS", visits)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(600, 3)).round(2)
+    x[:200] = x[0]  # a third of all points are one point
+    x[200:203] = x[203]
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>")
+    check_neighbours(nb.nearest(df, 5, part_size).collect(), x, 5)
+
+
+def clustered(n, seed=14, dims=30, clusters=24):
+    """Points of many dimensions that lie near few centres, a third of them near one."""
+    rng = np.random.default_rng(seed)
+    of = np.where(rng.random(n) < 1 / 3, 0, rng.integers(0, clusters, n))
+    return rng.normal(size=(clusters, dims))[of] * 4 + rng.normal(size=(n, dims)) * rng.uniform(0.2, 0.8, clusters)[of, None]
+
+
+def test_neighbours_in_thirty_dimensions(spark):
+    x = clustered(4000)
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>")
+    for part_size in (10_000, 300):
+        rows = nb.nearest(df, 5, part_size).collect()
+        check_neighbours(rows, x, 5)
+        share = sum(r["compared"] for r in rows) / len(x) ** 2
+        assert share < 0.3, (part_size, share)
+
+
+def test_neighbours_without_structure_stay_exact(spark):
+    x = np.random.default_rng(15).normal(size=(700, 30))
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>")
+    check_neighbours(nb.nearest(df, 3, 150).collect(), x, 3)
+
+
+def test_few_points(spark):
+    one = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0],)], "x array<double>")
+    assert [(r["w"], r["near"]) for r in nb.nearest(one, 5).collect()] == [(2, [])]
+    assert nb.nearest(one.where("false"), 5).collect() == []
+
+
 def test_smote_invariants(spark):
     rng = np.random.default_rng(10)
     common = [(0, float(a), float(b)) for a, b in rng.normal(size=(900, 2))]
     rare = [(1, float(a), float(b)) for a, b in rng.normal(size=(60, 2)) + 4]
     rare += [(1, 4.0, 4.0)] * 30
     df = spark.createDataFrame(common + rare, "label int, f0 double, f1 double")
-    out = learn.smote(df, ["f0", "f1"], "label", cell_size=20).toPandas()
+    out = learn.smote(df, ["f0", "f1"], "label", part_size=20).toPandas()
     kept = out[out["synthetic"] == 0]
     assert len(kept) == 990 and (out["label"] == 1).sum() == 450
     pts = np.array([(a, b) for _, a, b in rare])
@@ -50,7 +89,7 @@ def test_smote_invariants(spark):
         d = np.sqrt(((pts - p) ** 2).sum(axis=1))
         ab = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(axis=2))
         assert np.abs(d[:, None] + d[None] - ab).min() < 1e-6
-    again = learn.smote(df.repartition(5), ["f0", "f1"], "label", cell_size=20).toPandas()
+    again = learn.smote(df.repartition(5), ["f0", "f1"], "label", part_size=20).toPandas()
     order = ["synthetic", "f0", "f1"]
     assert np.allclose(out.sort_values(order)[order].to_numpy(), again.sort_values(order)[order].to_numpy())
 
