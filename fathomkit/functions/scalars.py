@@ -68,7 +68,7 @@ def to_number(c: Column | str) -> Column:
     return _col(c).try_cast("double")
 
 
-def recode(c: Column | str, mapping: Mapping[str, str], default: str = "Other") -> Column:
+def recode(c: Column | str, mapping: Mapping[str, str], default: str | None = "Other") -> Column:
     c, out = _col(c), None
     for source, target in mapping.items():
         out = (F if out is None else out).when(c == source, target)

@@ -1,12 +1,15 @@
 """Logistic models with normal priors, draw tables and their summaries.
 
-The rows are collapsed to distinct covariate patterns once; every Newton step is then one
-pass over the patterns that returns sums per group. The driver solves the p x p system.
+The rows are collapsed to distinct covariate patterns once; every Newton step is one pass over the patterns that leaves
+one row of sums per group. The system of a group model is bordered block-diagonal: the block of a group meets only
+itself and the coefficients, so the groups are eliminated inside the tasks and a system as large as the coefficients
+reaches the driver, however many groups there are. Draws are made the same way, the coefficients first and the groups
+given these, and meet the rows as blocks of draws by chunks of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,17 +22,23 @@ from fathomkit.operators.describe import histogram, ranked_intervals
 from fathomkit.operators.ordered import quantiles
 from fathomkit.session import hold
 
-MAX_PARAMETERS = 3_000  # size of the dense system the driver solves
-MAX_DRAW_CELLS = 20_000_000  # numbers in a draw matrix that is shipped to every task
+DRAW_NUMBERS = 1_000_000  # numbers in one block of draws
+ROW_CHUNK = 50_000  # rows that meet a block of draws in one task
+GROUP_BUCKET = 256  # groups whose draws one task makes
 
 
 # --- maximum a posteriori fits -----------------------------------------------------------
 @dataclass
 class MapFit:
+    """``effects``: per group its effects ``e``, the block ``b`` against the coefficients and the inverse ``d`` of its own.
+
+    ``covariance`` is that of intercept and coefficients, groups integrated out.
+    """
+
     names: list[str]
     theta: np.ndarray
-    hessian: np.ndarray
-    groups: list
+    covariance: np.ndarray
+    effects: DataFrame | None
     sigma: np.ndarray  # covariance of the group effects, 0x0 / 1x1 / 2x2
     slope: str | None
     covariates: list[str]
@@ -37,8 +46,8 @@ class MapFit:
     steps: int
 
     @property
-    def covariance(self) -> np.ndarray:
-        return np.linalg.inv(self.hessian)
+    def kinds(self) -> int:
+        return len(self.sigma)
 
 
 def covariate_patterns(df: DataFrame, y: str, covariates: Sequence[str], group: str | None = None) -> DataFrame:
@@ -50,88 +59,240 @@ def covariate_patterns(df: DataFrame, y: str, covariates: Sequence[str], group:
     ))
 
 
-def _group_sums(patterns: DataFrame, covariates: Sequence[str], beta, effects, slope: int | None):
-    """Residual and weight sums of every group at the current parameters."""
-    k = len(covariates)
-    iu = np.triu_indices(k)
-    width = 3 + 2 * k + len(iu[0])
+def _columns(width: int) -> list[str]:
+    return [f"v{i}" for i in range(width)]
+
+
+def _summed(parts: DataFrame, keys: Sequence[str], width: int, *more: Column) -> DataFrame:
+    """Vectors in columns v0, v1, ... added up per key."""
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _columns(width)], *more)
+
+
+def _reduced(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and the sums of their rows."""
+    order = np.argsort(keys, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(keys[order]) != 0])
+    return keys[order][starts], np.add.reduceat(rows[order], starts, axis=0)
+
+
+def _width(q: int) -> int:
+    """Log-likelihood, gradient and upper half of the curvature of ``q`` coefficients."""
+    return 1 + q + q * (q + 1) // 2
+
+
+def _derivatives(z: np.ndarray, n: np.ndarray, y: np.ndarray, eta: np.ndarray) -> np.ndarray:
+    """One row of sums per pattern; ``z`` has a column of ones first."""
+    iu = np.triu_indices(z.shape[1])
+    p = 1 / (1 + np.exp(-eta))
+    r, w = y - n * p, n * p * (1 - p)
+    ll = y * eta - n * (np.maximum(eta, 0) + np.log1p(np.exp(-np.abs(eta))))
+    return np.hstack([ll[:, None], r[:, None] * z, (w[:, None] * z)[:, iu[0]] * z[:, iu[1]]])
+
+
+def _unfolded(v: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihoods, gradients and curvatures of rows of sums."""
+    iu = np.triu_indices(q)
+    full = np.zeros((len(v), q, q))
+    full[:, iu[0], iu[1]] = full[:, iu[1], iu[0]] = v[:, 1 + q:]
+    return v[:, 0], v[:, 1: 1 + q], full
+
+
+def _design(b: pd.DataFrame, covariates: Sequence[str]) -> np.ndarray:
+    return np.hstack([np.ones((len(b), 1)), b[list(covariates)].to_numpy(float)])
+
+
+def fits_without_groups(
+    patterns: DataFrame, covariates: Sequence[str], taus: Sequence[float], tol: float = 1e-6, max_steps: int = 50,
+) -> list[MapFit]:
+    """Newton fits under N(0, 1/tau) priors, all of them in the same passes: one pass a step, whatever their number."""
+    covariates, q = list(covariates), 1 + len(covariates)
+    theta = [np.zeros(q) for _ in taus]
+    before: list = [None] * len(taus)
+    done: list = [None] * len(taus)
+    for step in range(1, max_steps + 1):
+        left = [i for i, fit in enumerate(done) if fit is None]
+        at = {i: theta[i] for i in left}
+
+        def partial(batches: Iterator[pd.DataFrame], at=at) -> Iterator[pd.DataFrame]:
+            total = {i: np.zeros(_width(q)) for i in at}
+            for b in batches:
+                z, n, y = _design(b, covariates), b["_n"].to_numpy(float), b["_y"].to_numpy(float)
+                for i, t in at.items():
+                    total[i] += _derivatives(z, n, y, z @ t).sum(axis=0)
+            rows = pd.DataFrame(np.stack(list(total.values())), columns=_columns(_width(q)))
+            rows.insert(0, "fit", list(total))
+            yield rows
+
+        schema = "fit long, " + ", ".join(f"{c} double" for c in _columns(_width(q)))
+        for row in _summed(patterns.mapInPandas(partial, schema), ["fit"], _width(q)).collect():
+            i, prior = row["fit"], taus[row["fit"]]
+            ll, grad, curv = (x[0] for x in _unfolded(np.array(row[1:])[None, :], q))
+            value = ll - prior * theta[i] @ theta[i] / 2
+            if before[i] is not None and value - before[i][1] < -1e-9 * abs(ll):
+                theta[i] = (theta[i] + before[i][0]) / 2
+                continue
+            score, hessian = grad - prior * theta[i], curv + prior * np.eye(q)
+            move = np.linalg.solve(hessian, score)
+            if np.abs(move).max() < tol:
+                names = ["alpha", *[f"beta[{c}]" for c in covariates]]
+                done[i] = MapFit(names, theta[i], np.linalg.inv(hessian), None, np.zeros((0, 0)), None, covariates,
+                                 float(np.abs(score).max()), step)
+                continue
+            before[i], theta[i] = (theta[i], value), theta[i] + move
+        if all(done):
+            return done
+    raise RuntimeError(f"no convergence in {max_steps} steps")
+
+
+def _group_parts(b: pd.DataFrame, q: int, at: list[int], theta: np.ndarray):
+    """Per group: log-likelihood, gradient, curvature, effects, their curvature, border, linear term of the model."""
+    ll, grad, curv = _unfolded(b[_columns(_width(q))].to_numpy(float), q)
+    e = np.stack(b["e"].to_numpy()).astype(float)
+    own, border = curv[:, at][:, :, at], curv[:, :, at]
+    linear = grad[:, at] + np.einsum("gij,gj->gi", own, e) + theta @ border
+    return ll, grad, curv, e, own, border, linear
+
+
+class _Blocks:
+    """The sums of all groups at one point of the fit, held as a table: _group, e, v0, v1, ..."""
+
+    def __init__(self, sums: DataFrame, q: int, at: list[int], theta: np.ndarray):
+        self.sums, self.q, self.at, self.theta = sums, q, at, theta
+
+    def totals(self) -> tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+        """Log-likelihood, gradient, curvature and linear term of the coefficients, sum of e e', number of groups."""
+        q, at, theta, kinds = self.q, self.at, self.theta, len(self.at)
+        width = 2 + 2 * q + q * q + kinds * kinds
+
+        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(width)
+            for b in batches:
+                if not len(b):
+                    continue
+                ll, grad, curv, e, _, border, _ = _group_parts(b, q, at, theta)
+                linear = grad.sum(0) + curv.sum(0) @ theta + np.einsum("gij,gj->i", border, e)
+                total += np.concatenate(
+                    [[ll.sum(), len(b)], grad.sum(0), linear, curv.sum(0).ravel(), (e.T @ e).ravel()])
+            yield pd.DataFrame(total[None, :], columns=_columns(width))
+
+        parts = self.sums.mapInPandas(partial, ", ".join(f"{c} double" for c in _columns(width)))
+        v = np.array(_summed(parts, [], width).first())
+        cut = np.split(v[2:], np.cumsum([q, q, q * q]))
+        return v[0], cut[0], cut[2].reshape(q, q), cut[1], cut[3].reshape(kinds, kinds), int(v[1])
+
+    def eliminated(self, precisions: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, float, float]]:
+        """For each precision of the effects what the groups take from the curvature and the linear term of the
+        coefficients, the sum of b' D^-1 b, and the log determinant of their blocks. One pass for all of them."""
+        q, at, theta = self.q, self.at, self.theta
+        width = q * q + q + 2
+
+        def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros((len(precisions), width))
+            for b in batches:
+                if not len(b):
+                    continue
+                *_, own, border, linear = _group_parts(b, q, at, theta)
+                for i, precision in enumerate(precisions):
+                    d = own + precision
+                    by = np.linalg.solve(d, border.transpose(0, 2, 1))
+                    x = np.linalg.solve(d, linear[:, :, None])[:, :, 0]
+                    total[i] += np.concatenate([
+                        np.einsum("gik,gkj->ij", border, by).ravel(), np.einsum("gik,gk->i", border, x),
+                        [(linear * x).sum(), np.linalg.slogdet(d)[1].sum()]])
+            rows = pd.DataFrame(total, columns=_columns(width))
+            rows.insert(0, "i", range(len(precisions)))
+            yield rows
+
+        parts = self.sums.mapInPandas(partial, "i int, " + ", ".join(f"{c} double" for c in _columns(width)))
+        out = []
+        for row in sorted(_summed(parts, ["i"], width).collect(), key=lambda r: r["i"]):
+            v = np.array(row[1:])
+            out.append((v[: q * q].reshape(q, q), v[q * q: -2], v[-2], v[-1]))
+        return out
+
+    def solved(self, precision: np.ndarray, ahead: np.ndarray) -> DataFrame:
+        """Per group: e at the solution of the model, p (what it was), its block b and d, largest move and gradient."""
+
+        q, at, theta = self.q, self.at, self.theta
+
+        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if not len(b):
+                    continue
+                _, grad, _, e, own, border, linear = _group_parts(b, q, at, theta)
+                d = np.linalg.inv(own + precision)
+                new = np.einsum("gij,gj->gi", d, linear - ahead @ border)
+                slope = grad[:, at] - e @ precision
+                yield pd.DataFrame({
+                    "_group": b["_group"], "e": list(new), "p": list(e), "b": list(border.reshape(len(b), -1)),
+                    "d": list(d.reshape(len(b), -1)), "move": np.abs(new - e).max(1), "grad": np.abs(slope).max(1)})
+
+        return self.sums.mapInPandas(each, (
+            "_group long, e array<double>, p array<double>, b array<double>, d array<double>, move double, grad double"))
+
+
+def _group_sums(patterns: DataFrame, covariates: Sequence[str], theta: np.ndarray, effects: DataFrame, at: list[int]):
+    """Per group the sums at the current coefficients and effects; the effects stay beside them."""
+    width = _width(len(theta))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[int, np.ndarray] = {}
         for b in batches:
-            x = b[list(covariates)].to_numpy(float)
-            gs = b["_group"].to_numpy()
-            n, y = b["_n"].to_numpy(float), b["_y"].to_numpy(float)
-            eta = beta[0] + x @ beta[1:]
-            if effects:
-                uv = np.array([effects.get(g, (0.0, 0.0)) for g in gs]).reshape(-1, 2)
-                eta = eta + uv[:, 0] + (uv[:, 1] * x[:, slope] if slope is not None else 0.0)
-            p = 1 / (1 + np.exp(-eta))
-            r, w = y - n * p, n * p * (1 - p)
-            ll = y * eta - n * (np.maximum(eta, 0) + np.log1p(np.exp(-np.abs(eta))))
-            for g in np.unique(gs):
-                m = gs == g
-                xm, wm = x[m], w[m]
-                xx = (xm * wm[:, None]).T @ xm
-                row = np.concatenate([
-                    [ll[m].sum(), r[m].sum(), wm.sum()], r[m] @ xm, wm @ xm, xx[iu]
-                ])
-                total[g] = total.get(g, 0.0) + row
-        yield pd.DataFrame({
-            "g": pd.Series(list(total), dtype="int64"), "v": [list(v) for v in total.values()],
-        })
-
-    parts = patterns.mapInPandas(partial, "g long, v array<double>")
-    cells = parts.select("g", F.posexplode("v")).groupBy("g", "pos").agg(F.sum("col").alias("t")).collect()
-    vectors: dict = {}
-    for c in cells:
-        vectors.setdefault(c["g"], np.zeros(width))[c["pos"]] = c["t"]
-    out = {}
-    for g in sorted(vectors):
-        v = vectors[g]
-        xx = np.zeros((k, k))
-        xx[iu] = v[3 + 2 * k :]
-        xx = xx + np.triu(xx, 1).T
-        out[g] = (v[0], v[1], v[2], v[3 : 3 + k], v[3 + k : 3 + 2 * k], xx)
-    return out
+            if not len(b):
+                continue
+            z, e = _design(b, covariates), np.stack(b["e"].to_numpy())
+            eta = z @ theta + (e * z[:, at]).sum(axis=1)
+            groups, sums = _reduced(
+                b["_group"].to_numpy(), _derivatives(z, b["_n"].to_numpy(float), b["_y"].to_numpy(float), eta))
+            rows = pd.DataFrame(sums, columns=_columns(width))
+            rows.insert(0, "_group", groups)
+            rows["e"] = list(e[np.unique(b["_group"].to_numpy(), return_index=True)[1]])
+            yield rows
 
+    schema = "_group long, " + ", ".join(f"{c} double" for c in _columns(width)) + ", e array<double>"
+    parts = patterns.join(effects.select("_group", "e"), "_group").mapInPandas(partial, schema)
+    return _summed(parts, ["_group"], width, F.first("e").alias("e"))
 
-def _assemble(sums, groups, k, kinds, slope):
-    """Gradient and curvature of the log-likelihood for fixed and group parameters."""
-    j = len(groups)
-    size = 1 + k + kinds * j
-    grad, curv = np.zeros(size), np.zeros((size, size))
-    for i, g in enumerate(groups):
-        _, r, w, rx, wx, wxx = sums[g]
-        grad[0] += r
-        grad[1 : 1 + k] += rx
-        fixed = np.zeros((1 + k, 1 + k))
-        fixed[0, 0] = w
-        fixed[0, 1:] = fixed[1:, 0] = wx
-        fixed[1:, 1:] = wxx
-        curv[: 1 + k, : 1 + k] += fixed
-        if kinds >= 1:
-            a = 1 + k + i
-            grad[a] = r
-            curv[a, a] = w
-            curv[a, : 1 + k] = curv[: 1 + k, a] = fixed[0]
-        if kinds == 2:
-            b = 1 + k + j + i
-            grad[b] = rx[slope]
-            curv[b, b] = wxx[slope, slope]
-            curv[b, : 1 + k] = curv[: 1 + k, b] = fixed[1 + slope]
-            curv[a, b] = curv[b, a] = wx[slope]
-    return grad, curv
-
-
-def _precision(sigma: np.ndarray, k: int, j: int, tau: float) -> np.ndarray:
-    """Prior precision of all parameters."""
-    kinds = len(sigma)
-    out = np.zeros((1 + k + kinds * j,) * 2)
-    out[: 1 + k, : 1 + k] = tau * np.eye(1 + k)
-    if kinds:
-        out[1 + k :, 1 + k :] = np.kron(np.linalg.inv(sigma), np.eye(j))
-    return out
+
+def _spread_of(x: np.ndarray) -> np.ndarray:
+    """Covariance of the effects from log sds and, for two kinds, the inverse hyperbolic tangent of their correlation."""
+    sd = np.exp(x[:2])
+    if len(x) == 1:
+        return np.array([[sd[0] ** 2]])
+    across = np.tanh(x[2]) * sd[0] * sd[1]
+    return np.array([[sd[0] ** 2, across], [across, sd[1] ** 2]])
+
+
+def _highest(values: Callable[[list[np.ndarray]], np.ndarray], x: np.ndarray, close: float) -> np.ndarray:
+    """The maximum near ``x`` by Newton steps on differences; ``values`` takes many points at once.
+
+    A step asks for the points of the differences, and then for the points along its direction.
+    """
+    n, h = len(x), 1e-3
+    low, high = np.array([-7.0, -7.0, -6.0])[:n], np.array([3.0, 3.0, 6.0])[:n]
+    units = np.eye(n) * h
+    for _ in range(60):
+        pairs = [(i, j) for i in range(n) for j in range(i)]
+        points = [x, *(x + u for u in units), *(x - u for u in units)]
+        points += [x + s * (units[i] + units[j]) for i, j in pairs for s in (1, -1)]
+        f = values(points)
+        up, down = f[1: 1 + n], f[1 + n: 1 + 2 * n]
+        slope, curve = (up - down) / (2 * h), np.diag((up - 2 * f[0] + down) / h ** 2)
+        for k, (i, j) in enumerate(pairs):
+            both = f[1 + 2 * n + 2 * k: 3 + 2 * n + 2 * k].sum()
+            curve[i, j] = curve[j, i] = (both - up[i] - down[i] - up[j] - down[j] + 2 * f[0]) / (2 * h ** 2)
+        root, axes = np.linalg.eigh(curve)
+        step = axes @ ((axes.T @ slope) / np.maximum(np.abs(root), 1e-2))
+        step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-300))
+        if np.abs(step).max() < close:
+            return np.clip(x + step, low, high)
+        lengths = [2.0, 1.0, 0.5, 0.25, 0.1, 0.02]
+        ahead = [np.clip(x + t * step, low, high) for t in lengths]
+        found = values(ahead)
+        best = int(found.argmax())
+        if found[best] <= f[0] or np.abs(ahead[best] - x).max() < close:
+            return x if found[best] <= f[0] else ahead[best]
+        x = ahead[best]
+    raise RuntimeError("the spread of the group effects did not settle")
 
 
 def fit_map(
@@ -143,153 +304,227 @@ def fit_map(
     ``kinds`` 0: no group effects; 1: group intercepts with a half-normal prior on their sd;
     2: correlated group intercepts and slopes of covariate ``slope`` under a Wishart(I, 2)
     prior on their precision. One pass over the patterns per step; the spread of the effects
-    is settled on the quadratic model of that pass.
+    maximises its Laplace marginal posterior on the quadratic model of that pass.
     """
+    if not kinds:
+        return fits_without_groups(patterns, covariates, [tau], tol, max_steps)[0]
     covariates = list(covariates)
-    k = len(covariates)
-    at = covariates.index(slope) if kinds == 2 else None
-    groups = sorted(r[0] for r in patterns.select("_group").distinct().limit(MAX_PARAMETERS + 1).collect())
-    j = len(groups)
-    if 1 + k + kinds * j > MAX_PARAMETERS:
-        raise ValueError("too many parameters for a dense Newton step")
-    sigma = np.eye(kinds)
-    theta, before, before_ll = np.zeros(1 + k + kinds * j), None, None
-    moved, norm, step = np.inf, np.inf, 0
+    q = 1 + len(covariates)
+    at = [0] if kinds == 1 else [0, 1 + covariates.index(slope)]
+    theta, x, before = np.zeros(q), np.zeros(1 if kinds == 1 else 3), None
+    effects = hold(patterns.select("_group").distinct().select(
+        "_group", F.array(*[F.lit(0.0)] * kinds).alias("e"), F.array(*[F.lit(0.0)] * kinds).alias("p")))
+    moved = np.inf
     for step in range(1, max_steps + 1):
-        effects = None
-        if kinds:
-            v = theta[1 + k + j :] if kinds == 2 else np.zeros(j)
-            effects = {g: (float(a), float(b)) for g, a, b in zip(groups, theta[1 + k : 1 + k + j], v)}
-        sums = _group_sums(patterns, covariates, theta[: 1 + k], effects, at)
-        ll = sum(q[0] for q in sums.values())
-        prior = _precision(sigma, k, j, tau)
+        blocks = _Blocks(hold(_group_sums(patterns, covariates, theta, effects, at)), q, at, theta)
+        ll, grad, curv, linear, squares, j = blocks.totals()
+        precision = np.linalg.inv(_spread_of(x))
         if before is not None:
-            gain = (ll - theta @ prior @ theta / 2) - (before_ll - before @ prior @ before / 2)
-            if gain < -1e-9 * abs(ll):
-                theta = (theta + before) / 2
+            old = before[1] - tau * before[0] @ before[0] / 2 - np.sum(precision * before[2]) / 2
+            if ll - tau * theta @ theta / 2 - np.sum(precision * squares) / 2 - old < -1e-9 * abs(ll):
+                theta = (theta + before[0]) / 2
+                effects = hold(effects.select(
+                    "_group", F.zip_with("e", "p", lambda a, b: (a + b) / 2).alias("e"), "p"))
                 continue
-        score, curv = _assemble(sums, groups, k, kinds, at)
-        if kinds == 1:
-            sigma = _settled_variance(score + curv @ theta, curv, k, j, tau, tau_sigma)
-            prior = _precision(sigma, k, j, tau)
-        for _ in range(500):
-            hessian = curv + prior
-            ahead = theta + np.linalg.solve(hessian, score - prior @ theta)
-            if kinds < 2:
-                break
-            old, sigma = sigma, _spread(ahead, np.linalg.inv(hessian), k, j)
-            prior = _precision(sigma, k, j, tau)
-            if np.abs(sigma - old).max() < 1e-10:
-                break
-        else:
-            raise RuntimeError("the spread of the group effects did not settle")
-        norm = float(np.abs(score - prior @ theta).max())
-        moved = float(np.abs(ahead - theta).max())
-        if moved < tol:
-            break
-        before, before_ll, theta = theta, ll, ahead
-    else:
-        raise RuntimeError(f"no convergence in {max_steps} steps; last move {moved:.3g}")
-    names = ["alpha", *[f"beta[{c}]" for c in covariates]]
-    names += [f"u[{g}]" for g in groups] if kinds else []
-    names += [f"v[{g}]" for g in groups] if kinds == 2 else []
-    return MapFit(names, theta, hessian, groups, sigma, slope, covariates, norm, step)
 
+        def marginal(points: list[np.ndarray]) -> np.ndarray:
+            spreads = [_spread_of(p) for p in points]
+            out = []
+            for spread, (taken, pulled, own, logdet) in zip(
+                    spreads, blocks.eliminated(np.array([np.linalg.inv(s) for s in spreads]))):
+                s, r, size = curv + tau * np.eye(q) - taken, linear - pulled, np.linalg.slogdet(spread)[1]
+                prior = -j * size / 2 - tau_sigma * spread[0, 0] / 2 if kinds == 1 else (
+                    -(j - 1) * size / 2 - np.trace(np.linalg.inv(spread)) / 2)
+                out.append(prior - (logdet + np.linalg.slogdet(s)[1]) / 2 + (own + r @ np.linalg.solve(s, r)) / 2)
+            return np.array(out)
+
+        x = _highest(marginal, x, 1e-7 if moved < 0.1 else 1e-3)
+        precision = np.linalg.inv(_spread_of(x))
+        taken, pulled, *_ = blocks.eliminated(precision[None])[0]
+        covariance = np.linalg.inv(curv + tau * np.eye(q) - taken)
+        ahead = covariance @ (linear - pulled)
+        solved = hold(blocks.solved(precision, ahead))
+        far = solved.agg(F.max("move"), F.max("grad")).first()
+        moved = max(float(np.abs(ahead - theta).max()), far[0])
+        if moved < tol:
+            norm = max(float(np.abs(grad - tau * theta).max()), far[1])
+            names = ["alpha", *[f"beta[{c}]" for c in covariates]]
+            return MapFit(names, theta, covariance, solved.select("_group", F.col("p").alias("e"), "b", "d"),
+                          _spread_of(x), slope, covariates, norm, step)
+        before, theta, effects = (theta, ll, squares), ahead, solved.select("_group", "e", "p")
+    raise RuntimeError(f"no convergence in {max_steps} steps; last move {moved:.3g}")
 
-def _settled_variance(b, curv, k, j, tau, tau_sigma) -> np.ndarray:
-    """Variance of the group intercepts that maximises their Laplace marginal posterior.
 
-    Golden section over the log sd; an sd below e^-7 is as good as no group effect.
-    """
-    def value(log_sd: float) -> float:
-        var = np.exp(2 * log_sd)
-        h = curv + _precision(np.array([[var]]), k, j, tau)
-        return float(-np.linalg.slogdet(h)[1] / 2 + b @ np.linalg.solve(h, b) / 2 - j * log_sd - tau_sigma * var / 2)
-
-    lo, hi, g = -7.0, 3.0, (5**0.5 - 1) / 2
-    x, y = hi - g * (hi - lo), lo + g * (hi - lo)
-    fx, fy = value(x), value(y)
-    while hi - lo > 1e-9:
-        if fx > fy:
-            hi, y, fy = y, x, fx
-            x = hi - g * (hi - lo)
-            fx = value(x)
-        else:
-            lo, x, fx = x, y, fy
-            y = lo + g * (hi - lo)
-            fy = value(y)
-    return np.array([[np.exp(lo + hi)]])
-
-
-def _spread(theta, cov, k, j) -> np.ndarray:
-    """EM update of the 2 x 2 covariance of group intercepts and slopes."""
-    e = theta[1 + k :].reshape(2, j)
-    c = cov[1 + k :, 1 + k :].reshape(2, j, 2, j)
-    s = e @ e.T + np.array([[np.trace(c[a, :, b, :]) for b in range(2)] for a in range(2)])
-    return (s + np.eye(2)) / (j - 1)
+def _effect_names(kinds: int) -> list[str]:
+    return ["u", "v"][:kinds]
 
 
 def coefficient_summary(spark: SparkSession, fit: MapFit) -> DataFrame:
     """Estimate, Laplace sd from the inverse Hessian, and the 95 % interval."""
-    sd = np.sqrt(np.diag(fit.covariance))
-    rows = [
-        (n, float(m), float(s), float(m - 1.96 * s), float(m + 1.96 * s))
-        for n, m, s in zip(fit.names, fit.theta, sd)
-    ]
-    if fit.sigma.size:
+    rows = [(n, float(m), float(s)) for n, m, s in zip(fit.names, fit.theta, np.sqrt(np.diag(fit.covariance)))]
+    told = spark.createDataFrame(rows, "param string, mean double, sd double")
+    if fit.kinds:
+        kinds, q, covariance = fit.kinds, len(fit.theta), fit.covariance
+
+        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for g in batches:
+                if not len(g):
+                    continue
+                d, b = np.stack(g["d"]).reshape(-1, kinds, kinds), np.stack(g["b"]).reshape(-1, q, kinds)
+                way = np.einsum("gik,gkl->gil", b, d)
+                var = d + np.einsum("gik,ij,gjl->gkl", way, covariance, way)
+                e = np.stack(g["e"])
+                for i, name in enumerate(_effect_names(kinds)):
+                    yield pd.DataFrame({"param": [f"{name}[{x}]" for x in g["_group"]], "mean": e[:, i],
+                                        "sd": np.sqrt(var[:, i, i])})
+
+        told = told.union(fit.effects.mapInPandas(each, "param string, mean double, sd double"))
+    told = told.select("*", (F.col("mean") - 1.96 * F.col("sd")).alias("lo"), (F.col("mean") + 1.96 * F.col("sd")).alias("hi"))
+    if fit.kinds:
         spread = [("sigma_u", fit.sigma[0, 0] ** 0.5)]
-        if fit.sigma.shape[0] == 2:
+        if fit.kinds == 2:
             sv = fit.sigma[1, 1] ** 0.5
             spread += [("sigma_v", sv), ("rho", fit.sigma[0, 1] / (spread[0][1] * sv))]
-        rows += [(n, float(v), None, None, None) for n, v in spread]
-    return spark.createDataFrame(rows, "param string, mean double, sd double, lo double, hi double")
+        told = told.union(spark.createDataFrame(
+            [(n, float(v), None, None, None) for n, v in spread], told.schema))
+    return told
 
 
 def prior_sensitivity(patterns: DataFrame, covariates: Sequence[str], priors: Sequence[tuple[str, float]]) -> DataFrame:
-    """Refit under each prior precision and line the summaries up."""
+    """Fits under each prior precision, in the same passes, and their summaries in one table."""
     out = None
-    for label, tau in priors:
-        fit = fit_map(patterns, covariates, tau)
+    for (label, _), fit in zip(priors, fits_without_groups(patterns, covariates, [tau for _, tau in priors])):
         one = coefficient_summary(patterns.sparkSession, fit).select(F.lit(label).alias("prior"), "*")
         out = one if out is None else out.union(one)
     return out
 
 
 # --- draws -------------------------------------------------------------------------------
-def laplace_draws(spark: SparkSession, fit: MapFit, chains: int = 3, iterations: int = 2000, seed: int = 42) -> DataFrame:
-    """Draws (chain, iter, theta) from the Gaussian approximation at the mode.
+@dataclass
+class Draws:
+    """Blocks of draws. ``fixed``: block, draws and theta, the flat matrix of intercept and coefficients by draw;
+    ``effects``: block, group and e, the flat matrix of the group's effects by draw."""
 
-    Every normal number is a hash of its draw and position, so a repeated task repeats it.
+    names: list[str]
+    fixed: DataFrame
+    effects: DataFrame | None
+    kinds: int
+    slope: int | None  # the column of the design whose slope is the second effect
+    iterations: int
+
+
+_FIXED = "block long, draws array<long>, theta array<double>"
+
+
+def packed_draws(
+    draws: DataFrame, names: Sequence[str], effects: DataFrame | None = None, kinds: int = 0, slope: int | None = None,
+) -> Draws:
+    """Blocks of given draws: (draw, theta) and, for group effects, (draw, group, e); draws are numbered from 0."""
+    per = max(1, DRAW_NUMBERS // len(names))
+    block = F.floor(F.col("draw") / per).alias("block")
+    fixed = draws.groupBy(block).agg(F.array_sort(F.collect_list(F.struct("draw", "theta"))).alias("d")).select(
+        "block", F.col("d.draw").alias("draws"), F.flatten("d.theta").alias("theta"))
+    if effects is not None:
+        effects = effects.groupBy(block, "group").agg(
+            F.array_sort(F.collect_list(F.struct("draw", "e"))).alias("d")).select(
+            "block", "group", F.flatten("d.e").alias("e"))
+    return Draws(list(names), fixed, effects, kinds if effects is not None else 0, slope, 0)
+
+
+def _uniform(keys: np.ndarray) -> np.ndarray:
+    """Numbers in [0, 1) from 64-bit keys."""
+    with np.errstate(over="ignore"):
+        z = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / float(1 << 53)
+
+
+def _normals(draws: np.ndarray, group: int, kinds: int, seed: int) -> np.ndarray:
+    """Normal numbers (draw, kind) of a group; the same for the same draw and group wherever they are made."""
+    odd = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)]
+    with np.errstate(over="ignore"):
+        key = draws.astype(np.uint64)[:, None] * odd[0] + np.uint64(group % (1 << 64)) * odd[1]
+        key = key + (np.arange(2 * kinds, dtype=np.uint64) + np.uint64(seed)) * odd[2]
+    u = _uniform(key)
+    return np.sqrt(-2 * np.log(1 - u[:, :kinds])) * np.cos(2 * np.pi * u[:, kinds:])
+
+
+def laplace_draws(
+    spark: SparkSession, fit: MapFit, chains: int = 3, iterations: int = 2000, seed: int = 42, limit: int | None = None,
+) -> Draws:
+    """Draws from the Gaussian approximation at the mode: coefficients first, then each group given these.
+
+    ``limit``: only so many evenly spaced draws. Every normal number is a hash of its draw and place, so a repeated task
+    repeats it.
     """
-    root = np.linalg.cholesky(fit.covariance)
-    centre, p = fit.theta, len(fit.theta)
+    root, centre, q = np.linalg.cholesky(fit.covariance), fit.theta, len(fit.theta)
+    every = 1 if limit is None else max(1, chains * iterations // limit)
+    count = -(-chains * iterations // every) if limit is None else min(limit, -(-chains * iterations // every))
+    per = max(1, DRAW_NUMBERS // q)
 
     def normal(j: Column) -> Column:
         u1 = key_uniform([F.col("id"), j, F.lit(1)], seed)
         u2 = key_uniform([F.col("id"), j, F.lit(2)], seed)
         return F.sqrt(-2 * F.log(1 - u1)) * F.cos(2 * np.pi * u2)
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            z = np.stack(b["z"].to_numpy())
-            yield pd.DataFrame({
-                "chain": b["chain"], "iter": b["iter"], "theta": list(centre + z @ root.T),
-            })
-
-    base = spark.range(chains * iterations).select(
-        F.floor(F.col("id") / iterations).cast("int").alias("chain"),
-        (F.col("id") % iterations).cast("int").alias("iter"),
-        F.transform(F.sequence(F.lit(0), F.lit(p - 1)), normal).alias("z"),
-    )
-    return base.mapInPandas(place, "chain int, iter int, theta array<double>")
+    def place(b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("id")
+        theta = centre + np.stack(b["z"].to_numpy()) @ root.T
+        return pd.DataFrame({"block": b["block"].iloc[:1], "draws": [b["id"].to_numpy()], "theta": [theta.ravel()]})
+
+    numbers = spark.range(count).select(
+        F.floor(F.col("id") / per).alias("block"), (F.col("id") * every).alias("id"),
+    ).withColumn("z", F.transform(F.sequence(F.lit(0), F.lit(q - 1)), normal))
+    fixed = hold(numbers.groupBy("block").applyInPandas(place, _FIXED))
+    slope = 1 + fit.covariates.index(fit.slope) if fit.kinds == 2 else None
+    draws = Draws(fit.names, fixed, None, fit.kinds, slope, iterations)
+    if not fit.kinds:
+        return draws
+
+    kinds = fit.kinds
+    blocks = -(-count // per)
+    buckets = F.floor((fit.effects.agg(F.count("*")).scalar() - 1) / GROUP_BUCKET) + 1
+    groups = fit.effects.withColumn("bucket", F.pmod(F.xxhash64("_group"), buckets)).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    wide = fixed.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), buckets - 1)))
+
+    def given(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        ids = np.asarray(right["draws"].iloc[0])
+        off = np.asarray(right["theta"].iloc[0]).reshape(-1, q) - centre
+        out = []
+        for g, e, b, d in zip(*(left[c] for c in ("_group", "e", "b", "d"))):
+            d = np.asarray(d).reshape(kinds, kinds)
+            mean = np.asarray(e) - off @ np.asarray(b).reshape(q, kinds) @ d
+            out.append((mean + _normals(ids, g, kinds, seed) @ np.linalg.cholesky(d).T).ravel())
+        return pd.DataFrame({"block": right["block"].iloc[0], "group": left["_group"], "e": out})
+
+    effects = groups.groupBy("bucket", "block").cogroup(wide.groupBy("bucket", "block")).applyInPandas(
+        lambda left, right: given(left, right) if len(left) else pd.DataFrame(
+            {"block": pd.Series(dtype="int64"), "group": pd.Series(dtype="int64"), "e": []}),
+        "block long, group long, e array<double>")
+    draws.effects = hold(effects)
+    return draws
+
+
+def long_draws(draws: Draws) -> DataFrame:
+    """(param, chain, iter, value)."""
+    q, kinds, per_chain = len(draws.names), draws.kinds, F.lit(draws.iterations or 1 << 62)
+    labels = F.array(*map(F.lit, draws.names))
 
+    def told(rows: DataFrame, param: Column) -> DataFrame:
+        return rows.select(param.alias("param"), F.floor(F.col("draw") / per_chain).cast("int").alias("chain"),
+                           (F.col("draw") % per_chain).cast("int").alias("iter"), "value")
 
-def long_draws(draws: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(param, chain, iter, value)."""
-    labels = F.array(*map(F.lit, names))
-    return draws.select("chain", "iter", F.posexplode("theta").alias("i", "value")).select(
-        labels[F.col("i")].alias("param"), "chain", "iter", "value"
-    )
+    fixed = draws.fixed.select("draws", F.posexplode("theta").alias("i", "value")).select(
+        "i", "value", F.col("draws")[(F.col("i") / q).cast("int")].alias("draw"))
+    out = told(fixed, labels[F.col("i") % q])
+    if kinds:
+        each = draws.effects.join(draws.fixed.select("block", "draws"), "block").select(
+            "group", "draws", F.posexplode("e").alias("i", "value")).select(
+            "group", "i", "value", F.col("draws")[(F.col("i") / kinds).cast("int")].alias("draw"))
+        kind = F.array(*map(F.lit, _effect_names(kinds)))[F.col("i") % kinds]
+        out = out.union(told(each, F.concat(kind, F.lit("["), F.col("group").cast("string"), F.lit("]"))))
+    return out
 
 
 def posterior_summary(draws: DataFrame) -> DataFrame:
@@ -389,68 +624,81 @@ def draw_histogram(draws: DataFrame, bins: int = 40) -> DataFrame:
 
 
 # --- draws against rows ------------------------------------------------------------------
-def draw_matrix(draws: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Draws as a matrix for the tasks, refused beyond MAX_DRAW_CELLS numbers."""
-    limit = MAX_DRAW_CELLS // max(1, len(columns))
-    got = draws.select(*columns).orderBy(*columns).limit(limit + 1).toPandas()
-    if len(got) > limit:
-        raise ValueError("too many draws for one matrix: thin them first")
-    return got.to_numpy(float)
-
-
-def theta_matrix(draws: DataFrame, limit: int) -> np.ndarray:
-    """Matrix of ``limit`` evenly spaced draws of an array column ``theta``."""
-    size = draws.agg(F.count("*").alias("n"), (F.max("iter") + 1).alias("per_chain")).first()
-    step = max(1, size["n"] // limit)
-    at = F.col("chain") * size["per_chain"] + F.col("iter")
-    thin = draws.withColumn("_at", at).filter(F.col("_at") % step == 0)
-    got = np.stack([np.array(r["theta"]) for r in thin.orderBy("_at").limit(limit).collect()])
-    if got.size > MAX_DRAW_CELLS:
-        raise ValueError("too many draws for one matrix: thin them first")
-    return got
-
-
-def _chunks(x: np.ndarray, draws: int) -> Iterator[slice]:
-    step = max(1, 2_000_000 // max(1, draws))
-    for a in range(0, len(x), step):
-        yield slice(a, a + step)
-
+def _against_draws(
+    obs: DataFrame, columns: Sequence[str], covariates: Sequence[str], draws: Draws, group: str | None,
+    use: Callable[[pd.DataFrame, np.ndarray, np.ndarray], pd.DataFrame], schema: str,
+) -> DataFrame:
+    """``use(rows, draws, eta)`` for every chunk of rows and block of draws; eta is the predictor, rows x draws.
 
-def _eta(x: np.ndarray, theta: np.ndarray, at: np.ndarray | None) -> np.ndarray:
-    """Linear predictor, rows x draws; ``at`` is the column of each row's group effect."""
-    k = x.shape[1]
-    eta = theta[:, 0] + x @ theta[:, 1 : 1 + k].T
-    return eta + theta[:, at].T if at is not None else eta
+    Rows are dealt by their group into chunks of about ``ROW_CHUNK``, a large group into several; the blocks of the
+    coefficients go to all chunks, those of a group's effects to the chunks of the group. A slice of rows x draws exists
+    at a time. ``use`` is called with slices of a chunk.
+    """
+    if (group is None) != (draws.effects is None):
+        raise ValueError("group effects need the group of each row, and the other way round")
+    cols, q, kinds = list(covariates), len(draws.names), draws.kinds
+    slope = draws.slope
+    rows = hold(obs.select(
+        *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)], *columns,
+        (F.col(group).cast("long") if group else F.lit(0).cast("long")).alias("_group")))
+    sizes = hold(rows.groupBy("_group").agg(F.ceil(F.count("*") / ROW_CHUNK).cast("int").alias("_salts")))
+    buckets = F.floor((rows.agg(F.count("*")).scalar() - 1) / ROW_CHUNK) + 1
+    bucket = F.pmod(F.xxhash64("_group"), buckets).alias("_bucket")
+    dealt = rows.join(sizes, "_group").withColumn("_salt", F.pmod(
+        F.xxhash64(*[f"_x{i}" for i in range(len(cols))], *columns), F.col("_salts")).cast("int")).withColumn("_bucket", bucket)
+    chunks = sizes.select("_group", bucket, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
+    blocks = draws.fixed.agg(F.max("block")).scalar()
+    every = F.explode(F.sequence(F.lit(0).cast("long"), blocks)).alias("block")
+    left = dealt.select(*rows.columns, "_bucket", "_salt", every)
+    right = chunks.select("_bucket", "_salt").distinct().select("_bucket", "_salt", every).join(draws.fixed, "block").select(
+        "_bucket", "_salt", "block", F.lit(None).cast("long").alias("group"), "draws", F.col("theta").alias("numbers"))
+    if kinds:
+        right = right.unionByName(chunks.withColumnRenamed("_group", "group").join(draws.effects, "group").select(
+            "_bucket", "_salt", "block", "group", F.array().cast("array<long>").alias("draws"),
+            F.col("e").alias("numbers")))
+
+    def meet(asked: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        own = told["group"].isna()
+        ids = np.asarray(told.loc[own, "draws"].iloc[0])
+        theta = np.asarray(told.loc[own, "numbers"].iloc[0]).reshape(-1, q)
+        effects = {int(g): np.asarray(e).reshape(-1, kinds) for g, e in told.loc[~own, ["group", "numbers"]].to_numpy()}
+        asked, out = asked.sort_values("_group", kind="stable"), []
+        step = max(1, 2_000_000 // len(ids))
+        for g, part in asked.groupby("_group", sort=False) if kinds else [(0, asked)]:
+            for a in range(0, len(part), step):
+                few = part.iloc[a: a + step]
+                z = np.hstack([np.ones((len(few), 1)), few[[f"_x{i}" for i in range(len(cols))]].to_numpy(float)])
+                eta = z @ theta.T
+                if kinds:
+                    eta += effects[g][:, 0]
+                if kinds == 2:
+                    eta += z[:, [slope]] * effects[g][:, 1]
+                out.append(use(few, ids, eta))
+        return pd.concat(out)
+
+    empty = {f.split()[0]: [] for f in schema.split(", ")}
+    keys = ("_bucket", "_salt", "block")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        lambda a, b: meet(a, b) if len(a) and len(b) else pd.DataFrame(empty), schema)
 
 
 def _loglik(y: np.ndarray, eta: np.ndarray) -> np.ndarray:
     return y[:, None] * eta - (np.maximum(eta, 0) + np.log1p(np.exp(-np.abs(eta))))
 
 
-def draw_totals(obs: DataFrame, y: str, covariates: Sequence[str], theta: np.ndarray, group: str | None = None) -> DataFrame:
-    """Log-likelihood and mean probability of all rows under every draw.
+def draw_totals(obs: DataFrame, y: str, covariates: Sequence[str], draws: Draws, group: str | None = None) -> DataFrame:
+    """Log-likelihood and mean probability of all rows under every draw; one sum per draw and slice leaves a task.
 
-    Each task multiplies its rows with the draw matrix and returns one sum per draw, so rows
-    x draws exists only block-wise in memory. ``group`` holds the column of theta with the
-    row's group effect.
+    ``group`` holds the group of each row where the draws have group effects.
     """
-    cols = list(covariates)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ll, ps, n = np.zeros(len(theta)), np.zeros(len(theta)), 0
-        for b in batches:
-            x, ys = b[cols].to_numpy(float), b[y].to_numpy(float)
-            at = b[group].to_numpy(int) if group else None
-            for c in _chunks(x, len(theta)):
-                eta = _eta(x[c], theta, at[c] if group else None)
-                ll += _loglik(ys[c], eta).sum(axis=0)
-                ps += (1 / (1 + np.exp(-eta))).sum(axis=0)
-            n += len(b)
-        yield pd.DataFrame({"draw": np.arange(len(theta)), "ll": ll, "p": ps, "n": n})
-
-    used = obs.select(F.col(y).cast("double").alias(y), *[F.col(c).cast("double").alias(c) for c in cols],
-                      *([group] if group else []))
-    return used.mapInPandas(partial, "draw long, ll double, p double, n long").groupBy("draw").agg(
+    def sums(rows: pd.DataFrame, ids: np.ndarray, eta: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"draw": ids, "ll": _loglik(rows["_y"].to_numpy(float), eta).sum(axis=0),
+                             "p": (1 / (1 + np.exp(-eta))).sum(axis=0), "n": len(rows)})
+
+    used = obs.withColumn("_y", F.col(y).cast("double"))
+    parts = _against_draws(used, ["_y"], covariates, draws, group, sums, "draw long, ll double, p double, n long")
+    return parts.groupBy("draw").agg(
         F.sum("ll").alias("loglik"), (F.sum("p") / F.sum("n")).alias("mean_p"), F.sum("n").alias("n")
     )
 
@@ -463,27 +711,31 @@ def dic(totals: DataFrame) -> DataFrame:
     )
 
 
-def pointwise(obs: DataFrame, y: str, covariates: Sequence[str], theta: np.ndarray, group: str | None = None) -> DataFrame:
-    """Per row: the self-weighted log density and the importance-sampling leave-one-out one."""
-    cols = list(covariates)
+def pointwise(
+    obs: DataFrame, y: str, key: str, covariates: Sequence[str], draws: Draws, group: str | None = None,
+) -> DataFrame:
+    """Per row: the self-weighted log density and the importance-sampling leave-one-out one; ``key`` tells rows apart.
+
+    A block of draws gives three log-sum-exps of a row, which add up over the blocks.
+    """
 
     def lse(a: np.ndarray) -> np.ndarray:
         m = a.max(axis=1)
         return m + np.log(np.exp(a - m[:, None]).sum(axis=1))
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            x, ys = b[cols].to_numpy(float), b[y].to_numpy(float)
-            at = b[group].to_numpy(int) if group else None
-            for c in _chunks(x, len(theta)):
-                ll = _loglik(ys[c], _eta(x[c], theta, at[c] if group else None))
-                yield pd.DataFrame({
-                    "elpd": lse(2 * ll) - lse(ll), "elpd_loo": np.log(len(theta)) - lse(-ll),
-                })
+    def rows(few: pd.DataFrame, ids: np.ndarray, eta: np.ndarray) -> pd.DataFrame:
+        ll = _loglik(few["_y"].to_numpy(float), eta)
+        return pd.DataFrame({"key": few["_key"], "twice": lse(2 * ll), "once": lse(ll), "minus": lse(-ll), "n": len(ids)})
 
-    used = obs.select(F.col(y).cast("double").alias(y), *[F.col(c).cast("double").alias(c) for c in cols],
-                      *([group] if group else []))
-    return used.mapInPandas(rows, "elpd double, elpd_loo double")
+    used = obs.withColumn("_y", F.col(y).cast("double")).withColumn("_key", F.col(key).cast("string"))
+    parts = _against_draws(used, ["_y", "_key"], covariates, draws, group, rows,
+                           "key string, twice double, once double, minus double, n long")
+    peaks = ("twice", "once", "minus")
+    per = parts.groupBy("key").agg(
+        *[F.collect_list(c).alias(c) for c in peaks], F.sum("n").alias("n")  # one number per block of draws
+    ).select("n", *[F.expr(
+        f"array_max({c}) + ln(aggregate({c}, 0.0D, (a, x) -> a + exp(x - array_max({c}))))").alias(c) for c in peaks])
+    return per.select((F.col("twice") - F.col("once")).alias("elpd"), (F.log("n") - F.col("minus")).alias("elpd_loo"))
 
 
 def elpd(models: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -499,44 +751,26 @@ def elpd(models: Sequence[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def predictive_check(
-    obs: DataFrame, y: str, key: str, by: str, covariates: Sequence[str], theta: np.ndarray,
+    obs: DataFrame, y: str, key: str, by: str, covariates: Sequence[str], draws: Draws,
     group: str | None = None, seed: int = 42,
 ) -> DataFrame:
     """Replicated against observed rate, over all rows and per level of ``by``.
 
     The uniform number of a (row, draw) pair is a hash of both, so recomputation repeats it.
     """
-    cols = list(covariates)
-    salt = (np.arange(len(theta), dtype=np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
 
-    def mix(k: np.ndarray) -> np.ndarray:
-        z = k
+    def hits(rows: pd.DataFrame, ids: np.ndarray, eta: np.ndarray) -> pd.DataFrame:
         with np.errstate(over="ignore"):
-            z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / float(1 << 53)
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hits: dict = {}
-        for b in batches:
-            x, ks = b[cols].to_numpy(float), b[key].to_numpy(np.int64).view(np.uint64)
-            at = b[group].to_numpy(int) if group else None
-            levels = b[by].to_numpy()
-            for c in _chunks(x, len(theta)):
-                p = 1 / (1 + np.exp(-_eta(x[c], theta, at[c] if group else None)))
-                with np.errstate(over="ignore"):
-                    rep = mix(ks[c][:, None] + salt[None, :]) < p
-                for lv in pd.unique(levels[c]):
-                    m = levels[c] == lv
-                    got = hits.setdefault(lv, [np.zeros(len(theta)), 0])
-                    got[0] += rep[m].sum(axis=0)
-                    got[1] += int(m.sum())
-        for lv, (h, n) in hits.items():
-            yield pd.DataFrame({"level": lv, "draw": np.arange(len(theta)), "hits": h, "n": n})
-
-    used = obs.select(F.xxhash64(key).alias(key), by, *[F.col(c).cast("double").alias(c) for c in cols],
-                      *([group] if group else []))
-    counts = used.mapInPandas(partial, "level string, draw long, hits double, n long")
+            salt = (ids.astype(np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+            drawn = _uniform(rows["_key"].to_numpy(np.int64).view(np.uint64)[:, None] + salt[None, :])
+        rep, levels = drawn < 1 / (1 + np.exp(-eta)), rows["_by"].to_numpy()
+        return pd.concat([pd.DataFrame({
+            "level": lv, "draw": ids, "hits": rep[levels == lv].sum(axis=0), "n": int((levels == lv).sum())})
+            for lv in pd.unique(levels)])
+
+    used = obs.withColumn("_key", F.xxhash64(key)).withColumn("_by", F.col(by).cast("string"))
+    counts = _against_draws(used, ["_key", "_by"], covariates, draws, group, hits,
+                            "level string, draw long, hits double, n long")
     both = F.explode(F.array(F.col("level"), F.lit("ALL"))).alias("level")
     rates = counts.select(both, "draw", "hits", "n").groupBy("level", "draw").agg(
         (F.sum("hits") / F.sum("n")).alias("rate")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomkit.functions import scalars as sc
@@ -20,18 +24,27 @@ TERMS = {
     "race_W": ("race_grp", "White"), "race_O": ("race_grp", "Other"),
     "crime_PT": ("crime_grp", "Property/Theft"), "crime_V": ("crime_grp", "Violence"),
     "crime_T": ("crime_grp", "Trespass"), "crime_O": ("crime_grp", "Other"),
+    "boro_Bk": ("borough", "Brooklyn"), "boro_Ma": ("borough", "Manhattan"),
+    "boro_Qu": ("borough", "Queens"), "boro_SI": ("borough", "Staten Island"),
     "seas_Win": ("season", "Winter"), "seas_Spr": ("season", "Spring"), "seas_Sum": ("season", "Summer"),
 }
-COVARIATES = ["age_z", "male_bin", "frisked_bin", "weapon_found_bin", "self_init", *TERMS]
+# Flags of a stop and the names of their columns.
+FLAGS = {
+    "frisked_flag": "frisked_bin", "searched_flag": "searched_bin", "weapon_flag": "weapon_found_bin",
+    "firearm_flag": "firearm_bin", "violent_flag": "violent_bg_bin", "known_flag": "known_weapon_bin",
+}
+COVARIATES = ["age_z", "male_bin", *FLAGS.values(), "self_init", *TERMS]
 PRIORS = [("Narrow: N(0,1)", 1.0), ("Chosen: N(0,2.5^2)", 0.16), ("Wide: N(0,5^2)", 0.04)]
+TAU = 0.16
 
 
 def clean_stops(spark, sf_dir):
     """Text records to model columns, rows that miss a needed field dropped."""
     raw = clean_sentinels(stops(spark, sf_dir))
     coded = raw.select(
-        "stop_id", sc.yes_flag("arrested_flag").alias("y"), sc.yes_flag("frisked_flag").alias("frisked_bin"),
-        sc.yes_flag("weapon_flag").alias("weapon_found_bin"), sc.yes_flag("sex_text", "MALE").alias("male_bin"),
+        "stop_id", sc.yes_flag("arrested_flag").alias("y"),
+        *[sc.yes_flag(flag).alias(name) for flag, name in FLAGS.items()],
+        sc.yes_flag("sex_text", "MALE").alias("male_bin"),
         sc.contains_flag("initiated_text", "Self").alias("self_init"),
         sc.to_number("age_text").alias("age_num"),
         F.when(F.col("race_text").isNotNull(), sc.recode("race_text", sc.RACE_GROUPS)).alias("race_grp"),
@@ -56,7 +69,7 @@ def _patterns(spark, sf_dir):
     return b.covariate_patterns(model_rows(spark, sf_dir), "y", COVARIATES, "precinct_idx")
 
 
-@query("l00_clean_stops", f"""WITH {STOPS}, n AS (
+CLEAN = f"""{STOPS}, n AS (
 SELECT stop_id, CASE WHEN arrested_flag = 'Y' THEN 1 ELSE 0 END AS y,
   CASE WHEN contains(coalesce(initiated_text, ''), 'Self') THEN 1 ELSE 0 END AS self_init,
   TRY_CAST(age_text AS DOUBLE) AS age_num,
@@ -64,7 +77,10 @@ SELECT stop_id, CASE WHEN arrested_flag = 'Y' THEN 1 ELSE 0 END AS y,
        WHEN crime_text IN ('ROBBERY', 'PETIT LARCENY') THEN 'Property/Theft' WHEN crime_text = 'ASSAULT' THEN 'Violence'
        WHEN crime_text = 'CRIMINAL TRESPASS' THEN 'Trespass' ELSE 'Other' END AS crime_grp,
   nullif(month_text, '(null)') AS m, TRY_CAST(nullif(precinct_text, '') AS INTEGER) AS precinct FROM stops),
-k AS (SELECT * FROM n WHERE age_num BETWEEN 10 AND 80 AND crime_grp IS NOT NULL AND m IS NOT NULL AND precinct IS NOT NULL)
+k AS (SELECT * FROM n WHERE age_num BETWEEN 10 AND 80 AND crime_grp IS NOT NULL AND m IS NOT NULL AND precinct IS NOT NULL)"""
+
+
+@query("l00_clean_stops", f"""WITH {CLEAN}
 SELECT stop_id, y, self_init, crime_grp, CASE WHEN m IN ('December', 'January', 'February') THEN 'Winter'
   WHEN m IN ('March', 'April', 'May') THEN 'Spring' WHEN m IN ('June', 'July', 'August') THEN 'Summer' ELSE 'Autumn' END AS season,
   dense_rank() OVER (ORDER BY precinct) AS precinct_idx,
@@ -92,15 +108,56 @@ def l03(spark, sf_dir):
     return b.coefficient_summary(spark, fit)
 
 
+def _stationary(rows, fit):
+    """Whether the gradient of the posterior, summed over the single rows, is zero at the fit, for coefficients and groups."""
+    x = [F.lit(1.0), *[F.col(c).cast("double") for c in COVARIATES]]
+    eta = F.lit(0.0)
+    for value, c in zip(fit.theta, x):
+        eta += F.lit(float(value)) * c
+    at = [x[0]] if fit.kinds else []
+    if fit.kinds:
+        rows = rows.withColumn("_group", F.col("precinct_idx").cast("long")).join(fit.effects.select("_group", "e"), "_group")
+        if fit.kinds == 2:
+            at.append(x[1 + COVARIATES.index(fit.slope)])
+        for i, c in enumerate(at):
+            eta += F.col("e")[i] * c
+    gap = F.col("y") - sc.expit(eta)
+    slopes = rows.agg(*[F.sum(gap * c).alias(f"g{i}") for i, c in enumerate(x)]).select(F.greatest(
+        *[F.abs(F.col(f"g{i}") - TAU * float(t)) for i, t in enumerate(fit.theta)], F.lit(0.0)).alias("worst"))
+    if fit.kinds:
+        precision = np.linalg.inv(fit.sigma)
+        pulls = [sum(F.col("e")[j] * float(precision[i, j]) for j in range(fit.kinds)) for i in range(fit.kinds)]
+        per = rows.groupBy("_group", "e").agg(*[F.sum(gap * c).alias(f"g{i}") for i, c in enumerate(at)])
+        slopes = slopes.union(per.select(F.greatest(
+            *[F.abs(F.col(f"g{i}") - pull) for i, pull in enumerate(pulls)], F.lit(0.0))))
+    return slopes.agg((F.max("worst") < 1e-3).alias("stationary"))
+
+
+@query("l03_fit_invariants", f"""WITH {CLEAN}
+SELECT m.model, (SELECT count(*) FROM k) AS rows, (SELECT count(DISTINCT precinct) FROM k) * m.kinds + {1 + len(COVARIATES)} AS parameters,
+       TRUE AS stationary FROM (VALUES ('M1', 0), ('M2', 1), ('M3', 2)) m(model, kinds)""")
+def l03_invariants(spark, sf_dir):
+    """The three models: rows, parameters, and that each fit is a mode, checked over the single rows."""
+    rows = hold(model_rows(spark, sf_dir))
+    patterns = b.covariate_patterns(rows, "y", COVARIATES, "precinct_idx")
+    out = []
+    for kinds, name in enumerate(("M1", "M2", "M3")):
+        fit = b.fit_map(patterns, COVARIATES, TAU, kinds, "weapon_found_bin" if kinds == 2 else None)
+        spread = {0: 0, 1: 1, 2: 3}[kinds]
+        told = b.coefficient_summary(spark, fit).agg((F.count("*") - spread).alias("parameters"))
+        out.append(_stationary(rows, fit).select(
+            F.lit(name).alias("model"), rows.agg(F.count("*")).scalar().alias("rows"),
+            told.scalar().alias("parameters"), "stationary"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def _draws(spark, sf_dir, kinds=1):
-    fit = b.fit_map(_patterns(spark, sf_dir), COVARIATES, kinds=kinds)
-    return fit, hold(b.laplace_draws(spark, fit))
+    return b.laplace_draws(spark, b.fit_map(_patterns(spark, sf_dir), COVARIATES, kinds=kinds))
 
 
 @query("l04_laplace_draws")
 def l04(spark, sf_dir):
-    fit, draws = _draws(spark, sf_dir)
-    return b.long_draws(draws, fit.names)
+    return b.long_draws(_draws(spark, sf_dir))
 
 
 # Draws made from the lines: one parameter per discount level, three chains.
@@ -133,8 +190,7 @@ def l05(spark, sf_dir):
 
 @query("l05_posterior_summary_fit")
 def l05_fit(spark, sf_dir):
-    fit, draws = _draws(spark, sf_dir)
-    return b.posterior_summary(b.long_draws(draws, fit.names))
+    return b.posterior_summary(b.long_draws(_draws(spark, sf_dir)))
 
 
 @query("l06_rhat", f"""WITH {DRAWS}, c AS (
@@ -147,8 +203,7 @@ def l06(spark, sf_dir):
 
 @query("l07_effective_size")
 def l07(spark, sf_dir):
-    fit, draws = _draws(spark, sf_dir)
-    return b.effective_size(b.long_draws(draws, fit.names))
+    return b.effective_size(b.long_draws(_draws(spark, sf_dir)))
 
 
 @query("l08_odds_ratios", f"""WITH {_SUMMARY}
@@ -177,23 +232,21 @@ def _given(spark, sf_dir):
         "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"),
         (F.col("o_totalprice") / 250000.0 - 1).alias("x"), (F.col("c_nationkey") % 5).alias("grp"),
     )
-    effects = [F.lit((g - 2) * 0.2).alias(f"u{g}") for g in range(5)]
-    draws = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("draw"), ((F.col("n_regionkey") - 2) * 0.1).alias("a"),
-        ((F.col("n_nationkey") - 12) / 50.0).alias("b"), *effects,
-    )
-    theta = b.draw_matrix(draws, ["draw", "a", "b", *[f"u{g}" for g in range(5)]])[:, 1:]
-    return obs.withColumn("at", F.col("grp") + 2), theta
+    nations = table(spark, sf_dir, "nation").withColumn("draw", F.col("n_nationkey").cast("long"))
+    draws = nations.select("draw", F.array(
+        (F.col("n_regionkey") - 2) * 0.1, (F.col("n_nationkey") - 12) / 50.0).alias("theta"))
+    groups = obs.select(F.col("grp").cast("long").alias("group")).distinct()
+    effects = nations.select("draw", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("group")).join(
+        groups, "group").select("draw", "group", F.array((F.col("group") - 2) * 0.2).alias("e"))
+    return obs, b.packed_draws(draws, ["a", "b"]), b.packed_draws(draws, ["a", "b"], effects, 1)
 
 
 @query("c07_attach_group_effect", f"""WITH {GIVEN}
 SELECT o_orderkey, {rsql("0.3 + 0.2 * x + (grp - 2) * 0.2", 6)} AS eta FROM obs""")
 def c07(spark, sf_dir):
-    obs, theta = _given(spark, sf_dir)
-    effects = spark.createDataFrame(
-        [(g, float(theta[0, 2 + g])) for g in range(5)], "grp int, u double"
-    )
-    return obs.join(F.broadcast(effects), "grp").select(
+    obs, _, draws = _given(spark, sf_dir)
+    effects = draws.effects.filter("block = 0").select(F.col("group").alias("grp"), F.col("e")[0].alias("u"))
+    return obs.join(effects, "grp").select(
         "o_orderkey", rd(0.3 + 0.2 * F.col("x") + F.col("u"), 6).alias("eta")
     )
 
@@ -201,17 +254,18 @@ def c07(spark, sf_dir):
 @query("c08_draws_against_rows", f"""WITH {GIVEN}
 SELECT draw, {rsql("avg(p)", 7)} AS mean_p, count(*) AS n FROM ll1 GROUP BY 1""")
 def c08(spark, sf_dir):
-    obs, theta = _given(spark, sf_dir)
-    return b.draw_totals(obs, "y", ["x"], theta[:, :2]).select("draw", rd("mean_p", 7).alias("mean_p"), "n")
+    obs, plain, _ = _given(spark, sf_dir)
+    return b.draw_totals(obs, "y", ["x"], plain).select(
+        F.col("draw").cast("int").alias("draw"), rd("mean_p", 7).alias("mean_p"), "n")
 
 
 @query("l09_dic", f"""WITH {GIVEN}, d AS (SELECT 'M1' AS model, draw, -2 * sum(ll) AS d FROM ll1 GROUP BY 2
 UNION ALL SELECT 'M2', draw, -2 * sum(ll) FROM ll2 GROUP BY 2)
 SELECT model, {rsql("avg(d)", 3)} AS d_bar, {rsql("var_pop(d) / 2 / 1000", 4)} AS p_d_k FROM d GROUP BY 1""")
 def l09(spark, sf_dir):
-    obs, theta = _given(spark, sf_dir)
-    one = b.dic(b.draw_totals(obs, "y", ["x"], theta[:, :2]))
-    two = b.dic(b.draw_totals(obs, "y", ["x"], theta, "at"))
+    obs, plain, grouped = _given(spark, sf_dir)
+    one = b.dic(b.draw_totals(obs, "y", ["x"], plain))
+    two = b.dic(b.draw_totals(obs, "y", ["x"], grouped, "grp"))
     both = one.select(F.lit("M1").alias("model"), "*").union(two.select(F.lit("M2"), "*"))
     return both.select("model", rd("d_bar", 3).alias("d_bar"), rd(F.col("p_d") / 1000, 4).alias("p_d_k"))
 
@@ -223,9 +277,10 @@ s AS (SELECT model, sum(e) AS elpd, sqrt(count(*) * variance(e)) AS se, sum(l) A
 SELECT model, {rsql("elpd", 3)} AS elpd, {rsql("se", 4)} AS se, {rsql("loo", 3)} AS elpd_loo,
        {rsql("elpd - max(elpd) OVER ()", 3)} AS delta FROM s""")
 def l10(spark, sf_dir):
-    obs, theta = _given(spark, sf_dir)
+    obs, plain, grouped = _given(spark, sf_dir)
     out = b.elpd([
-        ("M1", b.pointwise(obs, "y", ["x"], theta[:, :2])), ("M2", b.pointwise(obs, "y", ["x"], theta, "at")),
+        ("M1", b.pointwise(obs, "y", "o_orderkey", ["x"], plain)),
+        ("M2", b.pointwise(obs, "y", "o_orderkey", ["x"], grouped, "grp")),
     ])
     return out.select(
         "model", rd("elpd", 3).alias("elpd"), rd("se", 4).alias("se"), rd("elpd_loo", 3).alias("elpd_loo"),
@@ -237,11 +292,8 @@ def l10(spark, sf_dir):
 def l11(spark, sf_dir):
     rows = hold(model_rows(spark, sf_dir))
     patterns = b.covariate_patterns(rows, "y", COVARIATES, "precinct_idx")
-    fit = b.fit_map(patterns, COVARIATES, kinds=1)
-    theta = b.theta_matrix(hold(b.laplace_draws(spark, fit)), 500)
-    # groups are the 1-based precinct index, their effects follow the coefficients
-    placed = rows.withColumn("at", F.col("precinct_idx").cast("int") + len(COVARIATES))
-    return b.predictive_check(placed, "y", "stop_id", "borough", COVARIATES, theta, "at")
+    draws = b.laplace_draws(spark, b.fit_map(patterns, COVARIATES, kinds=1), limit=500)
+    return b.predictive_check(rows, "y", "stop_id", "borough", COVARIATES, draws, "precinct_idx")
 
 
 @query("l12_prior_predictive")

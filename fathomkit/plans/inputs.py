@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomkit.functions.scalars import MONTHS
+from fathomkit.functions.scalars import MONTHS, recode
 from fathomkit.sources.files import read_parquet
 
 
@@ -252,6 +252,12 @@ def retail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- stop records, all text, with sentinels ----------------------------------------------
 _MONTH_SQL = "[" + ", ".join(f"'{m}'" for m in MONTHS) + "]"
+# Further flags of a stop follow from its key: name -> (modulus, remainder).
+STOP_FLAGS = {"searched_flag": (4, 1), "firearm_flag": (11, 5), "violent_flag": (5, 2), "known_flag": (17, 3)}
+# The borough that stands for a region.
+BOROUGHS = {"AFRICA": "BRONX", "AMERICA": "BROOKLYN", "ASIA": "MANHATTAN", "EUROPE": "QUEENS",
+            "MIDDLE EAST": "STATEN ISLAND"}
+_BORO_SQL = "CASE r_name " + " ".join(f"WHEN '{r}' THEN '{b}'" for r, b in BOROUGHS.items()) + " END"
 STOPS = f"""
 stops AS (
   SELECT o_orderkey AS stop_id,
@@ -265,7 +271,8 @@ stops AS (
          CASE WHEN o_orderkey % 2 = 0 THEN 'MALE' ELSE 'FEMALE' END AS sex_text,
          CASE WHEN o_orderkey % 29 = 0 THEN 'unknown' WHEN o_orderkey % 31 = 0 THEN '(null)'
               ELSE CAST(5 + (o_orderkey * 13) % 90 AS VARCHAR) END AS age_text,
-         r_name AS boro_text,
+         {_BORO_SQL} AS boro_text, {", ".join(
+             f"CASE WHEN o_orderkey % {m} = {r} THEN 'Y' ELSE 'N' END AS {c}" for c, (m, r) in STOP_FLAGS.items())},
          CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE CAST(c_nationkey + 1 AS VARCHAR) END AS precinct_text,
          CASE WHEN o_orderpriority = '1-URGENT' THEN 'Based on Self Initiated'
               WHEN o_orderpriority = '5-LOW' THEN NULL ELSE 'Based on Radio Run' END AS initiated_text
@@ -300,7 +307,8 @@ def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(key % 2 == 0, "MALE").otherwise("FEMALE").alias("sex_text"),
             F.when(key % 29 == 0, "unknown").when(key % 31 == 0, "(null)")
             .otherwise((key * 13 % 90 + 5).cast("string")).alias("age_text"),
-            F.col("r_name").alias("boro_text"),
+            recode("r_name", BOROUGHS, default=None).alias("boro_text"),
+            *[F.when(key % m == r, "Y").otherwise("N").alias(c) for c, (m, r) in STOP_FLAGS.items()],
             F.when(key % 97 == 0, "").otherwise((F.col("c_nationkey") + 1).cast("string"))
             .alias("precinct_text"),
             F.when(F.col("o_orderpriority") == "1-URGENT", "Based on Self Initiated")
