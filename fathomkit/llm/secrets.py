@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomkit.llm.jobs import query, table
+from fathomkit.llm.jobs import every, free_name, query, table
 from fathomkit.llm.spans import clear_of, digest, found, let, n_of, normal_tail, of_kind, redacted, whole_text
 from fathomkit.session import hold
 
@@ -248,15 +248,19 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with every secret replaced by its kind in brackets; a null text stays null."""
+    """``docs`` with every secret replaced by its kind in brackets; a null text stays null.
+
+    The spans are written beside the documents once, so texts are searched a single time.
+    """
+    base, tokens = (free_name(docs, name) for name in ("base", "tokens"))
     text = whole_text(F.col("text"))
-    limits = least_p(docs.select(scanned(text)[1].alias("tokens")), docs)
-    base, tokens = scanned(text)
-    clean = let(F.struct(base.alias("base"), tokens.alias("tokens")),
-                lambda s: redacted(text, all_spans(s["base"], s["tokens"], limits)))
+    found_base, found_tokens = scanned(text)
+    held = hold(docs.select(*every(docs), found_base.alias(base), found_tokens.alias(tokens)))
+    limits = least_p(held.select(F.col(tokens).alias("tokens")), held)
+    clean = let(all_spans(F.col(base), F.col(tokens), limits), lambda spans: redacted(text, spans))
     kept = [F.when(F.col("text").isNull(), None).otherwise(clean).alias(c) if c == "text" else F.col(f"`{c}`")
             for c in docs.columns]
-    return docs.select(*kept)
+    return held.select(*kept)
 
 
 @query("op1_secret_scans")
