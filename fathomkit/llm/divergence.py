@@ -1,10 +1,11 @@
 """Source divergence audit with late strings.
 
-Terms are counted in the tasks first, one row per (lang, source, term) and task; these rows are held once, and what is
-shuffled for the counts is the 64-bit digest of a term, never the term. Only digests in enough documents of a language
-are kept. For these the smallest and the largest term of each digest are taken from the held rows: where they differ,
-terms collide, and the digest is split by numbering its terms and counting them anew under (digest, number). Other texts
-are joined back for the candidates of the top terms alone.
+Each task counts the terms of its documents per (lang, source) and gives, held once, one row per (lang, source, term) with
+the 64-bit digest of the term in its place, and one row with the digest and the text of each term it has met. What is
+shuffled for the counts are the digests, never the texts. Only digests in enough documents of a language are kept. For
+these the smallest and the largest text of each digest are taken from the second kind of rows: where they differ, terms
+collide, and the digest is split by numbering its terms and counting them anew under (digest, number), from tasks that
+give texts along with their counts. Other texts are joined back for the candidates of the top terms alone.
 
 The distance of two sources of a language is the sum of |p - q| over all kept terms. It is summed in numpy over blocks of
 terms by sources that Spark deals out by digest; a block holds ``BLOCK_ENTRIES`` counts on average and goes through
@@ -20,11 +21,12 @@ empty table gives no rows.
 from __future__ import annotations
 
 import string
-from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +37,8 @@ LEAST_DOCS = 30
 TOP_TERMS = 50
 SCALE = 1_000_000_000
 PRIOR = 5
-DIGEST = "xxhash64(term)"
-HELD_TERMS = 200_000
+HELD_ROWS = 2_000_000
+HELD_TERMS = 500_000
 BLOCK_ENTRIES = 200_000
 SLAB_TERMS = 2_048
 
@@ -44,39 +46,77 @@ SLAB_TERMS = 2_048
 _BYTES = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def task_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n, n_docs, added up inside each task; an empty term stands for the group itself.
+def default_digest(term: bytes) -> int:
+    return xxhash.xxh64_intdigest(term)
 
-    A task lets go of its counts at ``HELD_TERMS`` of them.
-    """
 
-    def batch_of(groups):
-        rows = [(lang, source, term, c, docs_with[term])
-                for (lang, source), (n, docs_with) in groups.items() for term, c in n.items()]
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "n_docs"])
+class _Numbers(dict):
+    """Terms by the order in which they were asked for."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = n = len(self)
+        return n
+
+
+def _added_up(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows (key, n, n_docs), one per key."""
+    rows = np.concatenate(parts, 1)
+    rows = rows[:, np.argsort(rows[0], kind="stable")]
+    starts = np.flatnonzero(np.r_[True, np.diff(rows[0]) != 0])
+    return np.stack([rows[0][starts], *(np.add.reduceat(c, starts) for c in rows[1:])])
+
+
+def task_counts(
+    docs: DataFrame, digest: Callable[[bytes], int] = default_digest, with_terms: bool = False,
+) -> DataFrame:
+    """lang, source, digest, n, n_docs, term, added up inside each task.
+
+    Three kinds of rows: counts, whose term is null unless ``with_terms``; terms without a source; and, without a digest,
+    the groups themselves. A task lets go of what it holds at ``HELD_ROWS`` counts or ``HELD_TERMS`` terms.
+    """
+    names = ["lang", "source", "digest", "n", "n_docs", "term"]
+
+    def batches_of(ids, groups, parts):
+        langs, sources = (pa.array([g[i] for g in groups], pa.string()) for i in (0, 1))
+        terms, none = pa.array(list(ids), pa.binary()), pa.nulls(len(groups), pa.binary())
+        digests = np.fromiter(map(digest, ids), np.uint64, len(ids)).view(np.int64)
+        zeros = [pa.array(np.zeros(len(groups), np.int64))] * 2
+        yield [langs, sources, pa.nulls(len(groups), pa.int64()), *zeros, none]
+        if parts:
+            key, n, n_docs = _added_up(parts)
+            of, term = pa.array(key >> 40), key & ((1 << 40) - 1)
+            yield [langs.take(of), sources.take(of), pa.array(digests[term]), pa.array(n), pa.array(n_docs),
+                   terms.take(pa.array(term)) if with_terms else pa.nulls(len(key), pa.binary())]
+        if not with_terms:
+            zeros = [pa.array(np.zeros(len(ids), np.int64))] * 2
+            yield [pa.nulls(len(ids), pa.string()), pa.nulls(len(ids), pa.string()), pa.array(digests), *zeros, terms]
 
     def count(batches):
-        groups, size = {}, 0
+        ids, groups, parts, held = _Numbers(), {}, [], 0
         for batch in batches:
-            for key, raw in zip(zip(*(batch.column(i).to_pylist() for i in (0, 1))), batch.column(2).to_pylist()):
-                if key not in groups:
-                    groups[key] = Counter({b"": 0}), Counter()
-                n, docs_with = groups[key]
-                terms, before = raw.translate(_BYTES).split(), len(n)
-                n.update(terms)
-                docs_with.update(set(terms))
-                size += len(n) - before
-                if size >= HELD_TERMS:
-                    yield batch_of(groups)
-                    groups, size = {}, 0
-        yield batch_of(groups)
+            for *key, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                of = groups.setdefault(tuple(key), len(groups))
+                terms = raw.translate(_BYTES).split()
+                if not terms:
+                    continue
+                seen, n = np.unique(
+                    np.fromiter(map(ids.__getitem__, terms), np.int64, len(terms)), return_counts=True)
+                parts.append(np.stack([of << 40 | seen, n, np.ones_like(n)]))
+                held += len(seen)
+                if held >= HELD_ROWS:
+                    parts = [_added_up(parts)]
+                    held = parts[0].shape[1]
+                if 2 * held >= HELD_ROWS or len(ids) >= HELD_TERMS:
+                    for columns in batches_of(ids, groups, parts):
+                        yield pa.RecordBatch.from_arrays(columns, names=names)
+                    ids, groups, parts, held = _Numbers(), {}, [], 0
+        for columns in batches_of(ids, groups, parts):
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     plain = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text")]
-    counted = docs.select(*plain[:2], plain[2].cast("binary")).toDF("lang", "source", "text").mapInArrow(
-        count, "lang string, source string, term binary, n long, n_docs long")
-    return counted.withColumn("term", F.col("term").cast("string"))
+    return docs.select(*plain[:2], plain[2].cast("binary")).toDF("lang", "source", "text").mapInArrow(
+        count, "lang string, source string, digest long, n long, n_docs long, term binary",
+    ).withColumn("term", F.col("term").cast("string"))
 
 
 def _kept(rows: DataFrame, least_docs: int) -> DataFrame:
@@ -91,19 +131,23 @@ def _kept(rows: DataFrame, least_docs: int) -> DataFrame:
     ).where(F.col("lang_docs") >= least_docs).drop("lang_docs")
 
 
-def kept_terms(rows: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, DataFrame]:
-    """The counts of kept terms, and the term of each (digest, part), from held ``rows`` of task counts with digests."""
-    rows = rows.where("term <> ''")
-    counts = hold(_kept(rows.withColumn("part", F.lit(0)), least_docs))
-    found = rows.select("digest", "term").join(counts.select("digest").distinct(), "digest", "left_semi")
-    names = hold(found.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")))
+def kept_terms(
+    docs: DataFrame, rows: DataFrame, least_docs: int = LEAST_DOCS, digest: Callable[[bytes], int] = default_digest,
+) -> tuple[DataFrame, DataFrame]:
+    """The counts of kept terms, and the term of each (digest, part); ``rows``: held task counts of ``docs``."""
+    counted = rows.where("lang IS NOT NULL AND digest IS NOT NULL")
+    counts = hold(_kept(counted.withColumn("part", F.lit(0)), least_docs))
+    told = rows.where("term IS NOT NULL").select("digest", "term")
+    names = hold(told.join(counts.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(
+        F.min("term").alias("low"), F.max("term").alias("high")))
     mixed = names.where("low <> high").select("digest")
     single = names.where("low = high").select("digest", F.lit(0).alias("part"), F.col("low").alias("term"))
     if mixed.isEmpty():
         return counts, single
-    parts = hold(rows.select("digest", "term").join(mixed, "digest", "left_semi").distinct().select(
+    again = hold(task_counts(docs, digest, with_terms=True).join(mixed, "digest", "left_semi"))
+    parts = hold(again.select("digest", "term").distinct().select(
         "digest", F.row_number().over(Window.partitionBy("digest").orderBy("term")).alias("part"), "term"))
-    split = _kept(rows.join(parts, ["digest", "term"]), least_docs)
+    split = _kept(again.join(parts, ["digest", "term"]), least_docs)
     return hold(counts.join(mixed, "digest", "left_anti").unionByName(split)), single.unionByName(parts)
 
 
@@ -113,7 +157,7 @@ def group_table(rows: DataFrame, counts: DataFrame) -> DataFrame:
         F.sum("n").alias("total"), F.sum("one").alias("ones"), F.count("*").alias("entries"))
     of = Window.partitionBy("lang")
     zero = {c: 0 for c in ("total", "ones", "entries")}
-    groups = rows.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").fillna(zero)
+    groups = rows.where("digest IS NULL").select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").fillna(zero)
     return hold(groups.select(
         "lang", "source", F.row_number().over(of.orderBy("source")).alias("place"), "total",
         F.sum("total").over(of).alias("lang_total"), F.sum("ones").over(of).alias("terms"),
@@ -177,14 +221,15 @@ def top_terms(counts: DataFrame, groups: DataFrame, names: DataFrame, top: int =
 
 
 def divergence(
-    docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TERMS, digest: str = DIGEST,
+    docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TERMS,
+    digest: Callable[[bytes], int] = default_digest,
 ) -> DataFrame:
     """lang, source, part, item, value, rank: distances to the other sources of the language, and top terms.
 
-    ``digest``: SQL for the digest of a term, a long; terms that share one are told apart.
+    ``digest`` gives 64 bits for a term; terms that share them are told apart.
     """
-    rows = hold(task_counts(docs).withColumn("digest", F.expr(digest)))
-    counts, names = kept_terms(rows, least_docs)
+    rows = hold(task_counts(docs, digest))
+    counts, names = kept_terms(docs, rows, least_docs, digest)
     groups = group_table(rows, counts)
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pair_distances(counts, groups).withColumn("rank", F.row_number().over(order))

@@ -37,7 +37,7 @@ def reference(rows, least_docs, top):
     return sorted(out)
 
 
-def check(df, rows, least_docs, top, digest=d.DIGEST):
+def check(df, rows, least_docs, top, digest=d.default_digest):
     got = sorted(tuple(r) for r in d.divergence(df, least_docs, top, digest).collect())
     assert got == reference(rows, least_docs, top)
     return got
@@ -64,16 +64,18 @@ def test_from_the_definition(spark, mixed):
 
 def test_digests_that_collide_are_split(spark, mixed):
     df = spark.createDataFrame(mixed, "lang string, source string, text string").repartition(3)
-    for digest in ("xxhash64(term) & 7", "CAST(0 AS LONG)", "length(term)"):
+    for digest in (lambda t: d.default_digest(t) & 7, lambda t: 0, len, lambda t: d.default_digest(t) >> 58 << 58):
         check(df, mixed, 12, 4, digest)
 
 
 def test_small_blocks_and_early_flushes(spark, mixed, monkeypatch):
     monkeypatch.setattr(d, "BLOCK_ENTRIES", 10)
     monkeypatch.setattr(d, "SLAB_TERMS", 2)
-    monkeypatch.setattr(d, "HELD_TERMS", 7)
     df = spark.createDataFrame(mixed, "lang string, source string, text string")
-    check(df, mixed, 5, 50)
+    for rows, terms in ((7, 1000), (1000, 5), (60, 1000)):
+        monkeypatch.setattr(d, "HELD_ROWS", rows)
+        monkeypatch.setattr(d, "HELD_TERMS", terms)
+        check(df, mixed, 5, 50)
 
 
 def test_odd_rows(odd, empty):
@@ -94,6 +96,7 @@ def test_texts_are_not_shuffled_for_counts(spark, mixed):
     from fathomkit.session import hold
     from pyspark.sql import functions as F
 
-    rows = hold(d.task_counts(df).withColumn("digest", F.expr(d.DIGEST)))
+    rows = hold(d.task_counts(df))
     plan = d._kept(rows.withColumn("part", F.lit(0)), 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "term" not in plan
+    assert rows.where("lang IS NOT NULL AND term IS NOT NULL").isEmpty()
