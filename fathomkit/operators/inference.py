@@ -7,17 +7,16 @@ and solves p x p systems.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fathomkit.functions import tails
-from fathomkit.functions.scalars import normal_quantile, ratio, threshold_label
+from fathomkit.functions.scalars import log_normal_cdf, normal_quantile, ratio, threshold_label
 from fathomkit.operators.grouping import contingency
 from fathomkit.operators.ordered import global_rank, quantiles, running_totals
 from fathomkit.session import hold
@@ -250,15 +249,6 @@ def breusch_pagan(df: DataFrame, fit: Fit) -> DataFrame:
     )
 
 
-def _log_phi(z: np.ndarray) -> np.ndarray:
-    """log of the normal CDF, by its tail expansion where erfc underflows."""
-    erfc = np.frompyfunc(math.erfc, 1, 1)(-z / math.sqrt(2)).astype(float)
-    with np.errstate(divide="ignore"):
-        body = np.log(0.5 * erfc)
-    far = -0.5 * z * z - np.log(np.maximum(-z, 1.0)) - 0.5 * math.log(2 * math.pi)
-    return np.where(z < -37, far, body)
-
-
 def anderson_darling(df: DataFrame, column: str) -> DataFrame:
     """Normality test with estimated mean and sd (Stephens 1986 correction and p-values).
 
@@ -271,18 +261,11 @@ def anderson_darling(df: DataFrame, column: str) -> DataFrame:
     per = df.filter(F.col(column).isNotNull()).select(z).groupBy("z").agg(F.count("*").alias("n"))
     ranked = running_totals(per, ["z"], ["n"])
 
-    def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            hi = b["cum_n"].to_numpy(float)
-            lo = hi - b["n"].to_numpy(float)
-            odd = hi * hi - lo * lo
-            up = 2 * b["tot_n"].to_numpy(float) * (hi - lo) - odd
-            zs = b["z"].to_numpy(float)
-            yield pd.DataFrame({"n": b["n"], "t": (odd * _log_phi(zs) + up * _log_phi(-zs)) / b["tot_n"]})
-
-    got = ranked.select("z", "n", "cum_n", "tot_n").mapInPandas(terms, "n long, t double").agg(
-        F.sum("n").alias("n"), F.sum("t").alias("t")
-    ).first()
+    hi = F.col("cum_n").cast("double")
+    odd = hi * hi - (hi - F.col("n")) * (hi - F.col("n"))
+    up = 2.0 * F.col("tot_n") * F.col("n") - odd
+    term = (odd * log_normal_cdf(F.col("z")) + up * log_normal_cdf(-F.col("z"))) / F.col("tot_n")
+    got = ranked.agg(F.sum("n").alias("n"), F.sum(term).alias("t")).first()
     n, a = got["n"], -got["n"] - got["t"]
     aa = (1 + 0.75 / n + 2.25 / n**2) * a
     # fixed values: Stephens' piecewise approximation

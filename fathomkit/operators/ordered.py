@@ -229,3 +229,37 @@ def fill_along(
     joined = ranged.join(ends, chunk)
     kept = [F.col(c) for c in df.columns if c not in columns]
     return joined.select(*kept, *[filled[c].alias(c) for c in columns])
+
+
+def fill_across(df: DataFrame, store: str, day: str, tie: str, columns: Sequence[str]) -> DataFrame:
+    """``fill_along``, and then one pass over everything in (store, day, tie) order for stores without any known value.
+
+    Such a store takes the last value of the nearest store before it that has one, or else the first value of the nearest
+    after it. Only the first and last value of each store travel; stores are dealt into ranges, a window runs inside each,
+    and between ranges again only the ends travel.
+    """
+    def edge(pick, c: str, name: str) -> Column:
+        known = F.when(F.col(c).isNotNull(), F.struct(F.col(day).alias("d"), F.col(tie).alias("t"), F.col(c).alias("v")))
+        return pick(known)["v"].alias(name)
+
+    ends = df.groupBy(store).agg(*[edge(F.min, c, f"_first_{c}") for c in columns],
+                                 *[edge(F.max, c, f"_last_{c}") for c in columns])
+    ranged = range_index(ends, store, "_range")
+
+    def around(window, place: str) -> list[Column]:
+        """The nearest known last value before and first value after."""
+        before, after = window.rowsBetween(Window.unboundedPreceding, -1), window.rowsBetween(1, Window.unboundedFollowing)
+        return [x for c in columns for x in (
+            F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_{place}_prev_{c}"),
+            F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_{place}_next_{c}"))]
+
+    # a row per range: their number follows the stores divided by RANGE_ROWS
+    wide = ranged.groupBy("_range").agg(
+        *[F.min_by(f"_first_{c}", F.when(F.col(f"_first_{c}").isNotNull(), F.col(store))).alias(f"_first_{c}") for c in columns],
+        *[F.max_by(f"_last_{c}", F.when(F.col(f"_last_{c}").isNotNull(), F.col(store))).alias(f"_last_{c}") for c in columns],
+    ).select("_range", *around(Window.orderBy("_range"), "far"))
+    near = ranged.select(store, "_range", *around(Window.partitionBy("_range").orderBy(store), "near")).join(wide, "_range")
+    spare = near.select(store, *[F.coalesce(*[f"_{place}_{side}_{c}" for side in ("prev", "next") for place in ("near", "far")])
+                                 .alias(f"_spare_{c}") for c in columns])
+    filled = fill_along(df, store, day, tie, columns).join(spare, store)
+    return filled.select(*[F.coalesce(c, f"_spare_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fathomkit.functions.scalars import rd
 from fathomkit.operators.clean import attach_stats
 from fathomkit.operators.describe import ranked_intervals
-from fathomkit.operators.ordered import dense_index, fill_along, running_totals
+from fathomkit.operators.ordered import dense_index, fill_across, fill_along, running_totals
 from fathomkit.plans.inputs import RETAIL, SALES, STOPS, retail, stops, table
 from fathomkit.plans.joining import weekly
 from fathomkit.plans.registry import query, rsql
@@ -25,6 +25,24 @@ def e01(spark, sf_dir):
     return fill_along(rows, "Store", "Date", "Row", ["cpi"]).select("Row", "Store", "cpi")
 
 
+@query("e01_fill_across_stores", f"""WITH {SALES}, w AS (
+SELECT "Row", "Store", "Date", CASE WHEN "Store" % 3 <> 1 THEN "CPI" END AS known FROM weekly),
+s AS (SELECT "Row", "Store", coalesce(
+  last_value(known IGNORE NULLS) OVER (PARTITION BY "Store" ORDER BY "Date", "Row"
+     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(known IGNORE NULLS) OVER (PARTITION BY "Store" ORDER BY "Date", "Row"
+     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS cpi, "Date" FROM w)
+SELECT "Row", "Store", coalesce(
+  last_value(cpi IGNORE NULLS) OVER (ORDER BY "Store", "Date", "Row" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(cpi IGNORE NULLS) OVER (ORDER BY "Store", "Date", "Row"
+     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS cpi FROM s""")
+def e01_across(spark, sf_dir):
+    """A third of the stores knows no value at all and takes one from the stores around it."""
+    known = F.when(F.col("Store") % 3 != 1, F.col("CPI")).alias("cpi")
+    rows = weekly(spark, sf_dir).select("Row", "Store", "Date", known)
+    return fill_across(rows, "Store", "Date", "Row", ["cpi"]).select("Row", "Store", "cpi")
+
+
 @query("e02_dense_index", f"""WITH {STOPS}, p AS (
 SELECT stop_id, TRY_CAST(precinct_text AS INTEGER) AS precinct FROM stops)
 SELECT stop_id, precinct, dense_rank() OVER (ORDER BY precinct) AS precinct_idx FROM p WHERE precinct IS NOT NULL""")
