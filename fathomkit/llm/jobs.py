@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SCORED_ROWS = 1_000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -58,8 +60,8 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def with_scored_text(docs: DataFrame, name: str, kind: T.DataType, make) -> DataFrame:
-    """``docs`` with a further column: ``make()`` is called in each task, its result on the texts of each batch (null
-    as empty), and gives an Arrow array."""
+    """``docs`` with a further column: ``make()`` is called in each task, its result on the texts of ``SCORED_ROWS`` rows
+    at a time (null as empty), and gives an Arrow array."""
     place = docs.columns.index("text")
     plain = [f"c{i}" for i in range(len(docs.columns))]  # Spark's Arrow functions take no names with dots
     fields = [T.StructField(c, f.dataType) for c, f in zip(plain, docs.schema)]
@@ -67,8 +69,10 @@ def with_scored_text(docs: DataFrame, name: str, kind: T.DataType, make) -> Data
     def run(batches):
         score = make()
         for batch in batches:
-            texts = [t or "" for t in batch.column(place).cast(pa.string()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, score(texts)], names=[*plain, "more"])
+            for at in range(0, batch.num_rows, SCORED_ROWS):
+                part = batch.slice(at, SCORED_ROWS)
+                texts = [t or "" for t in part.column(place).cast(pa.string()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, score(texts)], names=[*plain, "more"])
 
     out = docs.toDF(*plain).mapInArrow(run, T.StructType([*fields, T.StructField("more", kind)]))
     return out.toDF(*docs.columns, name)

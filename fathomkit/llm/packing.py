@@ -33,7 +33,7 @@ from fathomkit.session import hold
 CAPACITY = 2048
 END_ID = 0
 BUCKET_ROWS = 50_000
-CACHE_ENTRIES = 400_000
+CACHE_BYTES = 32_000_000
 
 # Fixed value: the word pattern of the byte-level vocabulary.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -58,7 +58,7 @@ class Codec:
     """Ids of a byte-level vocabulary file as little-endian unsigned 32-bit bytes.
 
     A lone space between two other characters always begins a token, so the stretches between such spaces are encoded
-    once and remembered; the memory is emptied when it holds ``CACHE_ENTRIES``.
+    once and remembered, up to ``CACHE_BYTES``; ``forget`` empties the memory.
     """
 
     def __init__(self, spec: dict):
@@ -71,18 +71,27 @@ class Codec:
         self.core = tiktoken.Encoding("bytes", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.special = special
         self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.held = 0
 
     def plain(self, text: str) -> bytes:
         return np.asarray(self.core.encode_ordinary(text), "<u4").tobytes()
 
     def stretch(self, part: str) -> bytes:
-        if len(self.later) >= CACHE_ENTRIES:
-            self.later.clear()
-        got = self.later[part] = self.plain(" " + part)
+        got = self.plain(" " + part)
+        size = 200 + 4 * len(part) + len(got)  # a generous estimate of both objects and their place
+        if size > CACHE_BYTES // 100:
+            return got
+        if self.held + size > CACHE_BYTES:
+            self.forget()
+        self.later[part] = got
+        self.held += size
         return got
 
+    def forget(self) -> None:
+        self.later.clear()
+        self.held = 0
+
     def encode(self, text: str) -> bytes:
         if self.cut and any(s in text for s in self.special):
             parts = self.cut.split(text)
@@ -142,6 +151,7 @@ def tokenised(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_id
             if keep_ids:
                 columns.append(pa.array(ids, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+        codec.forget()
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(pieces, T.StructType(fields))
 
