@@ -68,6 +68,16 @@ def _summed(parts: DataFrame, keys: Sequence[str], width: int, *more: Column) ->
     return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _columns(width)], *more)
 
 
+def _vector_sums(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Vectors v of (i, v) added up per i; there is one row per task and i, and only the sums reach the driver."""
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"i": pdf["i"].iloc[:1], "v": [np.stack(pdf["v"].to_numpy()).sum(axis=0)]})
+
+    sums = parts.groupBy("i").applyInPandas(add, "i int, v array<double>")
+    return {r["i"]: np.array(r["v"]) for r in sums.collect()}
+
+
 def _reduced(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, and the sums of their rows."""
     order = np.argsort(keys, kind="stable")
@@ -119,14 +129,11 @@ def fits_without_groups(
                 z, n, y = _design(b, covariates), b["_n"].to_numpy(float), b["_y"].to_numpy(float)
                 for i, t in at.items():
                     total[i] += _derivatives(z, n, y, z @ t).sum(axis=0)
-            rows = pd.DataFrame(np.stack(list(total.values())), columns=_columns(_width(q)))
-            rows.insert(0, "fit", list(total))
-            yield rows
+            yield pd.DataFrame({"i": list(total), "v": list(total.values())})
 
-        schema = "fit long, " + ", ".join(f"{c} double" for c in _columns(_width(q)))
-        for row in _summed(patterns.mapInPandas(partial, schema), ["fit"], _width(q)).collect():
-            i, prior = row["fit"], taus[row["fit"]]
-            ll, grad, curv = (x[0] for x in _unfolded(np.array(row[1:])[None, :], q))
+        for i, v in _vector_sums(patterns.mapInPandas(partial, "i int, v array<double>")).items():
+            prior = taus[i]
+            ll, grad, curv = (x[0] for x in _unfolded(v[None, :], q))
             value = ll - prior * theta[i] @ theta[i] / 2
             if before[i] is not None and value - before[i][1] < -1e-9 * abs(ll):
                 theta[i] = (theta[i] + before[i][0]) / 2
@@ -173,10 +180,9 @@ class _Blocks:
                 linear = grad.sum(0) + curv.sum(0) @ theta + np.einsum("gij,gj->i", border, e)
                 total += np.concatenate(
                     [[ll.sum(), len(b)], grad.sum(0), linear, curv.sum(0).ravel(), (e.T @ e).ravel()])
-            yield pd.DataFrame(total[None, :], columns=_columns(width))
+            yield pd.DataFrame({"i": [0], "v": [total]})
 
-        parts = self.sums.mapInPandas(partial, ", ".join(f"{c} double" for c in _columns(width)))
-        v = np.array(_summed(parts, [], width).first())
+        v = _vector_sums(self.sums.mapInPandas(partial, "i int, v array<double>"))[0]
         cut = np.split(v[2:], np.cumsum([q, q, q * q]))
         return v[0], cut[0], cut[2].reshape(q, q), cut[1], cut[3].reshape(kinds, kinds), int(v[1])
 
@@ -199,16 +205,10 @@ class _Blocks:
                     total[i] += np.concatenate([
                         np.einsum("gik,gkj->ij", border, by).ravel(), np.einsum("gik,gk->i", border, x),
                         [(linear * x).sum(), np.linalg.slogdet(d)[1].sum()]])
-            rows = pd.DataFrame(total, columns=_columns(width))
-            rows.insert(0, "i", range(len(precisions)))
-            yield rows
+            yield pd.DataFrame({"i": range(len(precisions)), "v": list(total)})
 
-        parts = self.sums.mapInPandas(partial, "i int, " + ", ".join(f"{c} double" for c in _columns(width)))
-        out = []
-        for row in sorted(_summed(parts, ["i"], width).collect(), key=lambda r: r["i"]):
-            v = np.array(row[1:])
-            out.append((v[: q * q].reshape(q, q), v[q * q: -2], v[-2], v[-1]))
-        return out
+        sums = _vector_sums(self.sums.mapInPandas(partial, "i int, v array<double>"))
+        return [(v[: q * q].reshape(q, q), v[q * q: -2], v[-2], v[-1]) for _, v in sorted(sums.items())]
 
     def solved(self, precision: np.ndarray, ahead: np.ndarray) -> DataFrame:
         """Per group: e at the solution of the model, p (what it was), its block b and d, largest move and gradient."""
