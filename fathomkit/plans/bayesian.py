@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomkit.functions import scalars as sc
@@ -160,6 +160,22 @@ def l04(spark, sf_dir):
     return b.long_draws(_draws(spark, sf_dir))
 
 
+@query("l04_draw_invariants", f"""WITH {CLEAN}, j AS (SELECT count(DISTINCT precinct) AS j FROM k)
+SELECT CAST({1 + len(COVARIATES)} + j AS BIGINT) AS params, (6000 * ({1 + len(COVARIATES)} + j))::BIGINT AS draws, TRUE AS centred,
+       TRUE AS mixed, TRUE AS effective FROM j""")
+def l04_invariants(spark, sf_dir):
+    """Three chains of 2,000 draws of every parameter, centred on the fit, with the spread of the fit, and independent."""
+    fit = b.fit_map(_patterns(spark, sf_dir), COVARIATES, kinds=1)
+    long = hold(b.long_draws(b.laplace_draws(spark, fit)))
+    told = b.coefficient_summary(spark, fit).filter("sd IS NOT NULL").select("param", F.col("mean").alias("mode"), "sd")
+    per = long.groupBy("param").agg(F.count("*").alias("n"), F.avg("value").alias("m"), F.stddev("value").alias("s"))
+    both = per.join(told, "param").join(b.rhat(long, 1.05), "param").join(b.effective_size(long, limit=1000), "param")
+    return both.agg(
+        F.count("*").alias("params"), F.sum("n").alias("draws"),
+        F.bool_and((F.abs(F.col("m") - F.col("mode")) < 0.08 * F.col("sd")) & (F.col("s") / F.col("sd")).between(0.9, 1.1)).alias("centred"),
+        F.bool_and(F.col("rhat") < 1.05).alias("mixed"), F.bool_and(F.col("ess") > 1000).alias("effective"))
+
+
 # Draws made from the lines: one parameter per discount level, three chains.
 DRAWS = """
 draws AS (SELECT 'beta[' || CAST(round(l_discount * 100) AS INTEGER) || ']' AS param, l_suppkey % 3 AS chain,
@@ -296,6 +312,26 @@ def l11(spark, sf_dir):
     return b.predictive_check(rows, "y", "stop_id", "borough", COVARIATES, draws, "precinct_idx")
 
 
+@query("l11_check_invariants", f"""WITH {CLEAN}, o AS (SELECT k.y, t.boro_text FROM k JOIN stops t USING (stop_id)),
+l AS (SELECT CASE boro_text {" ".join(f"WHEN '{x.upper()}' THEN '{x}'" for x in ("Bronx", "Brooklyn", "Manhattan", "Queens", "Staten Island"))}
+  END AS level, y FROM o UNION ALL SELECT 'ALL', y FROM o)
+SELECT level, {rsql("avg(y)", 6)} AS observed, TRUE AS inside FROM l GROUP BY 1""")
+def l11_invariants(spark, sf_dir):
+    """Observed rates, and that the predicted ones are shares inside their interval."""
+    return l11(spark, sf_dir).select("level", rd("observed", 6).alias("observed"), F.expr(
+        "lo >= 0 AND hi <= 1 AND predicted BETWEEN lo AND hi").alias("inside"))
+
+
+@query("l12_prior_totals", """SELECT p.prior, count(*) AS n, 80 AS bins, TRUE AS symmetric FROM orders, (VALUES ('chosen'), ('default')) p(prior)
+GROUP BY 1""")
+def l12_totals(spark, sf_dir):
+    """Every simulated draw is in one of 80 bins, as many below one half as above."""
+    made = l12(spark, sf_dir)
+    low = F.sum(F.when(F.col("bin") < 40, F.col("n")).otherwise(0)) / F.sum("n")
+    return made.groupBy("prior").agg(
+        F.sum("n").alias("n"), F.count("*").cast("int").alias("bins"), low.between(0.4, 0.6).alias("symmetric"))
+
+
 @query("l12_prior_predictive")
 def l12(spark, sf_dir):
     keys = table(spark, sf_dir, "orders").select("o_orderkey")
@@ -307,6 +343,17 @@ def l13(spark, sf_dir):
     return b.prior_sensitivity(_patterns(spark, sf_dir), COVARIATES, PRIORS)
 
 
+@query("l13_prior_invariants", f"""SELECT t.prior, {1 + len(COVARIATES)}::BIGINT AS params, TRUE AS ordered
+FROM (VALUES {", ".join(f"('{name}')" for name, _ in PRIORS)}) t(prior), (SELECT count(*) FROM orders)""")
+def l13_invariants(spark, sf_dir):
+    """Every coefficient under every prior, and no larger a sum of squares under a tighter one."""
+    made = l13(spark, sf_dir).groupBy("prior").agg(F.count("*").alias("params"), F.sum(F.col("mean") ** 2).alias("size"))
+    order = F.create_map(*[F.lit(x) for name, tau in PRIORS for x in (name, tau)])
+    looser = Window.partitionBy(F.lit(1)).orderBy(F.col("tau").desc())
+    return made.withColumn("tau", order[F.col("prior")]).withColumn("before", F.lag("size").over(looser)).select(
+        "prior", "params", F.coalesce(F.col("before") <= F.col("size"), F.lit(True)).alias("ordered"))
+
+
 @query("l14_group_effects", f"""WITH {_SUMMARY}
 SELECT param, {rsql("mean", 5)} AS mean, {rsql("lo", 5)} AS q2_5, {rsql("hi", 5)} AS q97_5,
        CASE WHEN lo > 0 THEN 'above' WHEN hi < 0 THEN 'below' ELSE 'spans 0' END AS interval_class,

@@ -41,6 +41,16 @@ def p03(spark, sf_dir):
     return c.segments(_rfm(spark, sf_dir))
 
 
+@query("p03_segment_sums", f"""WITH {_RFM}
+SELECT 4 AS segments, count(*) AS customers, CAST(sum(frequency) AS BIGINT) AS orders, {rsql("sum(monetary) / 1e6", 4)} AS millions FROM rfm""")
+def p03_sums(spark, sf_dir):
+    """Four segments hold every customer once, with all orders and revenue."""
+    made = c.segments(_rfm(spark, sf_dir))
+    return made.agg(
+        F.count_distinct("segment").cast("int").alias("segments"), F.count("*").alias("customers"),
+        F.sum("frequency").cast("long").alias("orders"), rd(F.sum("monetary") / 1e6, 4).alias("millions"))
+
+
 @query("p04_churn_labels", """WITH x AS (SELECT max(o_orderdate) - INTERVAL 365 DAY AS cut FROM orders),
 b AS (SELECT o_custkey AS customer, count(*) AS frequency FROM orders, x WHERE o_orderdate <= cut GROUP BY 1)
 SELECT b.customer, b.frequency, CASE WHEN EXISTS (SELECT 1 FROM orders o, x WHERE o.o_custkey = b.customer AND o.o_orderdate > cut)

@@ -54,6 +54,21 @@ def f05(spark, sf_dir):
     )
 
 
+@query("f05_sample_invariants", f"""WITH {TRANSACTIONS}
+SELECT count(*) AS n, TRUE AS near_a_tenth, TRUE AS repeats, 0 AS foreign_rows FROM tx""")
+def f05_invariants(spark, sf_dir):
+    """Drawn and left rows make up the table, a tenth is drawn, a second draw is the same, nothing else is drawn."""
+    rows = transactions(spark, sf_dir).select(*KEYS)
+    drawn, again = (s.bernoulli(r, 0.1, KEYS, seed=42).withColumn("drawn", F.lit(1)) for r in (rows, rows.repartition(7)))
+    counts = rows.groupBy(*KEYS).agg(F.count("*").alias("rows")).join(
+        drawn.groupBy(*KEYS).agg(F.sum("drawn").alias("one")), KEYS, "full").join(
+        again.groupBy(*KEYS).agg(F.sum("drawn").alias("two")), KEYS, "full")
+    return counts.agg(
+        F.sum("rows").alias("n"), (F.sum("one") / F.sum("rows")).between(0.08, 0.12).alias("near_a_tenth"),
+        F.bool_and(F.col("one").eqNullSafe(F.col("two"))).alias("repeats"),
+        F.count_if(F.col("rows").isNull() | (F.col("one") > F.col("rows"))).cast("int").alias("foreign_rows"))
+
+
 @query("f06_stratified_split")
 def f06(spark, sf_dir):
     return s.stratified_split(transactions(spark, sf_dir), "Class", KEYS).select(

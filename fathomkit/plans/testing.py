@@ -109,6 +109,25 @@ def j05(spark, sf_dir):
     return inf.anderson_darling(inf.with_fitted(rows, _full_fit(rows)), "residual")
 
 
+# Fixed value: the terms of the series of the normal distribution function, enough for the residuals of a bounded amount.
+_TERMS = 120
+_NORMAL = f"""{_SIMPLE}, e AS (SELECT "TotalAmount" - a - b * "Quantity" AS e FROM lines, s),
+z AS (SELECT (e - avg(e) OVER ()) / stddev(e) OVER () AS z FROM e),
+k AS (SELECT z, row_number() OVER (ORDER BY z) AS i, count(*) OVER () AS n,
+  0.5 + exp(-z * z / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, {_TERMS}), lambda j: z
+    * exp(j * ln(greatest(z * z, 1e-300)) - (lgamma(2 * j + 2) - lgamma(j + 1) - j * ln(2))))) AS p FROM z),
+a AS (SELECT max(n) AS n, -max(n) - sum((2 * i - 1) * ln(p) + (2 * n + 1 - 2 * i) * ln(1 - p)) / max(n) AS a2 FROM k)"""
+
+
+@query("j05_anderson_darling_simple", f"""WITH {_NORMAL}
+SELECT n, {rsql("a2 / 100", 5)} AS a_hundredths FROM a""")
+def j05_simple(spark, sf_dir):
+    """The statistic for the residuals of one predictor."""
+    rows, fit = _simple(spark, sf_dir)
+    return inf.anderson_darling(inf.with_fitted(rows, fit), "residual").select(
+        "n", rd(F.col("a") / 100, 5).alias("a_hundredths"))
+
+
 @query("j06_diagnostics")
 def j06(spark, sf_dir):
     rows = _regression_rows(spark, sf_dir)
