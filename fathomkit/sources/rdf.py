@@ -19,23 +19,41 @@ _ENTRY = T.StructType([
 ])
 
 
+def _records(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
+    """Elements ``row_tag`` as texts in ``xml``, and how many begin in each piece in ``opens``.
+
+    The end tag is the line separator of a text scan, so a file is read in as many splits as any text.
+    """
+    begin = rf"<{row_tag}(?=[\s>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>"
+    pieces = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    body = F.regexp_extract("value", rf"(?s)({begin}.*)$", 1)
+    return pieces.select(F.concat(body, F.lit(f"</{row_tag}>")).alias("xml"), F.regexp_count("value", F.lit(begin)).alias("opens"))
+
+
 def read_rdf_xml(
     spark: SparkSession, path: str, predicates: Sequence[str] | None = None, row_tag: str = "rdf:Description",
     implied_type: str | None = None,
 ) -> DataFrame:
-    """Triples of RDF/XML files, a record per ``row_tag`` element; a file is read by one task.
+    """Triples of RDF/XML files, a record per ``row_tag`` element.
 
-    Without ``predicates`` one more pass over the files finds those that occur; with them only these are read.
-    ``implied_type`` adds the type triple that a typed node element stands for.
+    Files are read in splits: the text up to an end tag is a record. That needs records which hold no record of the same
+    tag; where a file does, each file is read by one task. Without ``predicates`` one more pass over the files finds the
+    element names that occur; with them only these are read. ``implied_type`` adds the type triple that a typed node
+    element stands for.
     """
+    pieces = _records(spark, path, row_tag)
     if predicates is None:
-        found = spark.read.format("xml").option("rowTag", row_tag).load(path).schema.fieldNames()
-        predicates = [name for name in found if not name.startswith("_")]
+        names = F.explode(F.regexp_extract_all("xml", F.lit(r"<([^\s<>/!?]+)"), F.lit(1)))
+        found = pieces.where("opens > 0").select(names.alias("name")).distinct()
+        predicates = sorted(r["name"] for r in found.collect() if r["name"] != row_tag)
     schema = T.StructType(
         [T.StructField("_rdf:about", T.StringType())]
         + [T.StructField(p, T.ArrayType(_ENTRY)) for p in predicates]
     )
-    nodes = spark.read.schema(schema).format("xml").option("rowTag", row_tag).load(path)
+    if pieces.where("opens > 1").isEmpty():
+        nodes = pieces.where("opens = 1").select(F.from_xml("xml", schema).alias("n")).select("n.*")
+    else:
+        nodes = spark.read.schema(schema).format("xml").option("rowTag", row_tag).load(path)
     facts = F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"`{p}`").alias("os")) for p in predicates])
     rows = nodes.select(F.col("`_rdf:about`").alias("s"), F.explode(facts).alias("f")).select(
         "s", F.col("f.p").alias("p"), F.explode("f.os").alias("e")
