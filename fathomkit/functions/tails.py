@@ -49,19 +49,25 @@ def _range_cdf(q: np.ndarray, groups: int) -> np.ndarray:
     return groups * (9.0 * weights * phi * np.maximum(inner, 0.0) ** (groups - 1)).sum(axis=1)
 
 
+def _stirling_rest(x: float) -> float:
+    """log Gamma(x) without (x - 1/2) log x - x + log(2 pi) / 2; by its series where the difference would lose digits."""
+    if x < 100:
+        return math.lgamma(x) - ((x - 0.5) * math.log(x) - x + 0.5 * math.log(2 * math.pi))
+    return 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+
+
 def studentized_range_tail(q: float, groups: int, df: float) -> float:
-    """P(Q > q) of the studentized range, integrating over the pooled sd."""
-    if df > 25_000:
-        return float(max(0.0, 1 - _range_cdf(np.array([q]), groups)[0]))
+    """P(Q > q) of the studentized range, integrating over the pooled sd; for any degrees of freedom."""
     nodes, weights = np.polynomial.legendre.leggauss(80)
     spread = 8.0 / math.sqrt(2 * df)
     lo, hi = max(1e-9, 1 - spread), 1 + spread
-    s = lo + (nodes + 1) * (hi - lo) / 2
+    off = lo - 1 + (nodes + 1) * (hi - lo) / 2  # sd minus 1
+    half = df / 2
     log_pdf = (
-        math.log(2) + df / 2 * math.log(df / 2) - math.lgamma(df / 2)
-        + (df - 1) * np.log(s) - df * s * s / 2
+        math.log(2) + 0.5 * math.log(half) - 0.5 * math.log(2 * math.pi) - _stirling_rest(half)
+        + half * (2 * np.log1p(off) - 2 * off - off * off) - np.log1p(off)
     )
-    body = np.exp(log_pdf) * _range_cdf(q * s, groups)
+    body = np.exp(log_pdf) * _range_cdf(q * (1 + off), groups)
     return float(min(1.0, max(0.0, 1 - (weights * body).sum() * (hi - lo) / 2)))
 
 

@@ -142,3 +142,13 @@ def test_two_wide_factors_and_unknown_levels(spark):
     assert np.isclose(got[0], fit.p) and np.isclose(got[1], rss[0])
     odd = spark.createDataFrame([("a001", "nowhere", 1.0)], "a string, b string, y double")
     assert inf.with_fitted(odd, fit).first()["fitted"] is None
+
+
+def test_studentized_range_for_any_degrees_of_freedom():
+    from fathomkit.functions.tails import _range_cdf, studentized_range_tail
+
+    normal = 1 - _range_cdf(np.array([3.6]), 4)[0]
+    gaps = [studentized_range_tail(3.6, 4, df) - normal for df in (1e4, 2.4e4, 2.6e4, 1e5, 1e7, 1e11)]
+    assert all(a > b > 0 for a, b in zip(gaps, gaps[1:])) and gaps[-1] < 1e-8
+    for a, df in zip(gaps, (1e4, 2.4e4, 2.6e4, 1e5, 1e7)):
+        assert np.isclose(a * df, gaps[0] * 1e4, rtol=1e-2)  # the leading term falls as 1 / df
