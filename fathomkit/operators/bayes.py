@@ -557,61 +557,68 @@ def rhat(draws: DataFrame, limit: float = 1.01) -> DataFrame:
     return per.select("param", hat.alias("rhat"), (hat > limit).alias("flagged"))
 
 
-def effective_size(draws: DataFrame, block: int = 16, segment: int = 4096, limit: float = 400) -> DataFrame:
+def _lagged_products(segment: int, reach: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Sums of x(i) x(i + t) for t = 0 .. ``reach``, i in one segment of a chain and i + t in it or its successor."""
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        at = (pdf["iter"] - pdf["seg"] * segment).to_numpy(int)
+        both = np.zeros(at.max() + 1)
+        both[at] = pdf["x"].to_numpy(float)
+        size = 1 << int(len(both) + reach).bit_length()
+        pair = np.conj(np.fft.rfft(both[:segment], size)) * np.fft.rfft(both, size)
+        return pdf[["param", "chain", "n", "v"]].iloc[:1].assign(s=[np.fft.irfft(pair, size)[: reach + 1]])
+
+    return sums
+
+
+def _stopped(reach: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Sum of autocorrelations in pairs of lags up to the first pair that is not positive, if that is within ``reach``."""
+
+    def stop(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf[["param", "chain", "n"]].iloc[:1]
+        n, v = int(pdf["n"].iloc[0]), float(pdf["v"].iloc[0])
+        if not v:
+            return first.assign(rho=float(n), done=True)
+        acf = np.stack(pdf["s"].to_numpy()).sum(axis=0) / (v * n)
+        pairs = acf[1: reach: 2] + acf[2: reach + 1: 2]
+        ends = (pairs <= 0) | (2 * np.arange(len(pairs)) + 2 >= n)
+        done = bool(ends.any())
+        return first.assign(rho=1 + 2 * pairs[: int(ends.argmax()) if done else 0].sum(), done=done)
+
+    return stop
+
+
+def effective_size(draws: DataFrame, segment: int = 65_536, reach: int = 1_024, limit: float = 400) -> DataFrame:
     """Effective sample size per parameter: autocorrelation pairs up to the first one <= 0.
 
-    A chain is cut into segments that repeat the first ``block`` rows of their successor, so
-    lagged products never need a whole chain in one task. Lags are added block by block
-    until every chain has stopped; chain results are summed.
+    A chain is cut into segments; each meets the beginning of its successor in one Fourier product, which gives every lag
+    up to ``reach`` at once, so a chain of any length takes one pass and no task holds it. Chains whose pairs stay positive
+    that far go on, alone, with a larger reach. Iterations are numbered without gaps; chain results are summed.
     """
-    spark = draws.sparkSession
     keys = ["param", "chain"]
-    stats = draws.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v")
-    )
-    held = hold(draws.join(hold(stats), keys).select(
-        *keys, F.col("iter").cast("long").alias("iter"), (F.col("value") - F.col("m")).alias("x")
-    ))
-    chains = {(r["param"], r["chain"]): r for r in stats.collect()}
-    rho = {c: 1.0 for c in chains}
-    alive = {c for c, r in chains.items() if r["v"] and r["n"] > 2}
-    pending: dict = {}
-    start = 1
-    while alive:
-        lags = [t for t in range(start, start + block)]
-        far = lags[-1]
-        seg = F.floor(F.col("iter") / segment)
-        # a row serves its own segment and, as a later partner, the ones it reaches back to
-        back = F.floor(F.greatest(F.col("iter") - far, F.lit(0)) / segment)
-        spread = held.select(
-            *keys, "iter", "x", seg.alias("own"), F.explode(F.sequence(back, seg)).alias("seg")
-        )
-        w = Window.partitionBy(*keys, "seg").orderBy("iter")
-        prods = spread.select(
-            *keys, "own", "seg",
-            *[(F.col("x") * F.lead("x", t).over(w)).alias(f"_{t}") for t in lags],
-        ).filter("own = seg").groupBy(*keys).agg(*[F.sum(f"_{t}").alias(f"_{t}") for t in lags])
-        for r in prods.collect():
-            c = (r["param"], r["chain"])
-            if c not in alive:
-                continue
-            n, v = chains[c]["n"], chains[c]["v"]
-            acf = [(r[f"_{t}"] or 0.0) / (v * n) for t in lags]
-            for i in range(0, block, 2):
-                t = lags[i]
-                if t + 1 >= n or acf[i] + acf[i + 1] <= 0:
-                    alive.discard(c)
-                    break
-                rho[c] += 2 * (acf[i] + acf[i + 1])
-        alive = {c for c in alive if far + 1 < chains[c]["n"]}
-        start += block
-    total: dict = {}
-    for c, r in chains.items():
-        ess = 1.0 if not r["v"] else r["n"] / max(rho[c], 1.0)
-        total[c[0]] = total.get(c[0], 0.0) + ess
-    return spark.createDataFrame(
-        [(p, float(e), bool(e < limit)) for p, e in total.items()], "param string, ess double, flagged boolean"
-    )
+    stats = hold(draws.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.avg("value").alias("m"), F.var_pop("value").alias("v")))
+    left = hold(draws.join(stats, keys).select(
+        *keys, "n", "v", F.col("iter").cast("long").alias("iter"), (F.col("value") - F.col("m")).alias("x")))
+    results = None
+    while True:
+        segment = max(segment, reach)
+        own = F.floor(F.col("iter") / segment)
+        early = (F.col("iter") % segment < reach) & (own > 0)
+        spread = left.select(*keys, "n", "v", "iter", "x", F.explode(
+            F.when(early, F.array(own - 1, own)).otherwise(F.array(own))).alias("seg"))
+        products = spread.groupBy(*keys, "seg").applyInPandas(
+            _lagged_products(segment, reach), "param string, chain int, n long, v double, s array<double>")
+        found = hold(products.groupBy(*keys).applyInPandas(
+            _stopped(reach), "param string, chain int, n long, rho double, done boolean"))
+        ready = found.where("done")
+        results = ready if results is None else results.union(ready)
+        more = found.where("NOT done").select(*keys)
+        if more.isEmpty():
+            break
+        left, reach = left.join(more, keys, "left_semi"), reach * 16
+    size = F.sum(F.col("n") / F.greatest("rho", F.lit(1.0)))
+    return results.groupBy("param").agg(size.alias("ess")).withColumn("flagged", F.col("ess") < limit)
 
 
 def group_effects(draws: DataFrame, prefix: str) -> DataFrame:

@@ -171,9 +171,17 @@ def test_effective_size_over_segments(spark):
     rows += [("const", 0, i, 1.0) for i in range(50)]
     df = spark.createDataFrame(rows, "param string, chain int, iter int, value double")
     want = sum(_ess(x) for x in chains)
-    for block, segment in ((16, 4096), (6, 64)):
-        got = {r["param"]: r["ess"] for r in b.effective_size(df, block, segment).collect()}
-        assert np.isclose(got["p"], want) and got["const"] == 1.0
+    for segment, reach in ((65_536, 1_024), (64, 64), (64, 6), (4096, 2)):
+        got = {r["param"]: r["ess"] for r in b.effective_size(df, segment, reach).collect()}
+        assert np.isclose(got["p"], want, rtol=1e-9) and got["const"] == 1.0
+
+
+def test_short_chains_have_an_effective_size(spark):
+    rng = np.random.default_rng(9)
+    for n in (1, 2, 3, 4, 9):
+        x = np.cumsum(rng.normal(size=n))
+        df = spark.createDataFrame([("p", 0, i, float(v)) for i, v in enumerate(x)], "param string, chain int, iter int, value double")
+        assert np.isclose(b.effective_size(df).first()["ess"], _ess(x) if x.var() else 1.0)
 
 
 def test_identical_chains(spark):
