@@ -10,6 +10,7 @@ from fathomkit.functions.scalars import (
 from fathomkit.functions.scoring import score_transactions
 from fathomkit.operators import clean
 from fathomkit.plans.inputs import (
+    STOP_FLAGS,
     SALES, SCORED, SENSORS, STOPS, features, sales, sensors, stops, table, transactions,
 )
 from fathomkit.plans.joining import weekly
@@ -20,7 +21,7 @@ CLEAN_STOPS = STOPS + "," + """
 nulled AS (SELECT stop_id, """ + ", ".join(
     f"CASE WHEN {c} IN ('(null)', '#N/A', '') THEN NULL ELSE {c} END AS {c}"
     for c in ("month_text", "arrested_flag", "frisked_flag", "weapon_flag", "crime_text",
-              "race_text", "sex_text", "age_text", "boro_text", "precinct_text", "initiated_text")
+              "race_text", "sex_text", "age_text", "boro_text", "precinct_text", "initiated_text", *STOP_FLAGS)
 ) + " FROM stops)"
 
 
