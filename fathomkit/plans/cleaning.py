@@ -10,8 +10,7 @@ from fathomkit.functions.scalars import (
 from fathomkit.functions.scoring import score_transactions
 from fathomkit.operators import clean
 from fathomkit.plans.inputs import (
-    STOP_FLAGS,
-    SALES, SCORED, SENSORS, STOPS, features, sales, sensors, stops, table, transactions,
+    SALES, SCORED, SENSORS, STOP_FLAGS, STOPS, features, sales, sensors, stops, table, transactions,
 )
 from fathomkit.plans.joining import weekly
 from fathomkit.plans.registry import query, rsql
