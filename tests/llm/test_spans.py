@@ -31,7 +31,7 @@ def random_spans(rng, size, n):
     return out
 
 
-@pytest.mark.parametrize("seed", range(25))
+@pytest.mark.parametrize("seed", range(8))
 def test_clear_and_redacted_against_plain_loops(spark, seed):
     rng = random.Random(seed)
     text = "".join(rng.choice("xyé\U0001f600 ") for _ in range(60))
