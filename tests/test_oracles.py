@@ -1,6 +1,7 @@
 """Every job with an SQL twin must give the same rows, and no plan may pair all rows."""
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.check import compare, duck, rows_of
@@ -14,8 +15,14 @@ def con(sf):
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
-def test_same_rows_as_sql(name, spark, con, sf):
-    plans = []
+def test_same_rows_as_sql(name, spark, con, sf, monkeypatch):
+    plans, write = [], DataFrameWriter.parquet
+
+    def noted(self, *args, **kwargs):  # tables that are written on the way count as well
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
 
     def job(s, d):
         df = JOBS[name](s, d)
@@ -25,8 +32,8 @@ def test_same_rows_as_sql(name, spark, con, sf):
     want, got = compare(spark, con, job, SQL[name], sf)
     assert got[0] == want[0]
     assert got[1] == want[1]
-    assert "CartesianProduct" not in plans[0]
-    assert "BroadcastNestedLoopJoin" not in plans[0]
+    for plan in plans:
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_every_oracle_has_a_job():
