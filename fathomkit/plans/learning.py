@@ -190,7 +190,7 @@ def model_grids(spark, sf_dir):
     """Grid points of each search; the mean area under the curve of every one is better than chance."""
     sets = LearningSets(spark, sf_dir)
     return learn.grid_table(spark, {name: sets.search(name).grid for name in SEARCHES}).groupBy("model").agg(
-        F.count_distinct("params").cast("int").alias("points"), F.bool_and("auc > 0.5 AND auc <= 1").alias("better_than_chance"))
+        F.count_distinct("params").cast("int").alias("points"), F.bool_and(F.expr("auc > 0.5 AND auc <= 1")).alias("better_than_chance"))
 
 
 _CONF = f"""{SCORES}, c AS (SELECT model, count(*) FILTER (score >= 0.5 AND label = 1) AS tp,
@@ -310,7 +310,7 @@ def k15_counts(spark, sf_dir):
         F.count("*").alias("n"), F.sum("label").alias("p"))
     counts, rest = ev.confusion(scored), train.select("n").scalar()
     seen = scored.groupBy("model").agg(F.count("*").alias("rows"), F.sum("label").alias("rare"),
-                                       F.bool_and("score BETWEEN 0 AND 1").alias("shares"))
+                                       F.bool_and(F.expr("score BETWEEN 0 AND 1")).alias("shares"))
     return counts.join(seen, "model").select(
         "model", (F.col("rows") + rest).alias("n"), (F.col("rare") + train.select("p").scalar()).alias("positives"),
         (F.col("shares") & (F.expr("tp + fn") == F.col("rare")) & (F.expr("tp + fp + tn + fn") == F.col("rows")))
