@@ -1,13 +1,17 @@
 """Exact nearest neighbours of binary codes by incremental multi-index hashing.
 
 A vector's code has one bit per component, set where it is above zero. Equal codes are merged first, each with its
-smallest ids, of which a search can return no more than k and the query itself. The distinct codes are dealt into shards
-by hash, the distinct query codes into blocks, and every block meets every shard in one task of bounded size. A task
-indexes its shard by 16-bit segments of the code; for each query it grows the search radius of one segment after the
-other: when all m segments have been searched to radius s, and j of them to s + 1, every code within m (s + 1) + j - 1
-bits has been seen (pigeonhole). The search ends when enough verified codes lie within that distance, or, where the
-next step would probe more buckets and codes than the shard has codes, by comparing with all of them. Either way the
-result is exact. The k best of each shard are merged per query.
+smallest ids, of which a search can return no more than k and the query itself. The bits are cut into m segments about
+as wide as the logarithm of the number of codes, so a bucket, which is a segment and its value, holds about one code
+whatever the size of the table. Round s joins the buckets at s flipped bits from the segments of each open query with
+the buckets of the codes, on the bucket: no code is copied more than m times, and queries meet only the codes of their
+buckets. A code that an earlier bucket has found is told by its own bits and dropped without a shuffle, as is one
+beyond the worst of enough verified neighbours. After round s every code within m (s + 1) - 1 bits has been seen
+(pigeonhole); a search ends when enough verified codes lie within that distance.
+
+Where a round would probe more buckets per query than there are codes (and more than ``LEAST_PROBES``), probing costs
+more than comparing, and the searches still open are compared with all codes, blocks of queries against shards of codes.
+Either way the result is exact. ``searched`` gives the round in which a search ended, or null for a compared one.
 
 Defined cases: null vectors and null ids take no part; empty vectors have empty codes, at distance 0 of each other, and
 vectors of different lengths are compared as if the missing components were zero; components that are null or not a
@@ -17,6 +21,9 @@ other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,115 +36,162 @@ NEIGHBOURS = 10
 QUERY_STEP = 50
 SHARD_CODES = 16_384
 BLOCK_QUERIES = 2_048
-SEGMENT = 16
+LEAST_PROBES = 16_384
+COMPARED_AT_ONCE = 64
+
 
-_VALUES = np.arange(1 << SEGMENT, dtype=np.int64)
-_ONES = np.bitwise_count(_VALUES)
-_MASKS = [_VALUES[_ONES == s] for s in range(SEGMENT + 1)]
+def longest(vectors: DataFrame) -> int:
+    """Components of the longest vector."""
+    return vectors.where("id IS NOT NULL AND vector IS NOT NULL").agg(F.max(F.size("vector"))).first()[0] or 0
 
 
-def coded(vectors: DataFrame) -> DataFrame:
-    """id and code (64 bits a word, as many words as the longest vector needs) of vectors (id, vector)."""
+def coded(vectors: DataFrame, size: int) -> DataFrame:
+    """id and code (64 bits a word, as many words as ``size`` components need) of vectors (id, vector)."""
     known = vectors.where("id IS NOT NULL AND vector IS NOT NULL")
-    longest = known.agg(F.max(F.size("vector"))).first()[0] or 0
     bits = "transform(vector, x -> IF(x > 0 AND NOT isnan(x), 1L, 0L))"
     words = [
         f"aggregate(transform(sequence(0, 63), i -> coalesce(get({bits}, {64 * w} + i), 0L)), 0L, "
-        "(a, b) -> shiftleft(a, 1) | b)" for w in range(max(1, -(-longest // 64)))
+        "(a, b) -> shiftleft(a, 1) | b)" for w in range(max(1, -(-size // 64)))
     ]
     return known.select("id", F.expr(f"array({', '.join(words)})").alias("code"))
 
 
-class Shard:
-    """Codes [n, words] with a sorted bucket table per 16-bit segment."""
-
-    def __init__(self, codes: np.ndarray, first: np.ndarray, many: np.ndarray):
-        self.codes, self.first, self.many = codes, first, many
-        self.segments = self.split(codes)
-        self.order = [np.argsort(s, kind="stable") for s in self.segments]
-        self.begin = [np.searchsorted(s[o], np.arange((1 << SEGMENT) + 1))
-                      for s, o in zip(self.segments, self.order)]
-
-    @staticmethod
-    def split(codes: np.ndarray) -> list[np.ndarray]:
-        return [((codes[:, w] >> np.uint64(k)) & np.uint64(0xFFFF)).astype(np.int64)
-                for w in range(codes.shape[1]) for k in range(0, 64, SEGMENT)]
-
-    def distance(self, rows, code: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(self.codes[rows] ^ code).sum(1, dtype=np.int64)
-
-    def search(self, code: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and distances of the codes that hold the ``need`` nearest ids, by distance and smallest id."""
-        parts = [int(s[0]) for s in self.split(code[None, :])]
-        seen = np.zeros(len(self.codes), bool)
-        rows, dist, cost, covered = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, -1
-        for radius in range(SEGMENT + 1):
-            for j, value in enumerate(parts):
-                if self.many[rows[dist <= covered]].sum() >= need:
-                    return self.best(rows, dist, need)
-                buckets = value ^ _MASKS[radius]
-                low, high = self.begin[j][buckets], self.begin[j][buckets + 1]
-                cost += len(buckets) + int((high - low).sum())
-                if cost > len(self.codes):
-                    rows = np.arange(len(self.codes))
-                    return self.best(rows, self.distance(rows, code), need)
-                full = high > low
-                low, size = low[full], (high - low)[full]
-                at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
-                new = self.order[j][at]
-                new = new[~seen[new]]
-                seen[new] = True
-                rows, dist = np.concatenate([rows, new]), np.concatenate([dist, self.distance(new, code)])
-                covered = len(parts) * radius + j
-        return self.best(rows, dist, need)
-
-    def best(self, rows: np.ndarray, dist: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
-        order = np.lexsort((self.first[rows], dist))[:need]
-        return rows[order], dist[order]
-
-
-def _search_cell(index: pd.DataFrame, wanted: pd.DataFrame, need: int) -> pd.DataFrame:
-    out = {"query": [], "ids": [], "hamming": [], "first": []}
+def segments(size: int, codes: int) -> list[tuple[int, int, int]]:
+    """(word, shift, width) of the segments of codes of ``size`` bits, about log2(codes) bits each."""
+    wanted, out = max(1, round(math.log2(max(codes, 2)))), []
+    for word in range(max(1, -(-size // 64))):
+        used = min(64, size - 64 * word)
+        parts = max(1, -(-used // wanted))
+        edges = [used * i // parts for i in range(parts + 1)]
+        out += [(word, 64 - high, high - low) for low, high in zip(edges, edges[1:])]
+    return out
+
+
+def _value(code: str, segment: tuple[int, int, int]) -> str:
+    word, shift, width = segment
+    moved = f"shiftrightunsigned({code}[{word}], {shift})" if shift < 64 else "0L"
+    return f"({moved} & {(1 << width) - 1}L)" if width < 64 else moved
+
+
+def _buckets(rows: DataFrame, code: str, cut: list[tuple[int, int, int]]) -> DataFrame:
+    """``rows`` once per segment of ``code``, with segment, value and width."""
+    each = ", ".join(f"struct({j} AS segment, {_value(code, c)} AS value, {c[2]} AS width)" for j, c in enumerate(cut))
+    return rows.select("*", F.expr(f"explode(array({each})) AS bucket")).select(*rows.columns, "bucket.*")
+
+
+def _flipped(buckets: DataFrame, radius: int) -> DataFrame:
+    """``buckets`` with every set of ``radius`` bits of value flipped, each set once (its bits in rising order)."""
+    keep = [c for c in buckets.columns if c != "value"]
+    rows = buckets.withColumn("bit", F.lit(-1))
+    for _ in range(radius):
+        rows = rows.where("bit + 1 < width").select(*keep, "value", F.expr("explode(sequence(bit + 1, width - 1)) AS bit"))
+        rows = rows.withColumn("value", F.expr("value ^ shiftleft(1L, bit)"))
+    return rows.drop("bit")
+
+
+def _nearest_codes(rows: DataFrame, need: int) -> DataFrame:
+    """Of each query the ``need`` codes by distance and smallest id; these hold the ``need`` nearest ids."""
+    nth = F.row_number().over(Window.partitionBy("query").orderBy("hamming", "first"))
+    return rows.withColumn("nth", nth).where(F.col("nth") <= need).drop("nth")
+
+
+def _probed(waiting: DataFrame, codes: DataFrame, cut: list[tuple[int, int, int]], radius: int) -> DataFrame:
+    """query, code, first, many, hamming of the codes that round ``radius`` finds first, within each query's bound."""
+    probes = _flipped(_buckets(waiting, "query", cut), radius).drop("width")
+    met = probes.join(_buckets(codes, "code", cut).drop("width"), ["segment", "value"])
+    words = 1 + max(c[0] for c in cut)
+    apart = met.withColumn("apart", F.expr(f"array({', '.join(f'code[{w}] ^ query[{w}]' for w in range(words))})"))
+    # a bucket before this one, of an earlier round or segment, would have held the code
+    fresh = " AND ".join(
+        f"bit_count({_value('apart', c)}) + IF({j} >= segment, 1, 0) > {radius}" for j, c in enumerate(cut))
+    hamming = " + ".join(f"bit_count(apart[{w}])" for w in range(words))
+    return apart.where(fresh).withColumn("hamming", F.expr(f"CAST({hamming} AS BIGINT)")).where(
+        "bound IS NULL OR hamming <= bound").select("query", "code", "first", "many", "hamming")
+
+
+def _compare_cell(index: pd.DataFrame, wanted: pd.DataFrame, need: int) -> pd.DataFrame:
+    """The ``need`` nearest codes of one shard for each query of one block."""
+    out = {"query": [], "code": [], "first": [], "many": [], "hamming": []}
     if len(index) and len(wanted):
-        codes = np.stack(index["code"].to_list()).astype(np.int64).view(np.uint64)
-        shard = Shard(codes, index["first"].to_numpy(np.int64), index["ids"].map(len).to_numpy(np.int64))
-        ids, first = index["ids"].to_numpy(object), index["first"].to_numpy(np.int64)
-        for q in wanted["query"]:
-            rows, dist = shard.search(np.asarray(q, np.int64).view(np.uint64), need)
-            out["query"] += [q] * len(rows)
-            out["ids"] += list(ids[rows])
-            out["hamming"] += dist.tolist()
-            out["first"] += first[rows].tolist()
+        codes = np.stack(index["code"].to_list()).astype(np.int64)
+        first, many = index["first"].to_numpy(np.int64), index["many"].to_numpy(np.int64)
+        asked = np.stack(wanted["query"].to_list()).astype(np.int64)
+        for at in range(0, len(asked), COMPARED_AT_ONCE):
+            part = asked[at: at + COMPARED_AT_ONCE]
+            far = sum(np.bitwise_count((codes[:, w] ^ part[:, w, None]).view(np.uint64)).astype(np.int64)
+                      for w in range(codes.shape[1]))
+            for q, dist in zip(part, far):
+                limit = np.partition(dist, need - 1)[need - 1] if len(dist) > need else len(codes[0]) * 64
+                rows = np.flatnonzero(dist <= limit)
+                rows = rows[np.lexsort((first[rows], dist[rows]))[:need]]
+                out["query"] += [q.tolist()] * len(rows)
+                out["code"] += codes[rows].tolist()
+                out["first"] += first[rows].tolist()
+                out["many"] += many[rows].tolist()
+                out["hamming"] += dist[rows].tolist()
     return pd.DataFrame(out)
 
 
+def _compared(waiting: DataFrame, codes: DataFrame, many_codes: int, need: int) -> DataFrame:
+    shards, blocks = many_codes // SHARD_CODES + 1, waiting.count() // BLOCK_QUERIES + 1
+
+    def everywhere(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    index = codes.withColumn("shard", F.pmod(F.xxhash64("code"), F.lit(shards)).cast("int")).withColumn(
+        "block", everywhere(blocks))
+    wanted = waiting.select("query").withColumn(
+        "block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")).withColumn("shard", everywhere(shards))
+    return index.groupBy("shard", "block").cogroup(wanted.groupBy("shard", "block")).applyInPandas(
+        lambda a, b: _compare_cell(a, b, need),
+        "query array<bigint>, code array<bigint>, first bigint, many bigint, hamming bigint")
+
+
+def searched(codes: DataFrame, asked: DataFrame, size: int, need: int) -> DataFrame:
+    """query, code, hamming and round of the codes that hold the ``need`` nearest ids of each distinct query.
+
+    ``codes`` are distinct (code, first, many: its smallest id and how many ids it has), of ``size`` bits.
+    """
+    total = codes.count()
+    cut = segments(size, total)
+    waiting = hold(asked.select("query", F.lit(None).cast("bigint").alias("bound")))
+    best, ended, last = None, [], max(c[2] for c in cut)
+    for radius in range(last + 1):
+        if sum(math.comb(c[2], radius) for c in cut) > max(total, LEAST_PROBES):
+            ended.append(_nearest_codes(_compared(waiting, codes, total, need), need).withColumn(
+                "round", F.lit(None).cast("int")))
+            break
+        found = _probed(waiting, codes, cut, radius)
+        best = hold(_nearest_codes(found if best is None else best.unionByName(found), need))
+        covered = size if radius == last else len(cut) * (radius + 1) - 1
+        state = best.groupBy("query").agg(
+            F.sum(F.when(F.col("hamming") <= covered, F.col("many"))).alias("sure"),
+            F.when(F.sum("many") >= need, F.max("hamming")).alias("bound"))
+        over = F.lit(radius == last) | (F.coalesce("sure", F.lit(0)) >= need)
+        waiting = hold(waiting.select("query").join(state, "query", "left").where(~over).select("query", "bound"))
+        ended.append(best.join(waiting, "query", "left_anti").withColumn("round", F.lit(radius)))
+        if waiting.isEmpty():
+            break
+        best = best.join(waiting, "query", "left_semi")
+    return functools.reduce(DataFrame.unionByName, ended).select("query", "code", "hamming", "round")
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     """query_id, rank, id, hamming: the ``k`` nearest of ``vectors`` for each of ``queries``, both (id, vector)."""
     need = k + 1  # the query itself may be among them
-    all_codes = hold(coded(vectors.unionByName(queries)).distinct())
-    ids = vectors.select("id").distinct()
-    own = all_codes.join(ids, "id", "left_semi")
+    both = vectors.unionByName(queries)
+    size = longest(both)
+    all_codes = hold(coded(both, size).distinct())
+    own = all_codes.join(vectors.select("id").distinct(), "id", "left_semi")
     nth = F.row_number().over(Window.partitionBy("code").orderBy("id"))
     codes = hold(own.withColumn("nth", nth).where(F.col("nth") <= need).groupBy("code").agg(
-        F.sort_array(F.collect_list("id")).alias("ids")).withColumn("first", F.col("ids")[0]))
+        F.sort_array(F.collect_list("id")).alias("ids")))
     asked = hold(all_codes.join(queries.select("id").distinct(), "id", "left_semi").select(
         F.col("id").alias("query_id"), F.col("code").alias("query")))
-    distinct = hold(asked.select("query").distinct())
-    shards, blocks = codes.count() // SHARD_CODES + 1, distinct.count() // BLOCK_QUERIES + 1
-
-    def everywhere(n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    index = codes.withColumn("shard", F.pmod(F.xxhash64("code"), F.lit(shards)).cast("int")).withColumn(
-        "block", everywhere(blocks))
-    wanted = distinct.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")).withColumn(
-        "shard", everywhere(shards))
-    found = index.groupBy("shard", "block").cogroup(wanted.groupBy("shard", "block")).applyInPandas(
-        lambda a, b: _search_cell(a, b, need),
-        "query array<bigint>, ids array<bigint>, hamming bigint, first bigint")
-    by_code = Window.partitionBy("query").orderBy("hamming", "first")
-    merged = found.withColumn("nth", F.row_number().over(by_code)).where(F.col("nth") <= need)
-    pairs = asked.join(merged, "query").select("query_id", "hamming", F.explode("ids").alias("id")).where(
+    sized = codes.select("code", F.col("ids")[0].cast("bigint").alias("first"),
+                         F.size("ids").cast("bigint").alias("many"))
+    found = searched(sized, asked.select("query").distinct(), size, need).join(codes, "code")
+    pairs = asked.join(found, "query").select("query_id", "hamming", F.explode("ids").alias("id")).where(
         "id <> query_id")
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("hamming", "id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", "hamming")

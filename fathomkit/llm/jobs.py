@@ -6,11 +6,14 @@ import math
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fathomkit.session import hold
+
 SCORED_ROWS = 1_000
+SAMPLE_CHARS = 40_000_000
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +49,21 @@ def bounded_sample(rows: DataFrame, n: int) -> DataFrame:
     return few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
 
 
+def sampled_texts(docs: DataFrame, ids: DataFrame, most_chars: int = SAMPLE_CHARS) -> DataFrame:
+    """One row of ``docs`` (doc_id, text and others) for each of the few ``ids``, so that an id on many rows brings one
+    of its texts (the one with the smallest hash), and at most ``most_chars`` characters in all.
+
+    Whole texts only: those beyond a fiftieth of ``most_chars`` take no part, of the others as many as fit by hash of id.
+    """
+    rows = docs.join(F.broadcast(hold(ids)), "doc_id")
+    rest = [c for c in rows.columns if c != "doc_id"]
+    one = rows.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("row")).select("doc_id", "row.*")
+    size = F.coalesce(F.length("text"), F.lit(0))
+    fitting = hold(one.withColumn("size", size).where(F.col("size") <= most_chars // 50))
+    so_far = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    return fitting.withColumn("so_far", so_far).where(F.col("so_far") <= most_chars).select("doc_id", *rest)
+
+
 def every(df: DataFrame) -> list:
     """All columns of ``df``, whatever their names hold."""
     return [F.col(f"`{c}`") for c in df.columns]

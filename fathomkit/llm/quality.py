@@ -31,6 +31,7 @@ LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 TRAIN_ROWS = 20_000
 TREES, DEPTH, RATE, BINS, LEAST_HESSIAN, RIDGE = 60, 3, 0.2, 32, 5.0, 1.0
+LEFT_OUT = 5  # one of so many labelled rows is not fitted on but sets the threshold
 KEEP_RECALL = 0.998
 KEEP_AT = 0.5
 
@@ -204,27 +205,35 @@ def boost(x: np.ndarray, y: np.ndarray, signs: np.ndarray) -> Trees:
     return trees.freeze()
 
 
+def fails(n_words, n_repeat_words):
+    """The base rule, over columns of Spark or of pandas."""
+    return (n_words < LEAST_WORDS) | (100 * n_repeat_words > MOST_REPEATED_PERCENT * n_words)
+
+
 def train(counts: DataFrame, labels: DataFrame) -> tuple[Trees, float] | None:
     """Trees and the score from which a document is kept; None without labels of both classes.
 
-    That score is ``KEEP_AT``, or less where more than a share of 1 - KEEP_RECALL of the good rows would fall below.
+    That score is ``KEEP_AT``, or less where more than a share of 1 - KEEP_RECALL of the good rows would fall below,
+    by the rows that the trees were not fitted on and that the base rule keeps.
     """
     known = labels.select("doc_id", F.col("quality").cast("double").alias("quality")).dropna()
-    rows = bounded_sample(counts.join(known, "doc_id"), TRAIN_ROWS).toPandas()
+    rows = bounded_sample(counts.join(known, "doc_id").withColumn(
+        "left_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % LEFT_OUT == 0), TRAIN_ROWS).toPandas()
     y = rows["quality"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return None
-    x = features(rows)
-    trees = boost(x, y, np.asarray([-1 if n in FALLING else 0 for n in FEATURES]))
-    good = trees.score(x)[y == 1]
-    return trees, float(min(KEEP_AT, np.quantile(good, 1 - KEEP_RECALL)))
+    x, left = features(rows), rows["left_out"].to_numpy(bool)
+    if len(set(y[~left])) < 2:
+        left = np.zeros(len(y), bool)
+    trees = boost(x[~left], y[~left], np.asarray([-1 if n in FALLING else 0 for n in FEATURES]))
+    good = (y == 1) & ~fails(rows["n_words"], rows["n_repeat_words"]).to_numpy(bool)
+    good = good & left if (good & left).any() else good
+    return trees, float(min(KEEP_AT, np.quantile(trees.score(x[good]), 1 - KEEP_RECALL))) if good.any() else KEEP_AT
 
 
 def rate(counts: DataFrame, model: tuple[Trees, float] | None) -> DataFrame:
     """The counts with base_failed, score (null without a model) and kept."""
-    failed = (F.col("n_words") < LEAST_WORDS) | (
-        100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    rated = counts.withColumn("base_failed", failed)
+    rated = counts.withColumn("base_failed", fails(F.col("n_words"), F.col("n_repeat_words")))
     if model is None:
         return rated.withColumn("score", F.lit(None).cast("double")).withColumn("kept", ~F.col("base_failed"))
     trees, least = model

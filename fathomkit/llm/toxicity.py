@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomkit.llm.jobs import bounded_sample, every, free_name, query, table, with_scored_text
+from fathomkit.llm.jobs import bounded_sample, every, free_name, query, sampled_texts, table, with_scored_text
 from fathomkit.session import hold
 
 TRAIN_ROWS = 1500
@@ -335,18 +335,18 @@ def _calibrated(top: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[flo
 def learn(docs: DataFrame, labels: DataFrame) -> Network | float:
     """Network from the labelled rows of ``docs`` (doc_id, text); the share of toxic rows if one class is missing.
 
-    The sample is drawn from the ids; only its texts are then fetched.
+    The sample is drawn from the ids; only one text of each is then fetched. An id with both labels counts as toxic.
     """
-    marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().dropDuplicates(["doc_id"])
+    marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"))
     known = hold(docs.select("doc_id").distinct().join(marks, "doc_id"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     if not (counts.get(0) and counts.get(1)):
         return float(share)
     ids = [bounded_sample(known.where(F.col("toxic") == k), TRAIN_ROWS) for k in (0, 1)]
-    # at most 2 x TRAIN_ROWS ids of a few bytes
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        F.broadcast(hold(ids[0].union(ids[1]))), "doc_id").toPandas().sort_values(["toxic", "doc_id", "text"])
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = sampled_texts(texts, ids[0].union(ids[1])).toPandas().sort_values(["toxic", "doc_id"])
     return train([t or "" for t in rows["text"]], rows["toxic"].to_numpy(int), share)
 
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomkit.llm import hamming
-from fathomkit.llm.hamming import Shard, coded, nearest
+from fathomkit.llm.hamming import coded, longest, nearest, searched, segments
 
 
 def bits(vector, width):
@@ -30,10 +30,13 @@ def test_given_vectors(spark, sf):
     assert sorted(tuple(r) for r in nearest(vectors, asked).collect()) == want
 
 
-@pytest.mark.parametrize("width", [7, 64, 130])
-def test_hard_rows(spark, monkeypatch, width):
+@pytest.mark.parametrize("width, probes", [(7, 16_384), (64, 16_384), (130, 16_384), (64, 0), (130, 0)])
+def test_hard_rows(spark, monkeypatch, width, probes):
+    """With no least probes the searches are compared with all codes, in several shards and blocks."""
+    monkeypatch.setattr(hamming, "LEAST_PROBES", probes)
     monkeypatch.setattr(hamming, "SHARD_CODES", 40)
     monkeypatch.setattr(hamming, "BLOCK_QUERIES", 5)
+    monkeypatch.setattr(hamming, "COMPARED_AT_ONCE", 2)
     rng = np.random.RandomState(width)
     hot = rng.randn(width).tolist()
     rows = [(i, rng.randn(width).tolist()) for i in range(120)] + [(200 + i, hot) for i in range(60)]
@@ -45,25 +48,50 @@ def test_hard_rows(spark, monkeypatch, width):
     assert got == want
 
 
+def test_fewer_ids_than_neighbours(spark):
+    rows = [(1, [1.0, 1.0]), (2, [1.0, -1.0]), (3, []), (50, [-1.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    assert sorted(tuple(r) for r in nearest(df, df.where("id = 50")).collect()) == by_hand(rows, rows[3:], 10)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "id long, vector array<float>")
     assert nearest(none, none).collect() == []
 
 
-def test_growing_radii_are_exact_and_skip_most_codes():
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_given_searches_end_by_their_radii(spark, sf):
+    vectors = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    size = longest(vectors)
+    codes = coded(vectors, size).groupBy("code").agg(F.min("id").alias("first"), F.count("*").alias("many"))
+    asked = coded(vectors.where("id % 50 = 0"), size).select(F.col("code").alias("query")).distinct()
+    rounds = searched(codes, asked, size, 11).groupBy("query").agg(F.max("round").alias("round")).collect()
+    assert len(rounds) == asked.count() and all(r["round"] is not None for r in rounds)
+
+
+def test_a_code_is_found_once(spark):
+    """A query's own code has the same value in every segment, but comes once; so do all others."""
     rng = np.random.RandomState(1)
-    base = rng.randint(1 << 62, size=4000).astype(np.uint64)
-    near = base[:50] ^ np.uint64(0b101)
-    codes = np.concatenate([base, near])[:, None]
-    shard = Shard(codes, np.arange(len(codes)), np.ones(len(codes), np.int64))
-    for q in base[:50]:
-        rows, dist = shard.search(np.asarray([q]), 2)
-        full = np.bitwise_count(codes[:, 0] ^ q)
-        order = np.lexsort((np.arange(len(codes)), full))[:2]
-        assert rows.tolist() == order.tolist() and dist.tolist() == full[order].tolist()
+    words = rng.randint(1 << 62, size=800).tolist()
+    words += [w ^ 0b101 for w in words[:50]]
+    codes = spark.createDataFrame([([w], i, 1) for i, w in enumerate(words)], "code array<bigint>, first long, many long")
+    asked = codes.where("first < 50").select(F.col("code").alias("query"))
+    got = {}
+    for r in searched(codes, asked, 64, 2).collect():
+        got.setdefault(r["query"][0], []).append((r["hamming"], r["code"][0], r["round"]))
+    for w in words[:50]:
+        assert sorted(x[:2] for x in got[w]) == [(0, w), (2, w ^ 0b101)]
+        assert {x[2] for x in got[w]} == {0}  # two bits are covered by the pigeonhole of round 0
+
+
+@pytest.mark.parametrize("size, codes", [(0, 0), (1, 5), (7, 100), (64, 2_000), (130, 10**9), (512, 10**6)])
+def test_segments_cover_every_bit_once(size, codes):
+    bits = [64 * w + 63 - b for w, shift, width in segments(size, codes) for b in range(shift, shift + width)]
+    assert sorted(bits) == list(range(size))
 
 
 def test_code_bits(spark):
     df = spark.createDataFrame([(1, [1.0, -1.0, 2.0] + [0.0] * 61 + [3.0])], "id long, vector array<double>")
-    code = coded(df).first().code
+    code = coded(df, longest(df)).first().code
     assert [c & ((1 << 64) - 1) for c in code] == [0b101 << 61, 1 << 63]
