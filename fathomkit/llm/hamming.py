@@ -98,15 +98,16 @@ def _nearest_codes(rows: DataFrame, need: int) -> DataFrame:
 def _probed(waiting: DataFrame, codes: DataFrame, cut: list[tuple[int, int, int]], radius: int) -> DataFrame:
     """query, code, first, many, hamming of the codes that round ``radius`` finds first, within each query's bound."""
     probes = _flipped(_buckets(waiting, "query", cut), radius).drop("width")
-    met = probes.join(_buckets(codes, "code", cut).drop("width"), ["segment", "value"])
+    # Spark takes exploded rows to be as few as those before, and would broadcast them
+    met = probes.join(_buckets(codes, "code", cut).drop("width").hint("merge"), ["segment", "value"])
     words = 1 + max(c[0] for c in cut)
-    apart = met.withColumn("apart", F.expr(f"array({', '.join(f'code[{w}] ^ query[{w}]' for w in range(words))})"))
+    hamming = " + ".join(f"bit_count(code[{w}] ^ query[{w}])" for w in range(words))
+    near = f"(bound IS NULL OR {hamming} <= bound)"
     # a bucket before this one, of an earlier round or segment, would have held the code
-    fresh = " AND ".join(
-        f"bit_count({_value('apart', c)}) + IF({j} >= segment, 1, 0) > {radius}" for j, c in enumerate(cut))
-    hamming = " + ".join(f"bit_count(apart[{w}])" for w in range(words))
-    return apart.where(fresh).withColumn("hamming", F.expr(f"CAST({hamming} AS BIGINT)")).where(
-        "bound IS NULL OR hamming <= bound").select("query", "code", "first", "many", "hamming")
+    fresh = [f"bit_count({_value('code', c)} ^ {_value('query', c)}) + IF({j} >= segment, 1, 0) > {radius}"
+             for j, c in enumerate(cut)]
+    return met.where(" AND ".join([near, *fresh])).select(
+        "query", "code", "first", "many", F.expr(f"CAST({hamming} AS BIGINT) AS hamming"))
 
 
 def _compare_cell(index: pd.DataFrame, wanted: pd.DataFrame, need: int) -> pd.DataFrame:
