@@ -7,7 +7,8 @@ whatever the size of the table. Round s joins the buckets at s flipped bits from
 the buckets of the codes, on the bucket: no code is copied more than m times, and queries meet only the codes of their
 buckets. A code that an earlier bucket has found is told by its own bits and dropped without a shuffle, as is one
 beyond the worst of enough verified neighbours. After round s every code within m (s + 1) - 1 bits has been seen
-(pigeonhole); a search ends when enough verified codes lie within that distance.
+(pigeonhole); a search ends when enough verified codes lie within that distance, and its last round probes no more
+segments than that takes.
 
 Where a round would probe more buckets per query than there are codes (and more than ``LEAST_PROBES``), probing costs
 more than comparing, and the searches still open are compared with all codes, blocks of queries against shards of codes.
@@ -50,8 +51,8 @@ def coded(vectors: DataFrame, size: int) -> DataFrame:
     known = vectors.where("id IS NOT NULL AND vector IS NOT NULL")
     bits = "transform(vector, x -> IF(x > 0 AND NOT isnan(x), 1L, 0L))"
     words = [
-        f"aggregate(transform(sequence(0, 63), i -> coalesce(get({bits}, {64 * w} + i), 0L)), 0L, "
-        "(a, b) -> shiftleft(a, 1) | b)" for w in range(max(1, -(-size // 64)))
+        f"shiftleft(aggregate(slice({bits}, {64 * w + 1}, 64), 0L, (a, b) -> shiftleft(a, 1) | b), "
+        f"64 - size(slice(vector, {64 * w + 1}, 64)))" for w in range(max(1, -(-size // 64)))
     ]
     return known.select("id", F.expr(f"array({', '.join(words)})").alias("code"))
 
@@ -97,7 +98,9 @@ def _nearest_codes(rows: DataFrame, need: int) -> DataFrame:
 
 def _probed(waiting: DataFrame, codes: DataFrame, cut: list[tuple[int, int, int]], radius: int) -> DataFrame:
     """query, code, first, many, hamming of the codes that round ``radius`` finds first, within each query's bound."""
-    probes = _flipped(_buckets(waiting, "query", cut), radius).drop("width")
+    # with its first j + 1 segments at this radius a query has seen every code within m radius + j bits
+    wanted = _buckets(waiting, "query", cut).where(f"bound IS NULL OR segment <= bound - {len(cut) * radius}")
+    probes = _flipped(wanted, radius).drop("width")
     # Spark takes exploded rows to be as few as those before, and would broadcast them
     met = probes.join(_buckets(codes, "code", cut).drop("width").hint("merge"), ["segment", "value"])
     words = 1 + max(c[0] for c in cut)
