@@ -123,3 +123,13 @@ def test_predicates_need_not_be_listed(spark):
     ]
     path = rdf.write_rdf_xml(graph(spark, rows), fresh_path(spark, "all"), {"fb": "http://x#"})
     assert {tuple(r) for r in rdf.read_rdf_xml(spark, path).collect()} == set(rows)
+
+
+def test_triples_are_dealt_out_before_they_are_told_apart(spark, monkeypatch):
+    """No hash table over a file split before the shuffle; the tasks follow the number of triples."""
+    g = graph(spark, [(f"s{i % 90}", "p", "o") for i in range(100)])
+    monkeypatch.setattr(t, "TASK_TRIPLES", 10)
+    plan = t.merge(g, g)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange"):plan.index("== Initial Plan") if "== Initial Plan" in plan else len(plan)]
+    assert "Exchange hashpartitioning" in plan and "HashAggregate" not in below and ", 20)" in below
+    assert sorted(r.s for r in t.merge(g, g).collect()) == sorted(f"s{i}" for i in range(90))
