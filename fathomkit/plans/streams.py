@@ -73,7 +73,7 @@ WIDE = f"""{TRANSACTIONS}, wide AS (SELECT *, {", ".join(f'(l_partkey * {i} % 97
 
 def _json_messages(spark, sf_dir):
     path = fresh_path(spark, "messages")
-    wide_transactions(spark, sf_dir).select(st.json_message(TX_COLUMNS)).write.text(path)
+    st.write_lines(wide_transactions(spark, sf_dir).select(st.json_message(TX_COLUMNS)), path)
     return st.parse_json(st.read_lines(spark, path=path), TRANSACTION_SCHEMA)
 
 
@@ -86,7 +86,7 @@ def _line():
 
 def _sensor_stream(spark, sf_dir):
     path = fresh_path(spark, "readings")
-    sensors(spark, sf_dir).select(_line()).write.text(path)
+    st.write_lines(sensors(spark, sf_dir).select(_line()), path)
     return st.parse_csv(st.read_lines(spark, path=path), SENSOR_SCHEMA)
 
 
@@ -151,7 +151,7 @@ def n06(spark, sf_dir):
         "late", (F.col("event_id") % 10 == 3) & (F.col("ts") < newest - F.expr("interval 1 day"))
     )
     for late in (False, True):
-        tagged.filter(F.col("late") == late).select(_line()).write.mode("append").text(inbox)
+        st.write_lines(tagged.filter(F.col("late") == late).select(_line()), inbox)
         rows = st.watermarked(st.parse_csv(st.read_lines(spark, path=inbox), SENSOR_SCHEMA))
         st.drain(st.to_files(
             st.flat_window(st.windowed(rows, measures(RATE), "1 hour")), out, checkpoint

@@ -1,3 +1,5 @@
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +62,15 @@ def test_await_any_returns_when_a_query_ends(spark):
     q.awaitTermination()
     st.await_any(spark, timeout=1)
     assert not q.isActive
+
+
+def test_messages_and_csv_sinks_are_compressed(spark, monkeypatch):
+    """Text takes much of what a job writes; a message file has few enough lines for one task."""
+    monkeypatch.setattr(st, "FILE_LINES", 1_000)
+    inbox, out = fresh_path(spark, "inbox"), fresh_path(spark, "sink")
+    st.write_lines(spark.range(5_000).coalesce(1).select(F.format_string('{"a": %d}', "id").alias("value")), inbox)
+    assert len(glob.glob(f"{inbox}/part-*.txt.snappy")) == 5
+    rows = st.parse_json(st.read_lines(spark, path=inbox), "a bigint")
+    st.drain(st.to_files(rows, out, fresh_path(spark, "sink-checkpoint"), "csv"))
+    assert glob.glob(f"{out}/part-*.csv.gz") and not glob.glob(f"{out}/part-*.csv")
+    assert sorted(r.a for r in spark.read.schema("a bigint").option("header", True).csv(out).collect()) == list(range(5_000))
