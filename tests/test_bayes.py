@@ -62,6 +62,18 @@ def test_group_fit_is_the_mode(spark, patterns, data, kinds):
         assert np.allclose(got[name], (mean, sd), rtol=1e-5, atol=1e-6), name
 
 
+@pytest.mark.parametrize("kinds", [0, 1, 2])
+def test_the_last_step_is_taken(patterns, data, kinds):
+    """A step below the tolerance leaves a gradient that grows with the rows; taken, it squares what is left."""
+    fit = b.fit_map(patterns, ["a", "w"], kinds=kinds, slope="w", tol=1e-2)
+    if kinds:
+        theta, x, prior = dense(fit, data, kinds)
+    else:
+        theta, x, prior = fit.theta, np.column_stack([np.ones(len(data)), data["a"], data["w"]]), 0.16 * np.eye(3)
+    left = np.abs(x.T @ (data["y"] - 1 / (1 + np.exp(-x @ theta))) - prior @ theta).max()
+    assert left < fit.gradient_norm / 5
+
+
 @pytest.mark.parametrize("kinds", [1, 2])
 def test_the_spread_is_the_highest_of_its_neighbours(patterns, data, kinds):
     """The Laplace marginal of the spread, evaluated densely, falls to all sides of the one that was found."""
