@@ -8,9 +8,10 @@ is kept for scoring, in arrays sorted by a hash of the sequence, with a column o
 was not seen falls back to shorter sequences with the weight of its context. The arrays pass the driver and are
 broadcast, so distinct sequences (not rows) are limited by its memory; where they do not fit, the job fails.
 
-The language with the lowest cross-entropy per character wins. Its score is calibrated on at most ``CALIBRATE_ROWS``
-learning documents: a logistic curve over the lead in cross-entropy; a document whose cross-entropy lies above what
-nearly all learning documents of that language reach is marked as rejected.
+The language with the lowest cross-entropy per character wins. Its score is calibrated on all learning documents, which
+are scored in tasks: a logistic curve over the lead in cross-entropy, fitted on sums over all rows, exact in decimals; a
+document whose cross-entropy lies above what nearly all learning documents of that language reach (an exact quantile) is
+marked as rejected.
 
 Defined cases: a null text, or one without a letter, gives ``und`` with score 0; texts of any length are read whole;
 equal entropies go to the first language in order; repeated rows give repeated results and count each in learning; a
@@ -29,11 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomkit.llm.jobs import bounded_sample, query, sampled_texts, table
+from fathomkit.llm.jobs import query, table
+from fathomkit.operators.ordered import quantiles
 from fathomkit.session import hold
 
 ORDER = 4
-CALIBRATE_ROWS = 2_000
 REJECT_SHARE = 0.005
 CHUNK_CHARS = 500_000
 UNKNOWN = "und"
@@ -216,26 +217,51 @@ def _lead(entropies: np.ndarray) -> np.ndarray:
     return low[:, 1] - low[:, 0]
 
 
-def calibrate(model: Model, langs: np.ndarray, texts: list[str]) -> None:
-    """Fits the logistic curve of the score and the entropies from which a language is rejected."""
-    entropies = np.concatenate([model.entropies(texts[a:b]) for a, b in chunks(texts)] or
-                               [np.zeros((0, len(model.langs)))])
-    some = ~np.isnan(entropies).any(1) if len(entropies) else np.zeros(0, bool)
-    entropies, langs = entropies[some], langs[some]
-    if not len(langs):
+def _entropies(model: Model, texts: list[str]) -> np.ndarray:
+    found = [model.entropies(texts[a:b]) for a, b in chunks(texts)]
+    return np.concatenate(found) if found else np.zeros((0, len(model.langs)))
+
+
+def leads(known: DataFrame, model: Model) -> DataFrame:
+    """lang, best, entropy and lead of every text of ``known`` (lang, text) with a letter."""
+    sent = known.sparkSession.sparkContext.broadcast(model)
+
+    def measure(batches):
+        m = sent.value
+        names = np.asarray(m.langs, object)
+        for batch in batches:
+            e = _entropies(m, [t or "" for t in batch.column(1).to_pylist()])
+            some = np.flatnonzero(~np.isnan(e).any(1))
+            e = e[some]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(some)), pa.array(names[e.argmin(1)], pa.string()), pa.array(e.min(1)),
+                 pa.array(_lead(e))], names=["lang", "best", "entropy", "lead"])
+
+    return known.select("lang", "text").mapInArrow(measure, "lang string, best string, entropy double, lead double")
+
+
+def calibrate(model: Model, known: DataFrame) -> None:
+    """Fits the logistic curve of the score and the entropies from which a language is rejected, on all rows."""
+    if not model.langs:
+        return
+    rows = hold(leads(known, model))
+    if rows.isEmpty():
         return
-    best = entropies.argmin(1)
-    right = np.asarray(model.langs)[best] == langs
-    for k in range(len(model.langs)):
-        own = entropies[right & (best == k), k]
-        if len(own):
-            model.most[k] = np.quantile(own, 1 - REJECT_SHARE) + 1e-9
-    x = np.column_stack([_lead(entropies), np.ones(len(langs))])
-    w, y = np.zeros(2), np.clip(right.astype(float), 0.01, 0.99)
+    # a row per language
+    for r in quantiles(rows.where("best = lang"), ["entropy"], [1 - REJECT_SHARE], ["best"], ["most"]).collect():
+        model.most[model.langs.index(r["best"])] = r["most"] + 1e-9
+    w = np.zeros(2)
     for _ in range(30):
-        p = 1 / (1 + np.exp(-x @ w))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
-        w = w + np.linalg.solve(hessian, x.T @ (y - p) - 1e-4 * w)
+        p = 1 / (1 + F.exp(-(F.col("lead") * float(w[0]) + float(w[1]))))
+        gap, curve = F.when(F.col("best") == F.col("lang"), 0.99).otherwise(0.01) - p, p * (1 - p)
+        x = F.col("lead")
+        # decimals add up to the same in any order
+        a, b, xx, xy, yy = (float(v) for v in rows.agg(*[
+            F.sum(c.cast("decimal(28,12)")) for c in (gap * x, gap, curve * x * x, curve * x, curve)]).first())
+        move = np.linalg.solve(np.array([[xx, xy], [xy, yy]]) + 1e-4 * np.eye(2), np.array([a, b]) - 1e-4 * w)
+        w = w + move
+        if np.abs(move).max() < 1e-9:
+            break
     model.slope, model.offset = max(float(w[0]), 0.0), float(w[1])
 
 
@@ -251,10 +277,8 @@ def learn(docs: DataFrame) -> Model:
     model = Model(langs)
     for order in range(1, ORDER + 1):
         model.add(order, tables[order].toPandas())
-    ids = bounded_sample(known.select("doc_id").where("doc_id IS NOT NULL").distinct(), CALIBRATE_ROWS)
-    sample = sampled_texts(known, ids).toPandas().sort_values("doc_id")
-    calibrate(model, sample["lang"].to_numpy(object), [t or "" for t in sample["text"]])
-    return model.freeze()
+    calibrate(model.freeze(), known)
+    return model
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -269,8 +293,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         names = np.asarray([*m.langs, UNKNOWN], object)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            found = [m.entropies(texts[a:b]) for a, b in chunks(texts)]
-            e = np.concatenate(found) if found else np.zeros((0, len(m.langs)))
+            e = _entropies(m, texts)
             none = np.isnan(e).any(1) if m.langs else np.ones(len(texts), bool)
             e = np.where(none[:, None], 0.0, e)
             best = np.where(none, len(m.langs), e.argmin(1) if m.langs else 0)

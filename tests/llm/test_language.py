@@ -86,3 +86,21 @@ def test_nothing_learnt(odd, docs):
 def test_letters():
     assert letters_of("Ab, c1D").tolist() == [32, 97, 98, 32, 99, 32, 100, 32]
     assert letters_of("12 !").tolist() == [] and len(sequences(letters_of("ab"))) == 3
+
+
+def test_calibrated_on_every_row(spark):
+    """Longer texts, more rows and repeated ids than a sample would hold all move the limit and the curve."""
+    rows = [(i % 50, "en" if i % 2 else "fr", ("the cat sat on mat " if i % 2 else "le chat est la sur ") * (1 + i % 3))
+            for i in range(3_000)]
+    rows += [(9_000 + i, "en", "zq xj kv wq " * 4) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = learn(frame)
+    e = model.entropies([r[2] for r in rows])
+    best, of = np.asarray(model.langs)[e.argmin(1)], np.asarray([r[1] for r in rows])
+    for k, lang in enumerate(model.langs):
+        own = e[(best == lang) & (of == lang), k]
+        assert np.isclose(model.most[k], np.quantile(own, 0.995) + 1e-9)
+    x = np.column_stack([np.abs(e[:, 0] - e[:, 1]), np.ones(len(e))])
+    w = np.array([model.slope, model.offset])
+    slope = x.T @ (np.where(best == of, 0.99, 0.01) - 1 / (1 + np.exp(-x @ w))) - 1e-4 * w
+    assert np.abs(slope).max() < 1e-5
