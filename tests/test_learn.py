@@ -68,6 +68,18 @@ def test_neighbours_without_structure_stay_exact(spark):
     check_neighbours(nb.nearest(df, 3, 150).collect(), x, 3)
 
 
+def test_only_near_pairs_are_measured():
+    """One matrix product leaves out what is too far, and nothing else; the distances stay those of the definition."""
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(60, 30)) + 1e4, rng.normal(size=(200, 30)) + 1e4
+    b[:20] = a[:20]
+    d = nb._distances(a, b)
+    than = np.sort(d, axis=1)[:, 4]
+    i, j, got = nb._nearer(a, b, than)
+    assert (got == d[i, j]).all() and set(zip(*np.nonzero(d <= than[:, None]))) <= set(zip(i, j)) and len(i) < 0.2 * d.size
+    assert len(nb._nearer(a, b, np.full(60, np.inf))[0]) == d.size
+
+
 def test_few_points(spark):
     one = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0],)], "x array<double>")
     assert [(r["w"], r["near"]) for r in nb.nearest(one, 5).collect()] == [(2, [])]
