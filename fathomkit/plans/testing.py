@@ -137,7 +137,7 @@ def j06(spark, sf_dir):
     checked = inf.diagnostics(keyed, _full_fit(rows)).select(
         "line_id", "fitted", "residual", "std_residual", "root_abs", "leverage", "cooks_distance"
     )
-    return inf.normal_qq(hold(checked), "std_residual", "line_id")
+    return inf.normal_qq(checked, "std_residual", "line_id")  # the ranking holds its rows itself
 
 
 @query("j06_diagnostics_simple", f"""WITH {_SIMPLE}, d AS (

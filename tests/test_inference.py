@@ -152,3 +152,16 @@ def test_studentized_range_for_any_degrees_of_freedom():
     assert all(a > b > 0 for a, b in zip(gaps, gaps[1:])) and gaps[-1] < 1e-8
     for a, df in zip(gaps, (1e4, 2.4e4, 2.6e4, 1e5, 1e7)):
         assert np.isclose(a * df, gaps[0] * 1e4, rtol=1e-2)  # the leading term falls as 1 / df
+
+
+def test_diagnostics_are_written_once_before_they_are_ranked(spark, sf, monkeypatch):
+    """The rows go to disk as they come and once more by ranges, not a third time."""
+    from fathomkit.operators import ordered
+    from fathomkit.plans import testing
+
+    wide = []
+    for module in (ordered, testing):
+        real = module.hold
+        monkeypatch.setattr(module, "hold", lambda df, real=real: wide.append("leverage" in df.columns) or real(df))
+    assert testing.j06(spark, sf).filter("rank = 1").count() == 1
+    assert sum(wide) == 2
