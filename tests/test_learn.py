@@ -179,3 +179,29 @@ def test_constant_column_scales_to_zero(spark):
     df = spark.createDataFrame([(3.0, 1.0), (3.0, None), (3.0, 5.0)], "c double, v double")
     got = learn.min_max(learn.standardise(df, ["c"]), ["c", "v"]).collect()
     assert [(r["c_scaled"], r["c_norm"], r["v_norm"]) for r in got] == [(0.0, 0.0, 0.0), (0.0, 0.0, None), (0.0, 0.0, 1.0)]
+
+
+def test_logistic_fits_share_passes_and_match_the_learner(spark, monkeypatch):
+    """Each fit is that of the learner outside its fold; the search fits by the learner only once, and ranks as it does."""
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(600, 4)) * [1, 3, 0.5, 1]
+    x[:, 3] = x[:, 0] + 0.1 * x[:, 3]
+    y = (x[:, 0] - 0.5 * x[:, 1] + rng.normal(size=600) > 1).astype(int)
+    keys = ["f0", "f1", "f2", "f3"]
+    train = learn.ensure_features(spark.createDataFrame(pd.DataFrame(x, columns=keys).assign(label=y)))
+    grid = {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5, 1.0]}
+    points = [(r, e) for r in grid["regParam"] for e in grid["elasticNetParam"]]
+    rows = learn.folded(train, keys)
+    fits = learn.logistic_fits(rows, keys, "label", points, 1e-6, 100)
+    for f, i in ((0, 0), (1, 1), (2, 2), (0, 4), (1, 5)):
+        want = LogisticRegression(standardization=False, tol=1e-12, maxIter=1000, regParam=points[i][0],
+                                  elasticNetParam=points[i][1]).fit(rows.where(F.col("_fold") != f))
+        assert np.allclose(fits[f, i], np.r_[want.intercept, want.coefficients.toArray()], atol=1e-4), (f, i)
+    make = LogisticRegression(standardization=False, tol=1e-6)
+    want_model, want_areas = learn.grid_search(make, grid, train, keys)
+    times, fit = [], LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, df: times.append(1) or fit(self, df))
+    model, areas = learn.logistic_search(make, grid, train, keys)
+    assert len(times) == 1 and [p for p, _ in areas] == [p for p, _ in want_areas]
+    assert np.allclose([a for _, a in areas], [a for _, a in want_areas], atol=2e-3)
+    assert np.allclose(model.coefficients.toArray(), want_model.coefficients.toArray(), atol=1e-4)
