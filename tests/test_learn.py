@@ -205,3 +205,28 @@ def test_logistic_fits_share_passes_and_match_the_learner(spark, monkeypatch):
     assert len(times) == 1 and [p for p, _ in areas] == [p for p, _ in want_areas]
     assert np.allclose([a for _, a in areas], [a for _, a in want_areas], atol=2e-3)
     assert np.allclose(model.coefficients.toArray(), want_model.coefficients.toArray(), atol=1e-4)
+
+
+def test_fits_run_over_even_tasks(spark, monkeypatch):
+    """Files of any size are dealt out evenly; many tasks leave room for one fit at a time."""
+    monkeypatch.setattr(learn, "FIT_ROWS", 100)
+    lopsided = spark.range(0, 10, 1, 5).union(spark.range(10, 1000, 1, 1)).select(F.col("id").cast("double").alias("f0"))
+    rows = learn.folded(lopsided, ["f0"])
+    sizes = rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(sizes) == 10 and min(sizes) > 80 and max(sizes) < 120
+    assert learn.at_once(rows, 6) == 4 and learn.at_once(rows.repartition(40), 6) == 1 and learn.at_once(rows.coalesce(1), 6) == 6
+
+
+def test_forest_search_keeps_the_nodes_of_rows(spark, monkeypatch):
+    """Rows do not walk the trees from their roots at each level, and the trees are the same."""
+    x = np.random.default_rng(22).normal(size=(500, 3))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] > 0.5).astype(int)
+    train = learn.ensure_features(spark.createDataFrame(pd.DataFrame(x, columns=["f0", "f1", "f2"]).assign(label=y)))
+    forest, kept, fit = RandomForestClassifier(seed=3), [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: kept.append(self.getCacheNodeIds()) or fit(self, df))
+    grid = {"numTrees": [3], "maxDepth": [5]}
+    best, _ = learn.forest_search(forest, grid, train, ["f0", "f1", "f2"])
+    assert len(kept) == 4 and all(kept)
+    rows = learn.folded(train, ["f0", "f1", "f2"])
+    walked = forest.copy({forest.numTrees: 3, forest.maxDepth: 5}).fit(rows)
+    assert best.toDebugString.split("\n", 1)[1] == walked.toDebugString.split("\n", 1)[1]
