@@ -230,3 +230,25 @@ def test_forest_search_keeps_the_nodes_of_rows(spark, monkeypatch):
     rows = learn.folded(train, ["f0", "f1", "f2"])
     walked = forest.copy({forest.numTrees: 3, forest.maxDepth: 5}).fit(rows)
     assert best.toDebugString.split("\n", 1)[1] == walked.toDebugString.split("\n", 1)[1]
+
+
+def test_boosted_fits_share_passes_and_match_the_learner(spark, monkeypatch):
+    """The areas of all folds and points are the learner's; the search fits by the learner only once, and picks as it does."""
+    rng = np.random.default_rng(23)
+    x = rng.normal(size=(900, 4)).round(2)
+    x[:, 1], x[:, 2] = rng.integers(0, 5, 900), 7.0  # few values, and one
+    y = (x[:, 0] * x[:, 3] + 0.4 * x[:, 1] + rng.normal(size=900) > 1.5).astype(int)
+    keys = ["f0", "f1", "f2", "f3"]
+    flat = spark.createDataFrame(pd.DataFrame(x, columns=keys).assign(label=y))
+    grid = {"maxIter": [4], "maxDepth": [2, 5], "stepSize": [0.1, 0.3]}
+    make = GBTClassifier(labelCol="label", seed=3)
+    want_model, want = learn.grid_search(make, grid, learn.ensure_features(flat), keys)
+    times, fit = [], GBTClassifier._fit
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda self, df: times.append(1) or fit(self, df))
+    model, areas = learn.boosted_search(make, grid, flat, keys)
+    assert len(times) == 1 and [p for p, _ in areas] == [p for p, _ in want]
+    assert np.allclose([a for _, a in areas][:2], [a for _, a in want][:2], atol=1e-9)
+    assert np.allclose([a for _, a in areas], [a for _, a in want], atol=2e-3)  # deep nodes have few rows and many equal cuts
+    assert model.toDebugString.split("\n", 1)[1] == want_model.toDebugString.split("\n", 1)[1]
+    with pytest.raises(ValueError):
+        learn.boosted_search(make, {"maxIter": [2, 4]}, flat, keys)
