@@ -252,3 +252,38 @@ def test_boosted_fits_share_passes_and_match_the_learner(spark, monkeypatch):
     assert model.toDebugString.split("\n", 1)[1] == want_model.toDebugString.split("\n", 1)[1]
     with pytest.raises(ValueError):
         learn.boosted_search(make, {"maxIter": [2, 4]}, flat, keys)
+
+
+def test_forests_share_passes_and_match_the_learner(spark, monkeypatch):
+    """No forest is fitted by the learner; one tree of all rows and features is the learner's, areas are near to its own."""
+    rng = np.random.default_rng(24)
+    x = rng.normal(size=(1500, 5)).round(2)
+    x[:, 1], x[:, 2] = rng.integers(0, 5, 1500), 7.0  # few values, and one
+    y = (x[:, 0] * x[:, 3] + 0.4 * x[:, 1] + 0.5 * rng.normal(size=1500) > 1.2).astype(int)
+    keys = [f"f{i}" for i in range(5)]
+    flat = spark.createDataFrame(pd.DataFrame(x, columns=keys).assign(label=y))
+    train = learn.ensure_features(flat)
+    one = RandomForestClassifier(seed=3, featureSubsetStrategy="all", bootstrap=False)
+    tree = {"numTrees": [1], "maxDepth": [2, 4], "minInstancesPerNode": [20]}
+    want_model, want = learn.forest_search(one, tree, train, keys)
+    forest = RandomForestClassifier(seed=3, featureSubsetStrategy="sqrt")
+    grid = {"numTrees": [20, 40], "maxDepth": [3, 6], "minInstancesPerNode": [1, 5]}
+    _, want_forest = learn.forest_search(forest, grid, train, keys)
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: pytest.fail("a fit of its own"))
+    model, areas = learn.shared_forest_search(one, tree, flat, keys)
+    assert [p for p, _ in areas] == [p for p, _ in want] and np.allclose([a for _, a in areas], [a for _, a in want], atol=1e-9)
+    assert model.toDebugString.split("\n", 1)[1] == want_model.toDebugString.split("\n", 1)[1]
+    assert np.allclose(model.featureImportances.toArray(), want_model.featureImportances.toArray())
+    monkeypatch.setattr(learn, "BAG", 200)
+    best, areas = learn.shared_forest_search(forest, grid, flat, keys)
+    assert [p for p, _ in areas] == [p for p, _ in want_forest]
+    assert np.allclose([a for _, a in areas], [a for _, a in want_forest], atol=0.04)
+    assert ev.roc_auc(ev.roc_points(learn.score_table(best, train, "m"))).first()["auc"] > 0.95
+    assert f"numTrees={best.getNumTrees}" in max(areas, key=lambda a: a[1])[0]
+    few = {"numTrees": [3], "maxDepth": [3]}
+    best, areas = learn.shared_forest_search(forest, few, flat, keys)
+    monkeypatch.setattr(learn, "WAVE_BYTES", 1)  # one tree at a time grows the same forest
+    again, one_by_one = learn.shared_forest_search(forest, few, flat, keys)
+    assert np.isclose(areas[0][1], one_by_one[0][1]) and again.toDebugString.split("\n", 1)[1] == best.toDebugString.split("\n", 1)[1]
+    with pytest.raises(ValueError):
+        learn.shared_forest_search(forest, {**grid, "maxBins": [16]}, flat, keys)
