@@ -109,3 +109,13 @@ def test_imputation_and_capping(skewed):
     assert out["v"].isna().sum() == 10
     holed = null_exactly(skewed.filter("v IS NOT NULL"), "v", ["id"], 500)
     assert {r["column"]: r["nulls"] for r in null_counts(holed).collect()} == {"id": 0, "g": 0, "v": 500}
+
+
+def test_global_rank_deals_the_rows_out_once(spark):
+    """Whole rows are held once beside what they came from, and no join or window deals them out again."""
+    df = spark.range(0, 3000, 1, 4).select(F.col("id"), (F.col("id") % 7).cast("double").alias("v"), F.lit("x" * 20).alias("rest"))
+    ranked = o.global_rank(df.withColumn("v", F.when(F.col("id") >= 10, F.col("v"))), "v", "id")
+    assert "SortMergeJoin" not in (plan := ranked._jdf.queryExecution().executedPlan().toString()) and "Window" not in plan
+    got = ranked.orderBy("rank").collect()
+    want = sorted((i % 7, i) for i in range(10, 3000))  # ten rows without a value stand before all others
+    assert [(r["v"], r["id"], r["rank"], r["total"]) for r in got] == [(v, i, n, 3000) for n, (v, i) in enumerate(want, 11)]
