@@ -68,6 +68,16 @@ def test_neighbours_without_structure_stay_exact(spark):
     check_neighbours(nb.nearest(df, 3, 150).collect(), x, 3)
 
 
+def test_neighbours_are_named_until_the_nearest_are_known(spark, monkeypatch):
+    """No table on the way holds the coordinates of neighbours, nor one row for each visit."""
+    x, held, real = clustered(900), [], nb.hold
+    monkeypatch.setattr(nb, "hold", lambda df: held.append(real(df)) or held[-1])
+    rows = nb.nearest(spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>"), 5, 100).collect()
+    check_neighbours(rows, x, 5)
+    assert not [df.columns for df in held if "near" in df.columns and "x:" in df.schema["near"].dataType.simpleString()]
+    assert max(df.count() for df in held) <= len(rows)
+
+
 def test_only_near_pairs_are_measured():
     """One matrix product leaves out what is too far, and nothing else; the distances stay those of the definition."""
     rng = np.random.default_rng(5)
@@ -287,3 +297,14 @@ def test_forests_share_passes_and_match_the_learner(spark, monkeypatch):
     assert np.isclose(areas[0][1], one_by_one[0][1]) and again.toDebugString.split("\n", 1)[1] == best.toDebugString.split("\n", 1)[1]
     with pytest.raises(ValueError):
         learn.shared_forest_search(forest, {**grid, "maxBins": [16]}, flat, keys)
+
+
+def test_wide_rows_are_made_once(spark, monkeypatch):
+    """The joined orders are written before they are scaled: statistics, scaling and oversampling read them again."""
+    from fathomkit.plans import learning
+    seen, real = [], learning.hold
+    monkeypatch.setattr(learning, "hold", lambda df: seen.append(df.columns) or real(df))
+    sf = "/root/testdata/sf0.001"
+    learning.LearningSets(spark, sf)
+    learning.k05_balance(spark, sf).collect()
+    assert seen == [["o_orderkey", *learning.WIDE_FEATURES, "label"]] * 2
