@@ -302,8 +302,9 @@ def test_forests_share_passes_and_match_the_learner(spark, monkeypatch):
 def test_wide_rows_are_made_once(spark, monkeypatch):
     """The joined orders are written before they are scaled: statistics, scaling and oversampling read them again."""
     from fathomkit.plans import learning
-    seen, real = [], learning.hold
-    monkeypatch.setattr(learning, "hold", lambda df: seen.append(df.columns) or real(df))
+    seen, kept, freed = [], learning.hold, learning.held_for
+    monkeypatch.setattr(learning, "hold", lambda df: seen.append(df.columns) or kept(df))
+    monkeypatch.setattr(learning, "held_for", lambda df: seen.append(df.columns) or freed(df))
     sf = "/root/testdata/sf0.001"
     learning.LearningSets(spark, sf)
     learning.k05_balance(spark, sf).collect()
