@@ -299,13 +299,10 @@ def test_forests_share_passes_and_match_the_learner(spark, monkeypatch):
         learn.shared_forest_search(forest, {**grid, "maxBins": [16]}, flat, keys)
 
 
-def test_wide_rows_are_made_once(spark, monkeypatch):
-    """The joined orders are written before they are scaled: statistics, scaling and oversampling read them again."""
+def test_balance_writes_wide_rows_once(spark, sf, monkeypatch):
+    """Statistics, scaling and oversampling read the joined orders, which are not written in scaled form as well."""
     from fathomkit.plans import learning
-    seen, kept, freed = [], learning.hold, learning.held_for
-    monkeypatch.setattr(learning, "hold", lambda df: seen.append(df.columns) or kept(df))
-    monkeypatch.setattr(learning, "held_for", lambda df: seen.append(df.columns) or freed(df))
-    sf = "/root/testdata/sf0.001"
-    learning.LearningSets(spark, sf)
+    seen, real = [], learning.hold
+    monkeypatch.setattr(learning, "hold", lambda df: seen.append(df.columns) or real(df))
     learning.k05_balance(spark, sf).collect()
-    assert seen == [["o_orderkey", *learning.WIDE_FEATURES, "label"]] * 2
+    assert seen == [["o_orderkey", *learning.WIDE_FEATURES, "label"]]
